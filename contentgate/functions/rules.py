@@ -1,7 +1,7 @@
 """Rule packs: each rule is a boolean column over the text of an item.
 
 A pack is compiled to one CASE chain. The rules of a pack are put in the order in which
-they win (see ``compile_order``), so the first branch that matches is the verdict and
+they win (see ``rules_for``), so the first branch that matches is the verdict and
 later rules are not evaluated for that row. Listing every match is a separate projection.
 
 Patterns use the common subset of the Java and RE2 dialects (no look-around, no
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -85,12 +86,23 @@ def card_number(text: Column) -> Column:
     return F.when(text.rlike("[0-9][0-9 -]{11}"), checked).otherwise(False)
 
 
+class Subject(NamedTuple):
+    """A text and its lower-cased form, so that a table computes the latter once."""
+
+    text: Column
+    lower: Column
+
+
+def subject(text: Column | Subject) -> Subject:
+    return text if isinstance(text, Subject) else Subject(text, F.lower(text))
+
+
 @dataclass(frozen=True)
 class Rule:
     rule_id: str
     raw_type: str
     kinds: tuple[str, ...]
-    test: Callable[[Column], Column]
+    test: Callable[[Subject], Column]
     score: float | None = None
     reason: str | None = None
     source: str = "content"  # which column the rule reads: content or body
@@ -100,18 +112,31 @@ class Rule:
     def public_type(self) -> str:
         return taxonomy.THREAT_ALIASES.get(self.raw_type, "unknown")
 
-    def matches(self, content: Column, body: Column | None = None) -> Column:
-        text = content if self.source == "content" else body
-        return F.coalesce(self.test(text), F.lit(False))
+    def matches(self, content: Column | Subject, body: Column | Subject | None = None) -> Column:
+        return F.coalesce(self.test(subject(content if self.source == "content" else body)), F.lit(False))
+
 
+def _pattern(
+    name: str, lowered: bool = False, hints: tuple[tuple[str, ...], ...] = (), quick: str | None = None
+) -> Callable[[Subject], Column]:
+    """Match a named pattern, cheap tests first.
 
-def _pattern(name: str, lowered: bool = False, hint: str | None = None) -> Callable[[Column], Column]:
-    """Match a named pattern; ``hint`` is a literal every match contains, tested first."""
+    Each entry of ``hints`` lists literals of which every match contains at least one, and
+    ``quick`` is a faster pattern every match contains. They only save work: a substring
+    search over the stored bytes is many times faster than a regular expression.
+    """
 
-    def test(text: Column) -> Column:
-        subject = F.lower(text) if lowered else text
-        found = subject.rlike(PATTERNS[name])
-        return found if hint is None else subject.contains(hint) & found
+    def test(s: Subject) -> Column:
+        text = s.lower if lowered else s.text
+        found = text.rlike(PATTERNS[name])
+        if quick is not None:
+            found = text.rlike(quick) & found
+        for literals in reversed(hints):
+            seen = text.contains(literals[0])
+            for literal in literals[1:]:
+                seen = seen | text.contains(literal)
+            found = seen & found
+        return found
 
     return test
 
@@ -122,56 +147,62 @@ TEXT_KINDS = (PROMPT, A2A, CARD)
 CORE_RULES = (
     Rule(
         "core.instruction_override", "prompt_injection", TEXT_KINDS,
-        lambda t: F.lower(t).contains("ignore previous"), 0.95, "Prompt injection detected",
+        lambda s: s.lower.contains("ignore previous"), 0.95, "Prompt injection detected",
     ),
     Rule(
         "core.ssn", "pii", TEXT_KINDS,
-        lambda t: t.contains("SSN") | t.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}"), 0.99, "PII detected",
+        lambda s: s.text.contains("SSN") | s.text.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}"), 0.99, "PII detected",
     ),
-    Rule("core.tautology", "sql_injection", (SQL,), lambda t: t.contains("'1'='1'"), None, "SQL injection detected"),
+    Rule("core.tautology", "sql_injection", (SQL,), lambda s: s.text.contains("'1'='1'"), None, "SQL injection detected"),
     Rule(
-        "core.drop_table", "sql_injection", (SQL,), lambda t: t.contains("DROP TABLE"), None,
+        "core.drop_table", "sql_injection", (SQL,), lambda s: s.text.contains("DROP TABLE"), None,
         "SQL injection detected", destructive=True,
     ),
     Rule(
         "core.traversal", "path_traversal", (FILE_PATH, FILE_CONTENT),
-        lambda t: t.contains("..") | t.contains("/etc/passwd"), None, "Path traversal detected",
+        lambda s: s.text.contains("..") | s.text.contains("/etc/passwd"), None, "Path traversal detected",
     ),
 )
 
-_ANY_TEXT = (PROMPT, A2A, CARD)
-
 # Detectors for the names of the taxonomy that fix a lexical class. Scores are this engine's own.
 EXTENDED_RULES = (
-    Rule("ext.private_key", "private_key", _ANY_TEXT, _pattern("private_key", hint="PRIVATE KEY-----"), 0.99),
-    Rule("ext.aws_key", "aws_key", _ANY_TEXT, _pattern("aws_key"), 0.98),
-    Rule("ext.api_key", "api_key", _ANY_TEXT, _pattern("api_key"), 0.95),
-    Rule("ext.secret_key", "secret_key", _ANY_TEXT, _pattern("secret_key", lowered=True), 0.9),
-    Rule("ext.reverse_shell", "reverse_shell", _ANY_TEXT, _pattern("reverse_shell", lowered=True), 0.95),
-    Rule("ext.fork_bomb", "fork_bomb", _ANY_TEXT, _pattern("fork_bomb"), 0.97),
-    Rule("ext.ssn", "ssn", _ANY_TEXT, _pattern("ssn"), 0.95),
-    Rule("ext.credit_card", "credit_card", _ANY_TEXT, card_number, 0.97),
-    Rule("ext.email", "email_exposure", _ANY_TEXT, _pattern("email_exposure", hint="@"), 0.8),
-    Rule("ext.phone", "phone_number", _ANY_TEXT, _pattern("phone_number"), 0.75),
-    Rule("ext.instruction_override", "instruction_override", _ANY_TEXT,
-         _pattern("instruction_override", lowered=True), 0.9),
-    Rule("ext.suspicious_tld", "suspicious_tld", _ANY_TEXT,
-         _pattern("suspicious_tld", lowered=True, hint="http"), 0.6),
-    Rule("ext.tautology_or", "tautology_or", (SQL,), _pattern("tautology_or", lowered=True), 0.95),
-    Rule("ext.tautology_and", "tautology_and", (SQL,), _pattern("tautology_and", lowered=True), 0.8),
-    Rule("ext.union", "union_injection", (SQL,), _pattern("union_injection", lowered=True, hint="union"), 0.9),
-    Rule("ext.stacked", "stacked_query", (SQL,), _pattern("stacked_query", lowered=True, hint=";"), 0.85),
+    Rule("ext.private_key", "private_key", TEXT_KINDS, _pattern("private_key", hints=(("PRIVATE KEY-----",),)), 0.99),
+    Rule("ext.aws_key", "aws_key", TEXT_KINDS, _pattern("aws_key", hints=(("AKIA", "ASIA"),)), 0.98),
+    Rule("ext.api_key", "api_key", TEXT_KINDS,
+         _pattern("api_key", hints=(("sk-", "sk_", "pk-", "pk_", "rk-", "rk_"),)), 0.95),
+    Rule("ext.secret_key", "secret_key", TEXT_KINDS,
+         _pattern("secret_key", lowered=True, hints=(("=", ":"), ("token", "secret", "key", "password"))), 0.9),
+    Rule("ext.reverse_shell", "reverse_shell", TEXT_KINDS,
+         _pattern("reverse_shell", lowered=True, hints=(("-", "/dev/tcp/"),), quick="nc[ \\t]+-|/dev/tcp/|bash"), 0.95),
+    Rule("ext.fork_bomb", "fork_bomb", TEXT_KINDS, _pattern("fork_bomb", hints=((":(",),)), 0.97),
+    Rule("ext.ssn", "ssn", TEXT_KINDS, _pattern("ssn", hints=(("-",),), quick="[0-9]{3}-[0-9]{2}-[0-9]{4}"), 0.95),
+    Rule("ext.credit_card", "credit_card", TEXT_KINDS, lambda s: card_number(s.text), 0.97),
+    Rule("ext.email", "email_exposure", TEXT_KINDS, _pattern("email_exposure", hints=(("@",),)), 0.8),
+    Rule("ext.phone", "phone_number", TEXT_KINDS, _pattern("phone_number", quick="[0-9]{3}[ .-][0-9]{4}"), 0.75),
+    Rule("ext.instruction_override", "instruction_override", TEXT_KINDS,
+         _pattern("instruction_override", lowered=True,
+                  hints=(("previous", "prior", "above"), ("ignore", "disregard", "forget"))), 0.9),
+    Rule("ext.suspicious_tld", "suspicious_tld", TEXT_KINDS,
+         _pattern("suspicious_tld", lowered=True, hints=(("http",),)), 0.6),
+    Rule("ext.tautology_or", "tautology_or", (SQL,),
+         _pattern("tautology_or", lowered=True, hints=(("=",),)), 0.95),
+    Rule("ext.tautology_and", "tautology_and", (SQL,),
+         _pattern("tautology_and", lowered=True, hints=(("=",),)), 0.8),
+    Rule("ext.union", "union_injection", (SQL,),
+         _pattern("union_injection", lowered=True, hints=(("union",), ("select",))), 0.9),
+    Rule("ext.stacked", "stacked_query", (SQL,), _pattern("stacked_query", lowered=True, hints=((";",),)), 0.85),
     Rule("ext.destructive", "destructive_operation", (SQL,),
-         _pattern("destructive_operation", lowered=True), 0.85, destructive=True),
-    Rule("ext.privilege", "privilege_escalation", (SQL, PROMPT), _pattern("privilege_escalation", lowered=True), 0.8),
+         _pattern("destructive_operation", lowered=True, hints=(("drop", "truncate"),)), 0.85, destructive=True),
+    Rule("ext.privilege", "privilege_escalation", (SQL, PROMPT),
+         _pattern("privilege_escalation", lowered=True, hints=(("grant", "sudo", "chmod"),)), 0.8),
     Rule("ext.traversal", "directory_traversal", (FILE_PATH, FILE_CONTENT),
-         _pattern("directory_traversal", lowered=True), 0.9),
+         _pattern("directory_traversal", lowered=True, hints=(("..", "%2e"),)), 0.9),
     Rule("ext.sensitive_path", "sensitive_path", (FILE_PATH, FILE_CONTENT),
-         _pattern("sensitive_path", lowered=True), 0.9),
+         _pattern("sensitive_path", lowered=True, hints=(("/etc/", "/.ssh/", "/.aws/", "/proc/"),)), 0.9),
     Rule("ext.sensitive_extension", "sensitive_extension", (FILE_PATH, FILE_CONTENT),
-         _pattern("sensitive_extension", lowered=True), 0.7),
+         _pattern("sensitive_extension", lowered=True, hints=((".",),)), 0.7),
     Rule("ext.blocked_extension", "blocked_extension", (FILE_PATH, FILE_CONTENT),
-         _pattern("blocked_extension", lowered=True), 0.7),
+         _pattern("blocked_extension", lowered=True, hints=((".",),)), 0.7),
 )
 
 # What the text of a file is searched for: the secret, personal-data and code detectors.
@@ -203,7 +234,7 @@ def rules_for(pack: str, kind: str, allow_destructive: bool = False) -> list[Rul
     )
 
 
-def winner(rules: list[Rule], content: Column, body: Column | None = None) -> Column:
+def winner(rules: list[Rule], content: Column | Subject, body: Column | Subject | None = None) -> Column:
     """1-based position of the winning rule, NULL when none matches."""
     position = F.lit(None).cast("int")
     chain = None
@@ -221,7 +252,7 @@ def attribute(rules: list[Rule], position: Column, get: Callable[[Rule], object]
     return F.get(values, position - 1)
 
 
-def hits(rules: list[Rule], content: Column, body: Column | None = None) -> Column:
+def hits(rules: list[Rule], content: Column | Subject, body: Column | Subject | None = None) -> Column:
     """Every matching rule of a row as array<struct>, in winning order."""
     dtype = "array<struct<rule_id:string,rule_ord:int,raw_threat_type:string,confidence_score:double>>"
     if not rules:

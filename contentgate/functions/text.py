@@ -19,8 +19,8 @@ def is_blank(text: Column) -> Column:
 
 def utf16_units(text: Column) -> Column:
     """Length in UTF-16 code units, the unit the size limit is stated in. NULL counts 0."""
-    encoded = F.octet_length(F.encode(F.coalesce(text, F.lit("")), "UTF-16BE"))
-    return F.shiftright(encoded, 1).cast("bigint")
+    encoded = F.octet_length(F.encode(text, "UTF-16BE"))
+    return F.coalesce(F.shiftright(encoded, 1), F.lit(0)).cast("bigint")
 
 
 def non_empty(text: Column) -> Column:

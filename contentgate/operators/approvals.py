@@ -54,9 +54,17 @@ def covering_approval(requests: DataFrame, approvals: DataFrame, slot_us: int =
 
 
 def pending_approvals(verdicts: DataFrame, granted: DataFrame) -> DataFrame:
-    """Approvals that verdicts ask for and nobody has granted, one row each."""
-    asked = verdicts.filter("approval_info.requires_approval").select("approval_info.*").dropDuplicates(["approval_id"])
-    return asked.join(granted.select("approval_id"), "approval_id", "left_anti")
+    """Approvals that verdicts ask for and nobody has granted, one row each.
+
+    Copies of one request for approval are reduced on the map side.
+    """
+    info = F.col("approval_info")
+    asked = (
+        verdicts.groupBy(info["approval_id"].alias("approval_id"))
+        .agg(F.max(F.when(info["requires_approval"], info)).alias("_info"))
+        .filter(F.col("_info").isNotNull())
+    )
+    return asked.select("_info.*").join(granted.select("approval_id"), "approval_id", "left_anti")
 
 
 def has_expired(created_us: Column, seconds: Column, now_us: Column) -> Column:

@@ -18,6 +18,16 @@ def _rule_table(pack: str, allow_destructive: bool) -> dict[str, list[R.Rule]]:
     return {kind: R.rules_for(pack, kind, allow_destructive) for kind in R.KINDS}
 
 
+def _with_lower(items: DataFrame) -> tuple[DataFrame, R.Subject, R.Subject]:
+    """Lower-case content and body once per row, however many rules read them."""
+    wide = items.withColumn("_content_lower", F.lower("content")).withColumn("_body_lower", F.lower("body"))
+    return (
+        wide,
+        R.Subject(F.col("content"), F.col("_content_lower")),
+        R.Subject(F.col("body"), F.col("_body_lower")),
+    )
+
+
 def scan_raw(items: DataFrame, pack: str = "core", allow_destructive: bool = False, kinds: tuple = R.KINDS) -> DataFrame:
     """Items with the raw result of the rules of their kind: safe, threat_type,
     confidence_score, reason. A projection: no shuffle, and no rule runs after the winner.
@@ -25,15 +35,17 @@ def scan_raw(items: DataFrame, pack: str = "core", allow_destructive: bool = Fal
     Naming the ``kinds`` that occur keeps the expression small.
     """
     table = _rule_table(pack, allow_destructive)
+    wide, content, body = _with_lower(items)
     ordered: list[R.Rule] = []
     position = None
     for kind in kinds:
         # positions are offset so that one list holds the rules of all kinds
-        local = R.winner(table[kind], F.col("content"), F.col("body")) + len(ordered)
+        local = R.winner(table[kind], content, body) + len(ordered)
         is_kind = F.col("content_kind") == kind
         position = F.when(is_kind, local) if position is None else position.when(is_kind, local)
         ordered.extend(table[kind])
-    return raw_from_rules(items.withColumn("_position", position), F.col("_position"), ordered).drop("_position")
+    placed = wide.select(*items.columns, position.alias("_position"))
+    return raw_from_rules(placed, F.col("_position"), ordered).drop("_position")
 
 
 def scan(
@@ -73,12 +85,13 @@ def scan(
 def findings(items: DataFrame, pack: str = "extended", allow_destructive: bool = False, kinds: tuple = R.KINDS) -> DataFrame:
     """Every matching rule of every item, one row each."""
     table = _rule_table(pack, allow_destructive)
+    wide, content, body = _with_lower(items)
     found = None
     for kind in kinds:
         is_kind = F.col("content_kind") == kind
-        local = R.hits(table[kind], F.col("content"), F.col("body"))
+        local = R.hits(table[kind], content, body)
         found = F.when(is_kind, local) if found is None else found.when(is_kind, local)
-    return items.select("request_id", "content_kind", F.explode(found).alias("f")).select(
+    return wide.select("request_id", "content_kind", F.explode(found).alias("f")).select(
         "request_id", "content_kind", "f.*"
     )
 
@@ -157,7 +170,10 @@ def guard_items(
     Every input column passes through; the verdict columns of ``sanitize_verdicts`` are added.
     """
     scanned = scan_raw(items, pack, allow_destructive, kinds)
-    scanned = scanned.withColumn("_units", utf16_units(F.col("content")) + utf16_units(F.col("body")))
+    # a text never has more UTF-16 units than UTF-8 bytes, and those are known without decoding
+    octets = F.octet_length(F.coalesce("content", F.lit(""))) + F.octet_length(F.coalesce("body", F.lit("")))
+    exact = utf16_units(F.col("content")) + utf16_units(F.col("body"))
+    scanned = scanned.withColumn("_units", F.when(octets > limit, exact))
     too_large = oversize_reason(F.col("content_kind"), F.col("_units"), limit)
     blank = F.when(F.col("content_kind") == R.PROMPT, blank_reason(F.col("content")))
     staged = scanned.withColumn("_large", too_large).withColumn("_blank", blank)

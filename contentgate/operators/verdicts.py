@@ -28,24 +28,33 @@ def read_fields(raw: DataFrame, column: str = "raw") -> DataFrame:
     JSON null or did not parse.
     """
     body = F.col(column)
-    safe_field = variants.field(body, "safe")
-    is_unsafe = variants.is_kind(safe_field, variants.BOOLEAN) & ~F.try_variant_get(safe_field, "$", "boolean")
-    kind = variants.field(body, "threat_type")
-    bad_type = variants.truthy_text(kind).isNotNull() & ~variants.is_kind(kind, variants.STRING)
-    present = F.coalesce(variants.kind_of(body) != variants.NULL, F.lit(False))
-    approval = variants.field(body, "approval_info")
-    return raw.select(
+    names = ("safe", "threat_type", "severity", "confidence", "reason", "approval_info")
+    # each member is looked up once; what follows reads it several times
+    members = raw.select(
         "*",
-        (present & ~(is_unsafe & bad_type)).alias("usable"),
-        (~is_unsafe).alias("safe"),
+        (variants.kind_of(body) != variants.NULL).alias("_present"),
+        *[variants.field(body, name).alias(f"_{name}") for name in names],
+    )
+    flag, kind, approval = F.col("_safe"), F.col("_threat_type"), F.col("_approval_info")
+    typed = members.select(
+        *raw.columns,
+        F.coalesce("_present", F.lit(False)).alias("_present"),
+        (variants.is_kind(flag, variants.BOOLEAN) & ~F.try_variant_get(flag, "$", "boolean")).alias("_unsafe"),
+        (variants.truthy_text(kind).isNotNull() & ~variants.is_kind(kind, variants.STRING)).alias("_bad_type"),
         variants.as_string(kind).alias("threat_type"),
-        variants.as_string(variants.field(body, "severity")).alias("severity"),
-        variants.as_double(variants.field(body, "confidence")).alias("confidence_score"),
-        variants.truthy_text(variants.field(body, "reason")).alias("reason"),
+        variants.as_string(F.col("_severity")).alias("severity"),
+        variants.as_double(F.col("_confidence")).alias("confidence_score"),
+        variants.truthy_text(F.col("_reason")).alias("reason"),
         F.when(variants.is_kind(approval, variants.OBJECT), F.try_variant_get(approval, "$", APPROVAL_TYPE)).alias(
             "approval_info"
         ),
     )
+    return typed.select(
+        *raw.columns,
+        (F.col("_present") & ~(F.col("_unsafe") & F.col("_bad_type"))).alias("usable"),
+        (~F.col("_unsafe")).alias("safe"),
+        "threat_type", "severity", "confidence_score", "reason", "approval_info",
+    )
 
 
 def sanitize_verdicts(df: DataFrame, keep: tuple[str, ...] = ("request_id",), api_key: str | None = None) -> DataFrame:
@@ -54,8 +63,12 @@ def sanitize_verdicts(df: DataFrame, keep: tuple[str, ...] = ("request_id",), ap
     Reads ``safe, threat_type, severity, confidence_score, reason`` and, when present,
     ``approval_info``. Scores, violations and every other input column are left behind;
     ``keep`` names the identifying columns that pass. With ``api_key`` naming a column,
-    rows scanned without a key get a note.
+    rows scanned without a key get a note. Rows marked not ``usable`` (see ``read_fields``)
+    have no verdict: every verdict column is NULL. They are kept rather than filtered, for
+    the fail mode to resolve; a filter here would be pushed below the JSON reading and run
+    it twice.
     """
+    usable = F.coalesce("usable", F.lit(False)) if "usable" in df.columns else F.lit(True)
     unsafe = F.coalesce(~F.col("safe"), F.lit(False))
     typed = df.withColumn("_type", taxonomy.threat_type(F.col("threat_type")))
     public_type = F.col("_type")
@@ -63,13 +76,13 @@ def sanitize_verdicts(df: DataFrame, keep: tuple[str, ...] = ("request_id",), ap
     approval = F.col("approval_info") if "approval_info" in df.columns else F.lit(None).cast(APPROVAL_TYPE)
     columns = [
         *keep,
-        (~unsafe).alias("safe"),
-        F.when(unsafe, public_type).alias("threat_type"),
-        F.when(unsafe, taxonomy.severity(public_type, F.col("severity"))).alias("severity"),
-        F.when(unsafe, taxonomy.confidence_level(F.col("confidence_score"))).alias("confidence"),
-        F.coalesce(non_empty(F.col("reason")), F.when(unsafe, advice).otherwise("")).alias("reason"),
-        F.when(unsafe, advice).alias("guidance"),
-        approval.alias("approval_info"),
+        F.when(usable, ~unsafe).alias("safe"),
+        F.when(usable & unsafe, public_type).alias("threat_type"),
+        F.when(usable & unsafe, taxonomy.severity(public_type, F.col("severity"))).alias("severity"),
+        F.when(usable & unsafe, taxonomy.confidence_level(F.col("confidence_score"))).alias("confidence"),
+        F.when(usable, F.coalesce(non_empty(F.col("reason")), F.when(unsafe, advice).otherwise(""))).alias("reason"),
+        F.when(usable & unsafe, advice).alias("guidance"),
+        F.when(usable, approval).alias("approval_info"),
     ]
     if api_key is not None:
         columns.append(F.when(F.coalesce(F.col(api_key), F.lit("")) == "", F.lit(NO_KEY_NOTE)).alias("note"))

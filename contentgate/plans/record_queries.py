@@ -89,20 +89,21 @@ SELECT r.request_id, NOT unsafe_raw IS TRUE AS safe,
        CASE WHEN unsafe_raw THEN CASE WHEN confidence_score IS NULL THEN 'medium' WHEN confidence_score >= 0.9 THEN 'high'
             WHEN confidence_score >= 0.7 THEN 'medium' ELSE 'low' END END AS confidence,
        CASE WHEN unsafe_raw THEN coalesce(reason, y.guidance) ELSE coalesce(reason, '') END AS reason,
-       CASE WHEN unsafe_raw THEN y.guidance END AS guidance, j
+       CASE WHEN unsafe_raw THEN y.guidance END AS guidance, j,
+       parsed AND NOT (coalesce(unsafe_raw, FALSE) AND bad_type) AS usable
 FROM (SELECT *, coalesce(m.tt0, 'unknown') AS tt FROM ({_RAW_SQL})
-      LEFT JOIN (VALUES {ALIASES}) m(alias, tt0) ON m.alias = replace(lower(threat_type), '-', '_')
-      WHERE parsed AND NOT (coalesce(unsafe_raw, FALSE) AND bad_type)) r
+      LEFT JOIN (VALUES {ALIASES}) m(alias, tt0) ON m.alias = replace(lower(threat_type), '-', '_')) r
 LEFT JOIN (VALUES {TYPES}) y(tt, severity, guidance) USING (tt)"""
 
 
 @query(
     "sanitize_verdicts",
-    f"SELECT request_id, safe, threat_type, severity, confidence, reason, guidance, "
-    f"CASE WHEN request_id::BIGINT % 3 = 0 THEN {sql_text(verdicts.NO_KEY_NOTE)} END AS note FROM ({_SANITIZED})",
+    "SELECT request_id, " + ", ".join(f"CASE WHEN usable THEN {c} END AS {c}" for c in
+        ("safe", "threat_type", "severity", "confidence", "reason", "guidance"))
+    + f", CASE WHEN request_id::BIGINT % 3 = 0 THEN {sql_text(verdicts.NO_KEY_NOTE)} END AS note FROM ({_SANITIZED})",
 )
 def sanitize_verdicts(spark, sf_dir):
-    raw = _raw(spark, sf_dir).filter("usable")
+    raw = _raw(spark, sf_dir)
     keyed = raw.withColumn("api_key", F.when(F.col("request_id").cast("bigint") % 3 != 0, "key"))
     return verdicts.sanitize_verdicts(keyed, api_key="api_key").drop("approval_info")
 
@@ -110,15 +111,15 @@ def sanitize_verdicts(spark, sf_dir):
 @query(
     "sanitize_approval",
     f"""
-SELECT request_id, safe, json_extract_string(j, '$.approval_info.approval_id') AS approval_id,
+SELECT request_id, CASE WHEN usable THEN safe END AS safe, json_extract_string(j, '$.approval_info.approval_id') AS approval_id,
        (json_extract_string(j, '$.approval_info.requires_approval') = 'true') AS requires_approval,
        json_extract_string(j, '$.approval_info.policy_name') AS policy_name,
        CAST(json_extract_string(j, '$.approval_info.expires_in_seconds') AS BIGINT) AS expires_in_seconds,
-       'x,y' AS risk_factors, NULL::VARCHAR AS owasp_category
-FROM ({_SANITIZED}) WHERE json_type(j, '$.approval_info') = 'OBJECT'""",
+       CASE WHEN json_type(j, '$.approval_info') = 'OBJECT' THEN 'x,y' END AS risk_factors, NULL::VARCHAR AS owasp_category
+FROM ({_SANITIZED})""",
 )
 def sanitize_approval(spark, sf_dir):
-    done = verdicts.sanitize_verdicts(_raw(spark, sf_dir).filter("usable")).filter("approval_info IS NOT NULL")
+    done = verdicts.sanitize_verdicts(_raw(spark, sf_dir))
     return done.select(
         "request_id", "safe", "approval_info.approval_id", "approval_info.requires_approval",
         "approval_info.policy_name", "approval_info.expires_in_seconds",
@@ -295,6 +296,11 @@ def change_log(spark, sf_dir):
         ((F.col("event_id") % 10) / 10).alias("threshold"),
         F.lit(None).cast("array<string>").alias("patterns"),
     )
+    second = F.struct(
+        F.lit("prompt_injection").alias("type"), F.lit("block").alias("action"),
+        F.when(F.col("event_id") % 5 != 0, F.lit(0.96)).alias("threshold"),
+        F.lit(None).cast("array<string>").alias("patterns"),
+    )
     op = (
         F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "error", "delete")
         .when(F.col("event_type").isin("click", "view"), "update")
@@ -305,7 +311,7 @@ def change_log(spark, sf_dir):
         F.col("event_id").alias("seq"),
         F.when(create | (F.col("event_type") == "click"), F.concat(F.lit("policy "), F.col("event_id").cast("string"))).alias("name"),
         F.when(F.col("event_type") == "view", F.col("props")).alias("description"),
-        F.when(create | (F.col("event_id") % 4 == 0), F.array(rule)).alias("rules"),
+        F.when(create | (F.col("event_id") % 4 == 0), F.array(rule, second)).alias("rules"),
         F.when(create, F.col("event_id") % 2 == 0).alias("is_default"),
     ).filter("op IS NOT NULL")
 
@@ -368,38 +374,36 @@ def _agents(spark, sf_dir):
     )
 
 
+# each policy of the log has two rules: the varying one and a block above a threshold
+_TWO_RULES = f"""
+rules AS (
+  SELECT policy_id, {_RULE_COLUMNS} FROM snapshot UNION ALL
+  SELECT policy_id, 'prompt_injection', 'block', CASE WHEN rule_src % 5 <> 0 THEN 0.96 END FROM snapshot)"""
+
+
 @query(
     "agent_policies",
-    f"""WITH {_SNAPSHOT}
-SELECT agent_id, status, a.policy_id, s.name AS policy_name, {_RULE_COLUMNS.replace('ELSE', 'WHEN rule_src % 2 = 1 THEN', 1).replace("ELSE 'allow'", "WHEN 2 THEN 'allow'")}
+    f"""WITH {_SNAPSHOT}, {_TWO_RULES}
+SELECT agent_id, status, a.policy_id, s.name AS policy_name, r.rule_type, r.action, r.threshold
 FROM (SELECT concat('agent-', c_custkey) AS agent_id, CASE WHEN c_custkey % 9 <> 0 THEN CAST(c_custkey % 200 AS VARCHAR) END
         AS policy_id, CASE WHEN c_acctbal > 0 THEN 'active' ELSE 'inactive' END AS status FROM customer) a
-LEFT JOIN snapshot s USING (policy_id)""",
+LEFT JOIN snapshot s USING (policy_id) LEFT JOIN rules r USING (policy_id)""",
 )
 def agent_policies(spark, sf_dir):
     return policy.agent_policies(_agents(spark, sf_dir), policy.policy_snapshot(change_log(spark, sf_dir)))
 
 
-_ENFORCE_RULES = (
-    ("0", "prompt_injection", "block", 0.9), ("0", "pii_detection", "warn", None), ("0", "sql_injection", "allow", 0.2),
-    ("1", "prompt_injection", "warn", 0.5), ("1", "prompt_injection", "block", 0.99), ("1", "pii_detection", "allow", 0.6),
-    ("2", "jailbreak", "block", None), ("2", "pii_detection", "block", 0.995), ("2", "pii_detection", "allow", 0.1),
-    ("3", "prompt_injection", "allow", None), ("3", "pii_detection", "warn", 0.97), ("3", "custom", "block", None),
-)
-
-
 @query(
     "policy_enforce",
     f"""
-WITH f AS (
-  SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 5 AS VARCHAR) AS policy_id, tt AS threat_type,
+WITH {_SNAPSHOT}, {_TWO_RULES}, f AS (
+  SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 150 AS VARCHAR) AS policy_id, tt AS threat_type,
          CASE tt WHEN 'prompt_injection' THEN 0.95 ELSE 0.99 END AS score
   FROM (SELECT doc_id, unnest([CASE WHEN contains(lower(content), 'ignore previous') THEN 'prompt_injection' END,
                CASE WHEN contains(content, 'SSN') OR regexp_matches(content, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}') THEN 'pii_exposure' END]) AS tt
         FROM (SELECT doc_id, {PROMPT} AS content FROM documents)) WHERE tt IS NOT NULL),
 r AS (SELECT policy_id, CASE rule_type WHEN 'pii_detection' THEN 'pii_exposure' ELSE rule_type END AS threat_type,
-             CASE action WHEN 'block' THEN 3 WHEN 'warn' THEN 2 ELSE 1 END AS rank, coalesce(threshold, 0) AS threshold
-      FROM (VALUES {values_rows(_ENFORCE_RULES)}) v(policy_id, rule_type, action, threshold) WHERE rule_type <> 'custom'),
+             CASE action WHEN 'block' THEN 3 WHEN 'warn' THEN 2 ELSE 1 END AS rank, coalesce(threshold, 0) AS threshold FROM rules),
 m AS (SELECT f.request_id, f.threat_type, coalesce(max(r.rank), 3) AS rank
       FROM f LEFT JOIN r ON f.policy_id = r.policy_id AND f.threat_type = r.threat_type AND f.score >= r.threshold GROUP BY 1, 2)
 SELECT request_id, CASE max(rank) WHEN 3 THEN 'block' WHEN 2 THEN 'warn' ELSE 'allow' END AS action, count(*) AS n_findings
@@ -407,39 +411,46 @@ FROM m GROUP BY 1""",
 )
 def policy_enforce(spark, sf_dir):
     found = scan.findings(prompt_items(spark, sf_dir), "core", kinds=(R.PROMPT,)).select(
-        "request_id", (F.col("request_id").cast("bigint") % 5).cast("string").alias("policy_id"),
+        "request_id", (F.col("request_id").cast("bigint") % 150).cast("string").alias("policy_id"),
         X.threat_type(F.col("raw_threat_type")).alias("threat_type"), "confidence_score",
     )
-    rules = spark.createDataFrame(_ENFORCE_RULES, "policy_id string, rule_type string, action string, threshold double")
+    rules = policy.policy_rules(policy.policy_snapshot(change_log(spark, sf_dir)))
     return policy.enforce_policy(found, rules)
 
 
-_CUSTOM = (
-    ("0", "warn", ("[aeiou]{4}", "the [a-z]+ing ")), ("0", "block", ("(one|two|three)ing",)), ("1", "block", ("^A", "(a+)+$")),
-    ("2", "allow", ("ou.n",)), ("2", "warn", ("[0-9]{4}",)),
-)
+# patterns of the policy of each user; one user in four also has a pattern that is refused
+_WARN_PATTERN = "concat('[aeiou]{', 3 + user_id % 3, '} ')"
+_BLOCK_PATTERN = "concat('(one|two|th)[a-z]*', chr(CAST(97 + user_id % 26 AS INT)), 'ing')"
+_REFUSED = "(a+)+$"
 
 
 @query(
     "policy_custom_patterns",
     f"""
-SELECT request_id, policy_id, CASE max(rank) WHEN 3 THEN 'block' WHEN 2 THEN 'warn' ELSE 'allow' END AS action,
-       CASE policy_id WHEN '1' THEN 1 ELSE 0 END AS n_unusable
-FROM (SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 4 AS VARCHAR) AS policy_id, text FROM documents) i
-JOIN (VALUES {values_rows([(p, {'block': 3, 'warn': 2, 'allow': 1}[a], x) for p, a, xs in _CUSTOM for x in xs if x != '(a+)+$'])})
-  r(policy_id, rank, pattern) USING (policy_id)
+WITH u AS (SELECT DISTINCT user_id FROM events),
+r AS (SELECT user_id, 2 AS rank, {_WARN_PATTERN} AS pattern FROM u UNION ALL SELECT user_id, 3, {_BLOCK_PATTERN} FROM u)
+SELECT request_id, policy_id, CASE max(rank) WHEN 3 THEN 'block' ELSE 'warn' END AS action,
+       CASE WHEN policy_id::BIGINT % 4 = 1 THEN 1 ELSE 0 END AS n_unusable
+FROM (SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 150 AS VARCHAR) AS policy_id, text FROM documents) i
+JOIN r ON r.user_id = i.policy_id::BIGINT
 WHERE regexp_matches(text, pattern) GROUP BY request_id, policy_id""",
 )
 def policy_custom_patterns(spark, sf_dir):
     items = load(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("request_id"), (F.col("doc_id") % 4).cast("string").alias("policy_id"),
+        F.col("doc_id").cast("string").alias("request_id"), (F.col("doc_id") % 150).cast("string").alias("policy_id"),
         F.col("text").alias("content"),
     )
-    rows = {}
-    for pid, action, xs in _CUSTOM:
-        rows.setdefault(pid, []).append({"type": "custom", "action": action, "patterns": list(xs)})
-    policies = spark.createDataFrame(
-        list(rows.items()), "policy_id string, rules array<struct<type:string,action:string,patterns:array<string>>>"
+
+    def rule(action, *patterns):
+        return F.struct(F.lit("custom").alias("type"), F.lit(action).alias("action"), F.array(*patterns).alias("patterns"))
+
+    refused = F.when(F.col("user_id") % 4 == 1, F.lit(_REFUSED))
+    policies = load(spark, sf_dir, "events").select("user_id").distinct().select(
+        F.col("user_id").cast("string").alias("policy_id"),
+        F.array(
+            rule("warn", F.expr(_WARN_PATTERN)),
+            rule("block", F.expr(_BLOCK_PATTERN), F.coalesce(refused, F.expr(_BLOCK_PATTERN))),
+        ).alias("rules"),
     )
     return policy.enforce_custom_patterns(items, policies)
 
@@ -473,7 +484,7 @@ def approval_interval_join(spark, sf_dir):
     "FROM events WHERE event_id % 16 = 15 AND event_id % 3 <> 0",
 )
 def approvals_pending(spark, sf_dir):
-    done = verdicts.sanitize_verdicts(_raw(spark, sf_dir).filter("usable"))
+    done = verdicts.sanitize_verdicts(_raw(spark, sf_dir))
     granted = load(spark, sf_dir, "events").filter("event_id % 3 = 0").select(
         F.concat(F.lit("a"), F.col("event_id").cast("string")).alias("approval_id")
     )

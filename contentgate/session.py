@@ -27,6 +27,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal a table that few tasks would read over all cores.
+
+    A small file is read by one task, and a scan of its texts would keep one core busy. A
+    table that already gives at least a quarter of the cores something to read is returned
+    as it is, so a large table never pays for an exchange here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh sub-folder of the checkpoint folder the cluster names.
 
