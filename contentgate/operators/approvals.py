@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from contentgate.operators.keyed import floor_div
+
 SLOT_US = 3_600 * 1_000_000
 
 
@@ -20,14 +22,14 @@ def covering_approval(requests: DataFrame, approvals: DataFrame, slot_us: int =
     is a running maximum, in two levels: the maximum per (agent, slot) carried over the
     slots, then within the slot. One busy agent is spread over its slots.
     """
-    grants = approvals.select(
+    grants = approvals.filter("agent_id IS NOT NULL").select(
         "agent_id",
         F.col("created_us").alias("_at"),
         F.struct(
             (F.col("created_us") + F.col("expires_in_seconds") * 1_000_000).alias("end"), F.col("approval_id").alias("id")
         ).alias("_grant"),
     )
-    slot = F.floor(F.col("_at") / F.lit(slot_us)).alias("_slot")
+    slot = floor_div(F.col("_at"), slot_us).alias("_slot")
     per_slot = grants.groupBy("agent_id", slot).agg(F.max("_grant").alias("_best"))
     asks = requests.select("agent_id", F.col("at_us").alias("_at"), "request_id")
     # the carry is read at slots with requests as well as at slots with grants

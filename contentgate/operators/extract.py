@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 
 from contentgate.functions import variants
 from contentgate.functions.text import utf16_units
+from contentgate.operators.keyed import solid_key
 
 TURNS_PER_SEGMENT = 1024
 
@@ -137,36 +138,38 @@ def conversation_history(
     The running length is a two-level prefix sum: totals per segment of turns, then within
     the segment, so one huge conversation is spread over many tasks.
     """
+    known, none = solid_key(df, "conv_id")
     slim = df.select(
         "conv_id",
+        known.alias("_conv"),
+        none.alias("_none"),
         "turn",
         "role",
         F.col(content).alias("text"),
-        F.expr(f"turn div {int(turns_per_segment)}").alias("_segment"),
+        F.coalesce(F.expr(f"turn div {int(turns_per_segment)}"), F.lit(-1)).alias("_segment"),
         # a line feed separates it from what follows
         (utf16_units(F.col(content)) + F.when(F.col(content).isNotNull(), 1).otherwise(0)).alias("_units"),
     )
-    totals = slim.groupBy("conv_id", "_segment").agg(F.sum("_units").alias("_total"))
-    earlier = W.partitionBy("conv_id").orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
-    carry = totals.select(
-        "conv_id", "_segment", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carry")
-    )
-    within = W.partitionBy("conv_id", "_segment").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
+    conversation = ["_conv", "_none"]
+    segment = [*conversation, "_segment"]
+    totals = slim.groupBy(*segment).agg(F.sum("_units").alias("_total"))
+    earlier = W.partitionBy(*conversation).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
+    carry = totals.select(*segment, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carry"))
+    within = W.partitionBy(*segment).orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
     measured = (
-        slim.join(carry, ["conv_id", "_segment"])
+        slim.join(carry, segment)
         .withColumn("_before", F.col("_carry") + F.coalesce(F.sum("_units").over(within), F.lit(0)))
         .withColumn("history_units", F.greatest(F.col("_before") - 1, F.lit(0)).cast("bigint"))
         .withColumn("oversize", F.col("history_units") + utf16_units(F.col("text")) > limit)
     )
-    # Every turn of the short prefix of a conversation is needed to build histories;
-    # the rest is not. The prefix holds at most limit + 1 units.
-    head = measured.filter(F.col("_before") <= limit + 1)
-    tail = measured.filter(F.col("_before") > limit + 1)
-    running = W.partitionBy("conv_id").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
-    prior = F.array_join(F.collect_list("text").over(running), "\n")
-    columns = ["conv_id", "turn", "role", "text", "history", "history_units", "oversize"]
-    head = head.withColumn("_h", prior).withColumn(
-        "history", F.when(~F.col("oversize"), F.coalesce(F.col("_h"), F.lit("")))
+    # Only the short prefix of a conversation is needed to build histories; it holds at
+    # most limit + 1 units. Later turns carry no text into the window.
+    early = F.col("_before") <= limit + 1
+    running = W.partitionBy(*conversation, "_part").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
+    # later turns are grouped by segment, so that no window holds a whole long conversation
+    split = measured.withColumn("_part", F.when(early, F.lit(-1)).otherwise(F.col("_segment")))
+    prior = F.array_join(F.collect_list(F.when(early, F.col("text"))).over(running), "\n")
+    return split.withColumn("_prior", F.coalesce(prior, F.lit(""))).select(
+        "conv_id", "turn", "role", "text",
+        F.when(~F.col("oversize"), F.col("_prior")).alias("history"), "history_units", "oversize",
     )
-    tail = tail.withColumn("history", F.lit(None).cast("string"))
-    return head.select(*columns).unionByName(tail.select(*columns))

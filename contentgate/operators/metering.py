@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contentgate.functions.taxonomy import literal_map
+from contentgate.operators.keyed import floor_div
 from contentgate.operators.sessions import gap_runs
 
 # Limits per tier, and the default client limit.
@@ -58,15 +59,15 @@ def quota_rows(requests: DataFrame, quota: Column, clock: str = "ts") -> DataFra
     ``quota`` is evaluated on the request row and must be the same for a key.
     """
     live = requests.filter(F.coalesce(F.col("mode"), F.lit("production")) != "sandbox").select(
-        "request_id", "api_key", F.col(clock).alias("_ts"), quota.cast("bigint").alias("quota"),
+        "request_id", "api_key", F.coalesce("api_key", F.lit("")).alias("_key"), F.col(clock).alias("_ts"), quota.cast("bigint").alias("quota"),
         month_of(F.col(clock)).alias("month"),
         F.date_trunc("minute", F.col(clock)).alias("_minute"),
     )
-    group = ["api_key", "month", "_minute"]
+    group = ["_key", "month", "_minute"]
     counts = live.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = W.partitionBy("api_key", "month").orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_key", "month").orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
     carry = counts.select(*group, "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    placed = live.join(carry, group).withColumn(
+    placed = live.join(carry, group, "left").withColumn(
         "_rank", F.row_number().over(W.partitionBy(*group).orderBy("_ts", "request_id"))
     )
     return placed.select(
@@ -78,7 +79,7 @@ def quota_rows(requests: DataFrame, quota: Column, clock: str = "ts") -> DataFra
 def id_segment(df: DataFrame, column: str) -> Column:
     """A coarse key that rises with the id: splits the requests of one millisecond."""
     if isinstance(df.schema[column].dataType, T.IntegralType):
-        return F.floor(F.col(column) / F.lit(IDS_PER_SEGMENT))
+        return floor_div(F.col(column), IDS_PER_SEGMENT)
     return F.substring(F.col(column).cast("string"), 1, 4)
 
 
@@ -120,15 +121,18 @@ def token_bucket(
       such silences is folded on its own and the runs of one busy key spread out;
     * per-request answers follow from the units ahead of the group and the place in it, by
       a join on (key, ms) that spreads a busy key over all tasks.
+
+    A request without a time stays in the result without an answer.
     """
     rate = F.lit(rpm) if isinstance(rpm, int) else rpm
-    keyed = df.withColumn("_key", F.col(key).cast("string")).withColumn("_ms", F.col(clock).cast("bigint"))
+    # requests without a key are one caller, like a blank key
+    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("_ms", F.col(clock).cast("bigint"))
     keyed = keyed.withColumn("_segment", id_segment(df, order)).withColumn("_rate", rate.cast("bigint"))
-    groups = keyed.groupBy("_key", "_ms", "_segment").agg(
+    groups = keyed.filter(F.col("_ms").isNotNull()).groupBy("_key", "_ms", "_segment").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_rate").alias("_rpm")
     )
     runs = gap_runs(groups, "_key", "_ms", REFILL_MS, inclusive=True).select("_key", F.col("slot").alias("_slot"), "run")
-    slotted = groups.withColumn("_slot", F.floor(F.col("_ms") / F.lit(REFILL_MS)))
+    slotted = groups.withColumn("_slot", floor_div(F.col("_ms"), REFILL_MS))
     ordered = (
         slotted.join(runs, ["_key", "_slot"])
         .select("_key", F.concat_ws("|", F.col("run").cast("string"), "_key").alias("_who"), "_rpm", "_ms", "_segment", "_n")
@@ -138,7 +142,7 @@ def token_bucket(
     kind = keyed.schema["_segment"].dataType.simpleString()
     states = ordered.mapInPandas(_fold, f"_key string, _ms bigint, _segment {kind}, _n bigint, _units bigint")
     place = F.row_number().over(W.partitionBy("_key", "_ms", "_segment").orderBy(order))
-    joined = keyed.join(states, ["_key", "_ms", "_segment"]).withColumn("_place", place)
+    joined = keyed.join(states, ["_key", "_ms", "_segment"], "left").withColumn("_place", place)
     granted = F.least(F.col("_n"), F.expr(f"_units div {TOKEN}"))
     allowed = F.col("_place") <= granted
     left = F.expr(f"(_units - _place * {TOKEN}) div {TOKEN}")
@@ -146,6 +150,6 @@ def token_bucket(
     return joined.select(
         *df.columns,
         allowed.alias("allowed"),
-        F.when(allowed, left).otherwise(0).cast("bigint").alias("remaining"),
+        F.when(allowed, left).when(~allowed, 0).cast("bigint").alias("remaining"),
         F.when(~allowed, F.ceil(missing / F.col("_rate"))).cast("bigint").alias("retry_after_ms"),
     )

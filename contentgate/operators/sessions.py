@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from contentgate.operators.keyed import floor_div, null_safe_join
+
 SESSION_GAP_US = 30 * 60 * 1_000_000
 
 # This engine's own weights: the chance that one finding of the severity stands for an attack.
@@ -30,7 +32,7 @@ def gap_runs(df: DataFrame, key: str, clock: str, gap: int, inclusive: bool = Fa
 
     Gives key, slot, first, last, n, run and one column per entry of ``aggs``.
     """
-    slots = df.groupBy(key, F.floor(F.col(clock) / F.lit(gap)).alias("slot")).agg(
+    slots = df.groupBy(key, floor_div(F.col(clock), gap).alias("slot")).agg(
         F.min(clock).alias("first"), F.max(clock).alias("last"), F.count(F.lit(1)).alias("n"),
         *[agg.alias(name) for name, agg in aggs.items()],
     )
@@ -54,8 +56,8 @@ def assign_sessions(events: DataFrame, key: str, clock: str, gap: int = SESSION_
     """Every event with the number of its session. The join is on (key, slot), so the
     events of one busy key spread over as many tasks as it has slots."""
     runs = gap_runs(events, key, clock, gap).select(key, F.col("slot").alias("_slot"), F.col("run").alias("session_no"))
-    slotted = events.withColumn("_slot", F.floor(F.col(clock) / F.lit(gap)))
-    return slotted.join(runs, [key, "_slot"]).drop("_slot")
+    slotted = events.withColumn("_slot", floor_div(F.col(clock), gap))
+    return null_safe_join(slotted, runs, [key, "_slot"]).drop("_slot")
 
 
 def session_risk(verdicts: DataFrame) -> DataFrame:

@@ -13,15 +13,21 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # session windows are merged inside a task before they are shuffled
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     # a JSON object with a repeated key keeps the last value instead of failing to parse
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Custom stateful operators need a state store with column families.
+STATE_STORE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
+def configure(spark: SparkSession, streaming: bool = False) -> SparkSession:
+    for key, value in {**RUNTIME_CONF, **(STATE_STORE_CONF if streaming else {})}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
