@@ -115,8 +115,8 @@ def enforce_policy(findings: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 MAX_PATTERN_CHARS = 1_000
-# A pattern is used when it is built from plain pieces and has no repeated group that
-# itself repeats (the shape behind runaway matching).
+# A pattern is used when it is built from plain pieces, nests no groups and repeats no
+# group without bound (the shapes behind runaway matching and deep recursion).
 PLAIN_PATTERN = (
     r"^\^?([^\\\[\](){}|*+?^$]|\\[dDwWsS.\\/+*?()\[\]{}|^$-]|\[\^?[^\[\]\\&]+\]|\((\?:)?[^()*+?{}]+\)"
     r"|[*+?]|\{[0-9]{1,3}(,[0-9]{0,3})?\}|\|)*\$?$"
@@ -129,7 +129,8 @@ def usable_pattern(pattern: Column) -> Column:
     A quantifier must follow something it can repeat, and not another quantifier.
     """
     dangling = pattern.rlike(r"(^|\||\((\?:)?|[*+?}])[*+?{]") | pattern.rlike(r"(^|[^\\])\^[*+?{]")
-    return (F.length(pattern) <= MAX_PATTERN_CHARS) & pattern.rlike(PLAIN_PATTERN) & ~dangling
+    open_ended = pattern.rlike(r"(^|[^\\])\)([*+]|\{[0-9]+,\})")
+    return (F.length(pattern) <= MAX_PATTERN_CHARS) & pattern.rlike(PLAIN_PATTERN) & ~dangling & ~open_ended
 
 
 def enforce_custom_patterns(items: DataFrame, policies: DataFrame) -> DataFrame:

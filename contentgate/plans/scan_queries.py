@@ -235,7 +235,7 @@ def match_sql(raw_type: str, text: str) -> str:
             f"list_sum(list_transform(string_split({digits}, ''), lambda d, i: CASE WHEN i % 2 = 1 THEN d::INT "
             "ELSE d::INT * 2 - CASE WHEN d::INT > 4 THEN 9 ELSE 0 END END))"
         )
-        candidates = f"regexp_extract_all({text}, {sql_text(R.PATTERNS['card_candidate'])}, 2)"
+        candidates = f"regexp_extract_all(replace({text}, chr(10), chr(10) || chr(10)), {sql_text(R.PATTERNS['card_candidate'])}, 2)"
         return f"len(list_filter({candidates}, lambda c: {summed} % 10 = 0)) > 0"
     subject = f"lower({text})" if raw_type in _LOWERED else text
     return f"regexp_matches({subject}, {sql_text(R.PATTERNS[raw_type])})"

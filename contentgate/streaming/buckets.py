@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -29,25 +30,33 @@ class Bucket(StatefulProcessor):
         self.bucket = handle.getValueState("bucket", "units bigint, last bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        due = pd.concat(list(rows)).sort_values(["ms", "request_id"], kind="stable")
+        # two integers per request of the micro-batch; nothing else of it is held
+        parts = [(batch["ms"].to_numpy("int64"), batch["request_id"].to_numpy("int64")) for batch in rows]
+        ms = np.concatenate([p[0] for p in parts])
+        ids = np.concatenate([p[1] for p in parts])
+        line = np.lexsort((ids, ms))
+        ms, ids = ms[line], ids[line]
         full = self.rpm * TOKEN
         known = self.bucket.get() if self.bucket.exists() else None
-        units, last = (int(known[0]), int(known[1])) if known is not None else (full, None)
-        answers = []
-        for ms in due["ms"]:
-            if last is not None and ms > last:
-                units = min(full, units + (ms - last) * self.rpm)
-            last = ms if last is None else max(last, ms)
-            if units >= TOKEN:
-                units -= TOKEN
-                answers.append((True, units // TOKEN, None))
-            else:
-                answers.append((False, 0, -(-(TOKEN - units) // self.rpm)))
-        self.bucket.update((int(units), int(last)))
-        allowed, remaining, retry = zip(*answers)
+        units, last = (int(known[0]), int(known[1])) if known is not None else (full, int(ms[0]))
+        # requests of one millisecond differ only in their place in line
+        times, starts, counts = np.unique(ms, return_index=True, return_counts=True)
+        before = np.empty(len(times), dtype="int64")
+        for i, (now, n) in enumerate(zip(times.tolist(), counts.tolist())):
+            units = min(full, units + max(0, now - last) * self.rpm)
+            last = max(last, now)
+            before[i] = units
+            units -= min(n, units // TOKEN) * TOKEN
+        self.bucket.update((units, last))
+        place = np.arange(len(ms)) - np.repeat(starts, counts) + 1
+        ahead = np.repeat(before, counts)
+        granted = ahead // TOKEN
+        allowed = place <= granted
+        missing = TOKEN - (ahead - np.minimum(granted, np.repeat(counts, counts)) * TOKEN)
+        retry = pd.Series(-(-missing // self.rpm), dtype="Int64").mask(allowed)
         yield pd.DataFrame({
-            "api_key": key[0], "request_id": due["request_id"].to_numpy(), "ms": due["ms"].to_numpy(),
-            "allowed": list(allowed), "remaining": list(remaining), "retry_after_ms": pd.array(retry, dtype="Int64"),
+            "api_key": key[0], "request_id": ids, "ms": ms, "allowed": allowed,
+            "remaining": np.where(allowed, (ahead - place * TOKEN) // TOKEN, 0), "retry_after_ms": retry,
         })
 
     def close(self) -> None:
