@@ -14,7 +14,8 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 class Heartbeats(StatefulProcessor):
     """Emits a row when an agent becomes active and when it has been silent too long.
 
-    The silence is judged by the watermark: a timer at last heartbeat + limit.
+    The silence is judged by the watermark: a timer at last heartbeat + limit. An agent that
+    reports again in the very batch that would have expired it stays active.
     """
 
     def __init__(self, after_ms: int):
