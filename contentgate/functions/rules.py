@@ -90,14 +90,19 @@ def card_number(text: Column) -> Column:
 
 
 class Subject(NamedTuple):
-    """A text and its lower-cased form, so that a table computes the latter once."""
+    """A text with what several rules derive from it, so that a table derives it once."""
 
     text: Column
     lower: Column
+    digits: Column  # whether three digits stand together, which most prose lacks
+
+
+def has_digits(text: Column) -> Column:
+    return text.rlike("[0-9][ -]?[0-9][ -]?[0-9]")
 
 
 def subject(text: Column | Subject) -> Subject:
-    return text if isinstance(text, Subject) else Subject(text, F.lower(text))
+    return text if isinstance(text, Subject) else Subject(text, F.lower(text), has_digits(text))
 
 
 @dataclass(frozen=True)
@@ -120,7 +125,8 @@ class Rule:
 
 
 def _pattern(
-    name: str, lowered: bool = False, hints: tuple[tuple[str, ...], ...] = (), quick: str | None = None
+    name: str, lowered: bool = False, hints: tuple[tuple[str, ...], ...] = (), quick: str | None = None,
+    digits: bool = False,
 ) -> Callable[[Subject], Column]:
     """Match a named pattern, cheap tests first.
 
@@ -139,7 +145,7 @@ def _pattern(
             for literal in literals[1:]:
                 seen = seen | text.contains(literal)
             found = seen & found
-        return found
+        return s.digits & found if digits else found
 
     return test
 
@@ -178,10 +184,11 @@ EXTENDED_RULES = (
     Rule("ext.reverse_shell", "reverse_shell", TEXT_KINDS,
          _pattern("reverse_shell", lowered=True, hints=(("-", "/dev/tcp/"),), quick="nc[ \\t]+-|/dev/tcp/|bash"), 0.95),
     Rule("ext.fork_bomb", "fork_bomb", TEXT_KINDS, _pattern("fork_bomb", hints=((":(",),)), 0.97),
-    Rule("ext.ssn", "ssn", TEXT_KINDS, _pattern("ssn", hints=(("-",),), quick="[0-9]{3}-[0-9]{2}-[0-9]{4}"), 0.95),
-    Rule("ext.credit_card", "credit_card", TEXT_KINDS, lambda s: card_number(s.text), 0.97),
+    Rule("ext.ssn", "ssn", TEXT_KINDS,
+         _pattern("ssn", hints=(("-",),), quick="[0-9]{3}-[0-9]{2}-[0-9]{4}", digits=True), 0.95),
+    Rule("ext.credit_card", "credit_card", TEXT_KINDS, lambda s: s.digits & card_number(s.text), 0.97),
     Rule("ext.email", "email_exposure", TEXT_KINDS, _pattern("email_exposure", hints=(("@",),)), 0.8),
-    Rule("ext.phone", "phone_number", TEXT_KINDS, _pattern("phone_number", quick="[0-9]{3}[ .-][0-9]{4}"), 0.75),
+    Rule("ext.phone", "phone_number", TEXT_KINDS, _pattern("phone_number", quick="[0-9]{3}[ .-][0-9]{4}", digits=True), 0.75),
     Rule("ext.instruction_override", "instruction_override", TEXT_KINDS,
          _pattern("instruction_override", lowered=True,
                   hints=(("previous", "prior", "above"), ("ignore", "disregard", "forget"))), 0.9),

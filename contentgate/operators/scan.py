@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentgate.functions import rules as R
@@ -18,24 +18,38 @@ def _rule_table(pack: str, allow_destructive: bool) -> dict[str, list[R.Rule]]:
     return {kind: R.rules_for(pack, kind, allow_destructive) for kind in R.KINDS}
 
 
-def _with_lower(items: DataFrame) -> tuple[DataFrame, R.Subject, R.Subject]:
-    """Lower-case content and body once per row, however many rules read them."""
-    wide = items.withColumn("_content_lower", F.lower("content")).withColumn("_body_lower", F.lower("body"))
-    return (
-        wide,
-        R.Subject(F.col("content"), F.col("_content_lower")),
-        R.Subject(F.col("body"), F.col("_body_lower")),
+def _with_subjects(items: DataFrame, pack: str) -> tuple[DataFrame, R.Subject, R.Subject]:
+    """Derive once per row what many rules of a pack read. The core pack reads little: its
+    few expressions stay where they are used."""
+    if pack == "core":
+        return items, R.subject(F.col("content")), R.subject(F.col("body"))
+    subjects = {name: R.subject(F.col(name)) for name in ("content", "body")}
+    wide = items.select(
+        "*",
+        *[s.lower.alias(f"_{name}_lower") for name, s in subjects.items()],
+        *[s.digits.alias(f"_{name}_digits") for name, s in subjects.items()],
     )
+    content, body = [
+        R.Subject(F.col(name), F.col(f"_{name}_lower"), F.col(f"_{name}_digits")) for name in subjects
+    ]
+    return wide, content, body
 
 
-def scan_raw(items: DataFrame, pack: str = "core", allow_destructive: bool = False, kinds: tuple = R.KINDS) -> DataFrame:
+def scan_raw(
+    items: DataFrame,
+    pack: str = "core",
+    allow_destructive: bool = False,
+    kinds: tuple = R.KINDS,
+    skip: Column | None = None,
+) -> DataFrame:
     """Items with the raw result of the rules of their kind: safe, threat_type,
     confidence_score, reason. A projection: no shuffle, and no rule runs after the winner.
 
-    Naming the ``kinds`` that occur keeps the expression small.
+    Naming the ``kinds`` that occur keeps the expression small. Rows for which ``skip`` holds
+    are not scanned and come out safe.
     """
     table = _rule_table(pack, allow_destructive)
-    wide, content, body = _with_lower(items)
+    wide, content, body = _with_subjects(items, pack)
     ordered: list[R.Rule] = []
     position = None
     for kind in kinds:
@@ -44,6 +58,8 @@ def scan_raw(items: DataFrame, pack: str = "core", allow_destructive: bool = Fal
         is_kind = F.col("content_kind") == kind
         position = F.when(is_kind, local) if position is None else position.when(is_kind, local)
         ordered.extend(table[kind])
+    if skip is not None:
+        position = F.when(~skip, position)
     placed = wide.select(*items.columns, position.alias("_position"))
     return raw_from_rules(placed, F.col("_position"), ordered).drop("_position")
 
@@ -85,7 +101,7 @@ def scan(
 def findings(items: DataFrame, pack: str = "extended", allow_destructive: bool = False, kinds: tuple = R.KINDS) -> DataFrame:
     """Every matching rule of every item, one row each."""
     table = _rule_table(pack, allow_destructive)
-    wide, content, body = _with_lower(items)
+    wide, content, body = _with_subjects(items, pack)
     found = None
     for kind in kinds:
         is_kind = F.col("content_kind") == kind
@@ -165,27 +181,30 @@ def guard_items(
     allow_destructive: bool = False,
     kinds: tuple = R.KINDS,
 ) -> DataFrame:
-    """Size gate, blank gate (chat prompts only) and scan in one projection over the items.
+    """Size gate, blank gate (chat prompts only) and scan in one pass over the items.
+
+    The gates come first: what they settle is not scanned.
 
     Every input column passes through; the verdict columns of ``sanitize_verdicts`` are added.
     """
-    scanned = scan_raw(items, pack, allow_destructive, kinds)
     # a text never has more UTF-16 units than UTF-8 bytes, and those are known without decoding
     octets = F.octet_length(F.coalesce("content", F.lit(""))) + F.octet_length(F.coalesce("body", F.lit("")))
     exact = utf16_units(F.col("content")) + utf16_units(F.col("body"))
-    scanned = scanned.withColumn("_units", F.when(octets > limit, exact))
-    too_large = oversize_reason(F.col("content_kind"), F.col("_units"), limit)
-    blank = F.when(F.col("content_kind") == R.PROMPT, blank_reason(F.col("content")))
-    staged = scanned.withColumn("_large", too_large).withColumn("_blank", blank)
-    resolved = staged.select(
+    sized = items.withColumn("_units", F.when(octets > limit, exact))
+    staged = sized.select(
         *items.columns,
-        F.when(F.col("_large").isNotNull(), False)
-        .when(F.col("_blank").isNotNull(), True)
-        .otherwise(F.col("safe"))
-        .alias("safe"),
-        F.when(F.col("_large").isNotNull(), "size_limit_exceeded").otherwise(F.col("threat_type")).alias("threat_type"),
+        oversize_reason(F.col("content_kind"), F.col("_units"), limit).alias("_large"),
+        F.when(F.col("content_kind") == R.PROMPT, blank_reason(F.col("content"))).alias("_blank"),
+    )
+    early = F.col("_large").isNotNull() | F.col("_blank").isNotNull()
+    scanned = scan_raw(staged, pack, allow_destructive, kinds, skip=early)
+    large = F.col("_large").isNotNull()
+    resolved = scanned.select(
+        *items.columns,
+        F.when(large, False).otherwise(F.col("safe")).alias("safe"),
+        F.when(large, "size_limit_exceeded").otherwise(F.col("threat_type")).alias("threat_type"),
         "severity",
-        F.when(F.col("_large").isNotNull(), 1.0).otherwise(F.col("confidence_score")).alias("confidence_score"),
+        F.when(large, 1.0).otherwise(F.col("confidence_score")).alias("confidence_score"),
         F.coalesce(F.col("_large"), F.col("_blank"), F.col("reason")).alias("reason"),
     )
     return sanitize_verdicts(resolved, tuple(items.columns))
