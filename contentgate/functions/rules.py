@@ -225,23 +225,22 @@ BODY_RULES = tuple(
 PACKS = {
     "core": CORE_RULES,
     "extended": EXTENDED_RULES + BODY_RULES,
+    # the core rules, and file bodies searched as well
+    "core_bodies": CORE_RULES + BODY_RULES,
 }
 
 
 def rules_for(pack: str, kind: str, allow_destructive: bool = False) -> list[Rule]:
     """The rules of a pack that apply to a kind of item, in the order in which they win.
 
-    core: as listed. extended: highest severity, then highest score, then as listed. The
-    rank depends on the rules alone, so it is settled here and not per row.
+    Core rules come first, as listed. The others: highest severity, then highest score, then
+    as listed. The rank depends on the rules alone, so it is settled here and not per row.
     """
     chosen = [r for r in PACKS[pack] if kind in r.kinds and not (allow_destructive and r.destructive)]
-    if pack == "core":
-        return chosen
     rank = {name: i for i, name in enumerate(taxonomy.SEVERITIES)}
-    return sorted(
-        chosen,
-        key=lambda r: (rank[taxonomy.THREAT_SEVERITY[r.public_type]], -(r.score or 0.0)),
-    )
+    core = [r for r in chosen if r in CORE_RULES]
+    others = [r for r in chosen if r not in CORE_RULES]
+    return core + sorted(others, key=lambda r: (rank[taxonomy.THREAT_SEVERITY[r.public_type]], -(r.score or 0.0)))
 
 
 def winner(rules: list[Rule], content: Column | Subject, body: Column | Subject | None = None) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contentgate.operators.keyed import floor_div
 
-SLOT_US = 3_600 * 1_000_000
+SLOT_US = 60 * 1_000_000
 
 
 def covering_approval(requests: DataFrame, approvals: DataFrame, slot_us: int = SLOT_US) -> DataFrame:

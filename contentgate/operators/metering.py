@@ -92,7 +92,7 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     owner, units, last = None, 0, 0
     for batch in batches:
         before = []
-        for who, rpm, ms, n in zip(batch["_who"], batch["_rpm"], batch["_ms"], batch["_n"]):
+        for who, rpm, ms, n in zip(*(batch[c].tolist() for c in ("_who", "_rpm", "_ms", "_n"))):
             full = rpm * TOKEN
             if who != owner:
                 owner, units = who, full

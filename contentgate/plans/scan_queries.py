@@ -398,6 +398,28 @@ def scan_file_content(spark, sf_dir):
     return done.select("request_id", "content_kind", "safe", "threat_type", "severity", "confidence")
 
 
+_BODY_RULES = [(i, r) for i, r in _FILE_RULES if r.source == "body"]
+
+
+@query(
+    "scan_file_content_core",
+    f"""WITH {_hits_sql(f"SELECT CAST(doc_id AS VARCHAR) AS request_id, {_FILE_PATHS} AS content, {_FILE_BODY} AS body FROM documents", _BODY_RULES)},
+p AS (SELECT *, contains(content, '..') OR contains(content, '/etc/passwd') AS bad FROM src)
+SELECT p.request_id, CASE WHEN p.body <> '' THEN 'file_content' ELSE 'file_path' END AS content_kind,
+       NOT bad AND best.rule_id IS NULL AS safe, CASE WHEN bad THEN 'path_traversal' ELSE best.threat_type END AS threat_type,
+       CASE WHEN bad THEN 'high' ELSE best.severity END AS severity,
+       CASE WHEN bad THEN 'medium' WHEN best.rule_id IS NOT NULL THEN {_level('best.score')} END AS confidence
+FROM p LEFT JOIN best USING (request_id)""",
+)
+def scan_file_content_core(spark, sf_dir):
+    """Paths by the core rule, bodies by the secret, personal-data and code detectors."""
+    docs = load(spark, sf_dir, "documents")
+    items = I.build_items(docs, I.file_kind(F.expr(_FILE_BODY)), F.expr(_FILE_PATHS), F.expr(_FILE_BODY),
+                          request_id=F.col("doc_id").cast("string"))
+    done = scan.scan(items, "core_bodies", kinds=(R.FILE_PATH, R.FILE_CONTENT))
+    return done.select("request_id", "content_kind", "safe", "threat_type", "severity", "confidence")
+
+
 @query(
     "scan_with_scorer",
     verdict_sql(

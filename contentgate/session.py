@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,11 @@ def spread_small(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="contentgate-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh sub-folder of the checkpoint folder the cluster names.
 
@@ -51,8 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        root = tempfile.mkdtemp(prefix="contentgate-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/contentgate-{uuid.uuid4().hex}"
 
 
