@@ -22,6 +22,7 @@ DEFAULT_RPM = 100
 TOKEN = 60_000  # units per token: a bucket gains rpm units per millisecond
 REFILL_MS = 60_000  # an idle bucket is full again after this long, whatever its rate
 IDS_PER_SEGMENT = 65_536
+HEAVY_REQUESTS = 1_000_000  # keys with more requests than this are cut at silences
 
 
 def quota_of(tier: Column) -> Column:
@@ -105,7 +106,8 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def token_bucket(
-    df: DataFrame, rpm: int | Column = DEFAULT_RPM, key: str = "api_key", clock: str = "ms", order: str = "request_id"
+    df: DataFrame, rpm: int | Column = DEFAULT_RPM, key: str = "api_key", clock: str = "ms", order: str = "request_id",
+    heavy: int = HEAVY_REQUESTS,
 ) -> DataFrame:
     """Replay a token bucket per key: adds allowed, remaining and retry_after_ms.
 
@@ -117,8 +119,8 @@ def token_bucket(
 
     * requests of one key and millisecond differ only in their place in line, so they are
       counted on the map side and the fold sees one row per (key, ms), not per request;
-    * a bucket idle for a minute is full, whatever happened before, so each run between
-      such silences is folded on its own and the runs of one busy key spread out;
+    * a bucket idle for a minute is full, whatever happened before, so for keys with more
+      than ``heavy`` requests each run between such silences is folded on its own;
     * per-request answers follow from the units ahead of the group and the place in it, by
       a join on (key, ms) that spreads a busy key over all tasks.
 
@@ -128,14 +130,15 @@ def token_bucket(
     # requests without a key are one caller, like a blank key
     keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("_ms", F.col(clock).cast("bigint"))
     keyed = keyed.withColumn("_segment", id_segment(df, order)).withColumn("_rate", rate.cast("bigint"))
-    groups = keyed.filter(F.col("_ms").isNotNull()).groupBy("_key", "_ms", "_segment").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("_rate").alias("_rpm")
-    )
-    runs = gap_runs(groups, "_key", "_ms", REFILL_MS, inclusive=True).select("_key", F.col("slot").alias("_slot"), "run")
-    slotted = groups.withColumn("_slot", floor_div(F.col("_ms"), REFILL_MS))
+    timed = keyed.filter(F.col("_ms").isNotNull())
+    groups = timed.groupBy("_key", "_ms", "_segment").agg(F.count(F.lit(1)).alias("_n"), F.max("_rate").alias("_rpm"))
+    busy = timed.groupBy("_key").agg(F.count(F.lit(1)).alias("_all")).filter(F.col("_all") > heavy).select("_key")
+    runs = gap_runs(timed.join(busy, "_key", "left_semi"), "_key", "_ms", REFILL_MS, inclusive=True)
+    slotted = groups.withColumn("slot", floor_div(F.col("_ms"), REFILL_MS))
+    run = F.coalesce(F.col("run"), F.lit(0)).cast("string")
     ordered = (
-        slotted.join(runs, ["_key", "_slot"])
-        .select("_key", F.concat_ws("|", F.col("run").cast("string"), "_key").alias("_who"), "_rpm", "_ms", "_segment", "_n")
+        slotted.join(runs.select("_key", "slot", "run"), ["_key", "slot"], "left")
+        .select("_key", F.concat_ws("|", run, "_key").alias("_who"), "_rpm", "_ms", "_segment", "_n")
         .repartition("_who")
         .sortWithinPartitions("_who", "_ms", "_segment")
     )
