@@ -430,7 +430,7 @@ _REFUSED = "(a+)+$"
 WITH u AS (SELECT DISTINCT user_id FROM events),
 r AS (SELECT user_id, 2 AS rank, {_WARN_PATTERN} AS pattern FROM u UNION ALL SELECT user_id, 3, {_BLOCK_PATTERN} FROM u)
 SELECT request_id, policy_id, CASE max(rank) WHEN 3 THEN 'block' ELSE 'warn' END AS action,
-       CASE WHEN policy_id::BIGINT % 4 = 1 THEN 1 ELSE 0 END AS n_unusable
+       CAST(CASE WHEN policy_id::BIGINT % 4 = 1 THEN 1 ELSE 0 END AS BIGINT) AS n_unusable
 FROM (SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 150 AS VARCHAR) AS policy_id, text FROM documents) i
 JOIN r ON r.user_id = i.policy_id::BIGINT
 WHERE regexp_matches(text, pattern) GROUP BY request_id, policy_id""",
@@ -480,7 +480,7 @@ def approval_interval_join(spark, sf_dir):
 
 @query(
     "approvals_pending",
-    "SELECT concat('a', event_id) AS approval_id, 'manager' AS approval_level, 600 AS expires_in_seconds "
+    "SELECT concat('a', event_id) AS approval_id, 'manager' AS approval_level, 600::BIGINT AS expires_in_seconds "
     "FROM events WHERE event_id % 16 = 15 AND event_id % 3 <> 0",
 )
 def approvals_pending(spark, sf_dir):
@@ -525,7 +525,7 @@ _TIER = "CASE user_id % 4 WHEN 1 THEN 'community' WHEN 2 THEN 'pro' WHEN 3 THEN
     "monthly_usage",
     f"""
 SELECT concat('k', user_id) AS api_key, strftime(ts, '%Y-%m') AS month, count(*) AS n_scans, {_TIER} AS tier,
-       CASE user_id % 4 WHEN 1 THEN 1000 WHEN 2 THEN 25000 WHEN 3 THEN 1000000 END AS quota,
+       CAST(CASE user_id % 4 WHEN 1 THEN 1000 WHEN 2 THEN 25000 WHEN 3 THEN 1000000 END AS BIGINT) AS quota,
        coalesce(count(*) > CASE user_id % 4 WHEN 1 THEN 1000 WHEN 2 THEN 25000 WHEN 3 THEN 1000000 END, FALSE) AS over_quota
 FROM events WHERE event_type <> 'click' GROUP BY user_id, 2""",
 )
@@ -550,7 +550,7 @@ def quota_rows(spark, sf_dir):
 
 _BUCKET_SQL = """
 WITH RECURSIVE e AS (
-  SELECT event_id, event_type AS api_key, {rpm} AS rpm, (epoch_us(ts) // 1000) // {squeeze} AS ms,
+  SELECT event_id, event_type AS api_key, CAST({rpm} AS BIGINT) AS rpm, (epoch_us(ts) // 1000) // {squeeze} AS ms,
          row_number() OVER (PARTITION BY event_type ORDER BY (epoch_us(ts) // 1000) // {squeeze}, event_id) AS rn FROM events),
 b AS (
   SELECT event_id, api_key, rpm, ms, rn, rpm * 60000 AS before FROM e WHERE rn = 1
