@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -84,7 +84,7 @@ def id_segment(df: DataFrame, column: str) -> Column:
     return F.substring(F.col(column).cast("string"), 1, 4)
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units in the bucket ahead of each group of simultaneous requests.
 
     Rows arrive sorted by (key, run, ms, segment). State is two integers carried across
@@ -93,7 +93,8 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     owner, units, last = None, 0, 0
     for batch in batches:
         before = []
-        for who, rpm, ms, n in zip(*(batch[c].tolist() for c in ("_who", "_rpm", "_ms", "_n"))):
+        rpm_ms_n = (batch.column(c).to_numpy().tolist() for c in ("_rpm", "_ms", "_n"))
+        for who, rpm, ms, n in zip(batch.column("_who").to_pylist(), *rpm_ms_n):
             full = rpm * TOKEN
             if who != owner:
                 owner, units = who, full
@@ -102,7 +103,10 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             last = ms
             before.append(units)
             units -= min(n, units // TOKEN) * TOKEN
-        yield batch.assign(_units=pd.Series(before, dtype="int64"))[["_key", "_ms", "_segment", "_n", "_units"]]
+        kept = [batch.column(c) for c in ("_key", "_ms", "_segment", "_n")]
+        yield pa.RecordBatch.from_arrays(
+            [*kept, pa.array(before, pa.int64())], names=["_key", "_ms", "_segment", "_n", "_units"]
+        )
 
 
 def token_bucket(
@@ -143,7 +147,7 @@ def token_bucket(
         .sortWithinPartitions("_who", "_ms", "_segment")
     )
     kind = keyed.schema["_segment"].dataType.simpleString()
-    states = ordered.mapInPandas(_fold, f"_key string, _ms bigint, _segment {kind}, _n bigint, _units bigint")
+    states = ordered.mapInArrow(_fold, f"_key string, _ms bigint, _segment {kind}, _n bigint, _units bigint")
     place = F.row_number().over(W.partitionBy("_key", "_ms", "_segment").orderBy(order))
     joined = keyed.join(states, ["_key", "_ms", "_segment"], "left").withColumn("_place", place)
     granted = F.least(F.col("_n"), F.expr(f"_units div {TOKEN}"))

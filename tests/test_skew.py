@@ -138,7 +138,7 @@ def test_plans_pair_nothing_up_and_stay_in_the_jvm(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if not name.startswith("token_bucket"):
-        assert "Python" not in plan and "InPandas" not in plan and "ExistingRDD" not in plan
+        assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan and "ExistingRDD" not in plan
 
 
 def test_metering_reads_no_text(spark):
