@@ -32,6 +32,7 @@ def covering_approval(requests: DataFrame, approvals: DataFrame, slot_us: int =
     slot = floor_div(F.col("_at"), slot_us).alias("_slot")
     per_slot = grants.groupBy("agent_id", slot).agg(F.max("_grant").alias("_best"))
     asks = requests.select("agent_id", F.col("at_us").alias("_at"), "request_id")
+    no_id = F.lit(None).cast(requests.schema["request_id"].dataType)
     # the carry is read at slots with requests as well as at slots with grants
     slots = per_slot.unionByName(
         asks.select("agent_id", slot).distinct().withColumn("_best", F.lit(None).cast(per_slot.schema["_best"].dataType))
@@ -39,13 +40,16 @@ def covering_approval(requests: DataFrame, approvals: DataFrame, slot_us: int =
     earlier = W.partitionBy("agent_id").orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
     carry = slots.select("agent_id", "_slot", F.max("_best").over(earlier).alias("_carry"))
     grant_type = grants.schema["_grant"].dataType
-    line = grants.select("agent_id", "_at", slot, F.lit(None).cast("string").alias("request_id"), "_grant").unionByName(
-        asks.select("agent_id", "_at", slot, F.col("request_id").cast("string").alias("request_id"),
-                    F.lit(None).cast(grant_type).alias("_grant"))
+    line = grants.select(
+        "agent_id", "_at", slot, no_id.alias("request_id"), "_grant", F.lit(False).alias("_asks")
+    ).unionByName(
+        asks.select(
+            "agent_id", "_at", slot, "request_id", F.lit(None).cast(grant_type).alias("_grant"), F.lit(True).alias("_asks")
+        )
     )
     # range frame: approvals created at the very time of the request count
     upto = W.partitionBy("agent_id", "_slot").orderBy("_at").rangeBetween(W.unboundedPreceding, 0)
-    seen = line.withColumn("_within", F.max("_grant").over(upto)).filter(F.col("request_id").isNotNull())
+    seen = line.withColumn("_within", F.max("_grant").over(upto)).filter("_asks")
     best = seen.join(carry, ["agent_id", "_slot"], "left").withColumn(
         "_latest", F.greatest(F.col("_within"), F.col("_carry"))
     )

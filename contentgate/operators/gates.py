@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contentgate.functions.rules import A2A, CARD, FILE_CONTENT, FILE_PATH, PROMPT, SQL
 from contentgate.functions.text import is_blank, non_empty, utf16_units
@@ -135,9 +136,11 @@ def join_raw(items: DataFrame, raw: DataFrame) -> DataFrame:
 
     Copies of a result are reduced to one per request before the join (a failed call loses
     to a readable one, an unsafe result wins), so a repeated id cannot multiply rows. The
-    reduction and the join hash on the same key and share one exchange.
+    reduction and the join hash on the same key and share one exchange. VARIANT columns of
+    ``raw`` are left behind.
     """
-    payload = [c for c in raw.columns if c != "request_id"]
+    # VARIANT values have no order; their typed fields are what counts here
+    payload = [f.name for f in raw.schema.fields if f.name != "request_id" and not isinstance(f.dataType, T.VariantType)]
     order = [
         F.coalesce(F.col("usable"), F.lit(False)).alias("_u"),
         (~F.coalesce(F.col("safe"), F.lit(True))).alias("_v"),

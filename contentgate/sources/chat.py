@@ -21,7 +21,8 @@ def read_chat(spark: SparkSession, path: str, format: str = "parquet") -> DataFr
 
 
 def explode_requests(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Messages of JSON requests; a line that does not parse or has no list gives no rows."""
+    """Messages of JSON requests. A line that does not parse or has no list holds no messages;
+    ``unreadable_requests`` gives those lines."""
     body = F.try_parse_json(F.col(column))
     requests = lines.select(body.alias("_request"))
     messages = variants.elements(variants.field(F.col("_request"), "messages"))
@@ -34,3 +35,9 @@ def explode_requests(lines: DataFrame, column: str = "value") -> DataFrame:
         variants.as_string(variants.field(F.col("_message"), "role")).alias("role"),
         variants.field(F.col("_message"), "content").alias("content"),
     )
+
+
+def unreadable_requests(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines ``explode_requests`` reads no list of messages from."""
+    request = F.try_parse_json(F.col(column))
+    return lines.filter(variants.elements(variants.field(request, "messages")).isNull())

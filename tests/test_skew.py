@@ -79,6 +79,7 @@ def test_approvals_of_one_busy_agent(spark):
     grants = [(f"a{i}", rng.choice(["hot", "b", None]), rng.randrange(0, 10**10), rng.randrange(0, 2_000)) for i in range(150)]
     asks = [(str(i), rng.choice(["hot", "hot", "b", "c", None]), rng.randrange(0, 10**10)) for i in range(300)]
     asks.append(("edge", grants[0][1], grants[0][2]))
+    asks.append((None, "hot", 10**11))  # a request without an id stays in the result
     got = {r.request_id: (r.covered, r.approval_id) for r in approvals.covering_approval(
         spark.createDataFrame(asks, "request_id string, agent_id string, at_us bigint"),
         spark.createDataFrame(grants, "approval_id string, agent_id string, created_us bigint, expires_in_seconds bigint"),
@@ -96,7 +97,8 @@ def test_copies_of_one_result_do_not_multiply_items(spark):
     items = spark.createDataFrame([("1", "prompt"), ("1", "prompt"), ("2", "sql")], "request_id string, content_kind string")
     raw = spark.createDataFrame([("1", True, True, "ok", None), ("1", True, False, "bad", None), ("1", False, None, None, "x")] * 20,
                                 "request_id string, usable boolean, safe boolean, reason string, error string")
-    joined = gates.join_raw(items, raw.withColumn("status", F.lit(None).cast("int")))
+    raw = raw.withColumn("status", F.lit(None).cast("int")).withColumn("raw", F.parse_json(F.lit("{}")))
+    joined = gates.join_raw(items, raw)
     rows = sorted((r.request_id, r.reason, r.outcome) for r in gates.resolve_fail_mode(joined).collect())
     assert rows == [("1", "bad", "blocked"), ("1", "bad", "blocked"), ("2", "SQL scan failed: Error: invalid response", "scan_error")]
 

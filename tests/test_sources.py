@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contentgate.operators import gates, scan
 from contentgate.session import materialize, shared_dir, spread_small
 from contentgate.sources import items as I
-from contentgate.sources.chat import read_chat
+from contentgate.sources.chat import read_chat, unreadable_requests
 from contentgate.sources.registry import read_agents, read_policies
 from contentgate.sources.results import read_gated, read_raw_verdicts, write_gated
 
@@ -24,6 +24,8 @@ def test_chat_from_json_lines(spark, tmp_path):
         {"conv_id": 2, "messages": "none"}])
     rows = read_chat(spark, path, "json").select("conv_id", "turn", "role", F.to_json("content").alias("c")).collect()
     assert [(r.conv_id, r.turn, r.role, r.c) for r in rows] == [(1, 0, "user", '"a"'), (1, 1, "user", '["x"]')]
+    unread = unreadable_requests(spark.read.text(path)).collect()
+    assert sorted(r.value for r in unread) == ['{"conv_id": 2, "messages": "none"}', "{broken"]
 
 
 def test_raw_results_from_lines(spark, tmp_path):
