@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from check import TABLES, rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from contentgate.plans.catalog import ORACLES, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
