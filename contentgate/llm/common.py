@@ -81,13 +81,14 @@ def chunk_pairs(df: DataFrame, keys: list[str], member: str, size: int) -> DataF
     """Deal the rows of each key into tasks (`keys`, `_pair`) of at most about 2 x `size` rows such that any
     two rows of a key meet in one task. A key with a single row is left out: it meets nobody.
 
-    Rows of a key are hashed into ceil(rows / size) chunks and a task holds two chunks, so a key of any
-    size is shared by many tasks. Keys are counted with partial sums; no task sees a whole large key.
+    Rows of a key are hashed into ceil(rows / size) chunks (`_own`) and a task holds one or two chunks, so a key of
+    any size is shared by many tasks; rows of one chunk also meet in tasks that hold another chunk. Keys are counted with partial sums; no task sees a whole large key.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     dealt = df.join(counts, keys).withColumn("_c", F.ceil(F.col("_n") / size).cast("int"))
-    own = F.pmod(F.xxhash64(member), F.col("_c")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("_c") - 1), lambda x: F.least(own, x) * F.col("_c") + F.greatest(own, x))
+    dealt = dealt.withColumn("_own", F.pmod(F.xxhash64(member), F.col("_c")).cast("int"))
+    own, n = F.col("_own"), F.col("_c")
+    pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda x: F.least(own, x) * n + F.greatest(own, x))
     return dealt.withColumn("_pair", F.explode(pairs)).drop("_n", "_c")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from contentgate.llm import mixing, packing, quality, secrets, simhash, tokens
+from contentgate.llm import itq, mixing, packing, quality, secrets, simhash, suffixes, tokens, urls, vafile
 from contentgate.llm.common import read
 
 BYTE_FILE, WORD_FILE, RANKS_FILE = "byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -44,11 +44,50 @@ def op2(spark, sf_dir):
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+RULES = (
+    ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query("op3_url_filters", urls.sql("pages", RULES))
+def op3(spark, sf_dir):
+    return urls.judge(read(spark, sf_dir, "pages"), RULES)
+
+
+@query("op4_embedding_near_dedup")
+def op4(spark, sf_dir):
+    return itq.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op6_exact_top_k", TOP_SQL)
+def op6(spark, sf_dir):
+    return vafile.top_k(read(spark, sf_dir, "embeddings"))
+
+
+@query("op7_suffix_array_dedup")
+def op7(spark, sf_dir):
+    found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        (F.size("spans") / 2).cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 MIX_SQL = """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
