@@ -6,7 +6,7 @@ length - v + 1 bytes that follow (depth 1), and, where those repeat, by everythi
 (depth 2: v - 1 bytes before and `length` after). Ranks settle the long ties: a cover suffix that repeats at depth 2 makes
 every suffix within v before it a repeat without sorting it, and a suffix with no cover suffix that repeats at
 depth 1 behind it is none. Only the suffixes left, near the ends of repeats, are dealt into buckets of their own and
-sorted there, one bucket at a time.
+sorted there, one bucket at a time, together with one copy of the settled ones.
 
 Ranks are fingerprints of the bytes they stand for: order among suffixes is of no use here, equality is.
 """
@@ -91,8 +91,8 @@ class Entries:
     """The distinct fingerprints of one unit, in order, cut into buckets by their leading bits."""
 
     def __init__(self, prints: list[np.ndarray], bits: int):
-        self.values, first, self.index, count = np.unique(prints[0], return_index=True, return_inverse=True, return_counts=True)
-        self.second = prints[1][first] if len(prints) > 1 else None
+        self.values, self.first, self.index, count = np.unique(prints[0], return_index=True, return_inverse=True, return_counts=True)
+        self.second = prints[1][self.first] if len(prints) > 1 else None
         self.twice, self.bits = count > 1, bits
         edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.empty(0, np.uint64)
         self.cuts = np.concatenate([[0], np.searchsorted(self.values, edges), [len(self.values)]])
@@ -106,17 +106,27 @@ class Entries:
                 else:
                     yield bucket, self.values[i:j].astype("<u8").tobytes() + self.second[i:j].astype("<u4").tobytes()
 
-    def repeated(self, masks) -> np.ndarray:
-        """Which of the original positions repeat, here or, by the masks of the buckets, in another unit."""
-        flag = self.twice.copy()
+    def marked(self, masks, name: str, flag: np.ndarray) -> np.ndarray:
+        """`flag` of the entries or-ed with what the buckets' masks say."""
         for m in masks if masks is not None else ():
-            i, j = self.cuts[m["bucket"]], self.cuts[m["bucket"] + 1]
-            flag[i:j] |= np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=j - i).astype(bool)
-        return flag[self.index]
+            if m[name] is not None:
+                i, j = self.cuts[m["bucket"]], self.cuts[m["bucket"] + 1]
+                flag[i:j] |= np.unpackbits(np.frombuffer(m[name], np.uint8), count=j - i).astype(bool)
+        return flag
+
+    def repeated(self, masks) -> np.ndarray:
+        """Which of the original positions repeat, here or in another unit."""
+        return self.marked(masks, "mask", self.twice.copy())[self.index]
+
+    def leading(self, masks) -> np.ndarray:
+        """One original position of each repeated fingerprint: here, unless another unit holds the leading one."""
+        later = self.marked(masks, "later", np.zeros(len(self.values), dtype=bool))
+        return np.sort(self.first[self.marked(masks, "mask", self.twice.copy()) & ~later])
 
 
 def sort_buckets(entries: DataFrame, wide: bool) -> DataFrame:
-    """unit and, per bucket, a mask of its entries that another unit holds too. `entries`: unit, bucket, blob."""
+    """unit and, per bucket, masks of its entries that another unit holds too, and of those for which another unit
+    leads. `entries`: unit, bucket, blob."""
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         blobs = list(frame["blob"])
         sizes = np.array([len(b) // (12 if wide else 4) for b in blobs])
@@ -130,13 +140,16 @@ def sort_buckets(entries: DataFrame, wide: bool) -> DataFrame:
             order = np.argsort(value, kind="stable")
             same = value[order][1:] == value[order][:-1]
         twice = np.zeros(len(value), dtype=bool)
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
-        ends = np.cumsum(sizes)
-        masks = [np.packbits(twice[b - n:b]).tobytes() if twice[b - n:b].any() else None for b, n in zip(ends, sizes)]
-        return pd.DataFrame({"unit": frame["unit"], "bucket": frame["bucket"], "mask": masks}).dropna(subset=["mask"])
+        later = np.zeros(len(value), dtype=bool)
+        later[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        twice |= later
+        cut = lambda flag: [np.packbits(flag[b - n:b]).tobytes() for b, n in zip(np.cumsum(sizes), sizes)]
+        masks = pd.DataFrame({"unit": frame["unit"], "bucket": frame["bucket"], "mask": cut(twice), "later": cut(later)})
+        return masks[[m.strip(b"\0") != b"" for m in masks["mask"]]]
 
-    found = entries.groupBy("bucket").applyInPandas(one, "unit bigint, bucket int, mask binary")
-    return save(found.groupBy("unit").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks")))
+    found = entries.groupBy("bucket").applyInPandas(one, "unit bigint, bucket int, mask binary, later binary")
+    return save(found.groupBy("unit").agg(F.collect_list(F.struct("bucket", "mask", "later")).alias("masks")))
 
 
 class Unit:
@@ -172,9 +185,11 @@ class Unit:
         return np.cumsum(change[:-1], dtype=np.int16) > 0
 
     def depth3(self, masks1, masks2) -> Entries:
-        settled = self.depth2(masks1).repeated(masks2)
-        self.known = self.covered(self.deep[settled])
-        self.open = self.inside(np.flatnonzero(self.covered(self.often) & ~self.known), 0, self.length)
+        ranked = self.depth2(masks1)
+        self.known = self.covered(self.deep[ranked.repeated(masks2)])
+        # an open suffix may equal a settled one: of equal surroundings one leads, and its suffixes are sorted too
+        led = self.covered(self.deep[ranked.leading(masks2)])
+        self.open = self.inside(np.flatnonzero(self.covered(self.often) & ~self.known | led), 0, self.length)
         return Entries(fingerprints(self.data, self.open, self.length), self.bits)
 
     def removed(self, masks1, masks2, masks3) -> list[tuple[bytes, list[int]]]:
