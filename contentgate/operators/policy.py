@@ -114,23 +114,30 @@ def enforce_policy(findings: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-MAX_PATTERN_CHARS = 1_000
 # A pattern is used when it is built from plain pieces, nests no groups and repeats no
 # group without bound (the shapes behind runaway matching and deep recursion).
 PLAIN_PATTERN = (
-    r"^\^?([^\\\[\](){}|*+?^$]|\\[dDwWsS.\\/+*?()\[\]{}|^$-]|\[\^?[^\[\]\\&]+\]|\((\?:)?[^()*+?{}]+\)"
+    r"^(\(\?i\))?\^?([^\\\[\](){}|*+?^$]|\\[bBdDwWsStnr.\\/+*?()\[\]{}|^$-]|\[\^?[^\[\]\\&]+\]|\((\?:)?[^()*+?{}]+\)"
     r"|[*+?]|\{[0-9]{1,3}(,[0-9]{0,3})?\}|\|)*\$?$"
 )
 
 
 def usable_pattern(pattern: Column) -> Column:
-    """Whether a custom pattern is short and plain enough to run on every text.
+    """Whether a custom pattern is plain enough to run on every text.
 
-    A quantifier must follow something it can repeat, and not another quantifier.
+    A quantifier must follow something it can repeat, and not another quantifier; ranges and
+    counts must run upwards, for one pattern that does not compile would end the whole job.
     """
-    dangling = pattern.rlike(r"(^|\||\((\?:)?|[*+?}])[*+?{]") | pattern.rlike(r"(^|[^\\])\^[*+?{]")
-    open_ended = pattern.rlike(r"(^|[^\\])\)([*+]|\{[0-9]+,\})")
-    return (F.length(pattern) <= MAX_PATTERN_CHARS) & pattern.rlike(PLAIN_PATTERN) & ~dangling & ~open_ended
+    group = F.regexp_replace(pattern, r"^\(\?i\)", "")
+    dangling = group.rlike(r"(^|\||\((\?:)?|[*+?}])[*+?{]") | group.rlike(r"(^|[^\\])\^[*+?{]")
+    open_ended = group.rlike(r"(^|[^\\])\)([*+]|\{[0-9]+,\})")
+    classes = F.regexp_extract_all(pattern, F.lit(r"\[\^?[^\]]+\]"), F.lit(0))
+    inside = lambda c: F.regexp_extract_all(F.substring(c, F.lit(2), F.length(c) - 2), F.lit("[^-]-[^-]"), F.lit(0))
+    falling = F.exists(classes, lambda c: F.exists(inside(c), lambda r: F.ascii(F.substring(r, 1, 1)) > F.ascii(F.substring(r, 3, 1))))
+    counts = F.regexp_extract_all(pattern, F.lit(r"\{[0-9]{1,3},[0-9]{1,3}\}"), F.lit(0))
+    number = lambda c, i: F.split(F.translate(c, "{}", ""), ",")[i].cast("int")
+    shrinking = F.exists(counts, lambda c: number(c, 0) > number(c, 1))
+    return F.coalesce(pattern.rlike(PLAIN_PATTERN) & (F.length(group) > 0) & ~dangling & ~open_ended & ~falling & ~shrinking, F.lit(False))
 
 
 def enforce_custom_patterns(items: DataFrame, policies: DataFrame) -> DataFrame:
@@ -138,8 +145,9 @@ def enforce_custom_patterns(items: DataFrame, policies: DataFrame) -> DataFrame:
 
     Patterns stay in the arrays of the policy row: an item joins its one policy and tests
     that policy's patterns in place, so items and patterns are never paired up in a table.
-    Items no pattern matches are not in the result. ``n_unusable`` counts the patterns of
-    the policy that were not run (see ``usable_pattern``).
+    Items that no pattern matches are not in the result, unless their policy has patterns that
+    cannot be run (``n_unusable``, see ``usable_pattern``): such an item is blocked if another
+    pattern blocks it and is a scan_error otherwise, for the fail mode to resolve.
     """
     custom = F.filter("rules", lambda r: r["type"] == "custom")
 
@@ -159,8 +167,9 @@ def enforce_custom_patterns(items: DataFrame, policies: DataFrame) -> DataFrame:
     for name in sorted(ACTIONS, key=ACTIONS.get, reverse=True):
         hit = F.exists(F.col(f"_{name}"), lambda p: F.regexp_like(F.col("content"), p))
         rank = F.when(hit, ACTIONS[name]) if rank is None else rank.when(hit, ACTIONS[name])
+    undecided = (F.col("n_unusable") > 0) & (F.coalesce(F.col("_rank"), F.lit(0)) < ACTIONS["block"])
     return (
         joined.select("request_id", "policy_id", rank.alias("_rank"), "n_unusable")
-        .filter(F.col("_rank").isNotNull())
-        .select("request_id", "policy_id", action_name(F.col("_rank")).alias("action"), "n_unusable")
+        .filter(F.col("_rank").isNotNull() | (F.col("n_unusable") > 0))
+        .select("request_id", "policy_id", F.when(undecided, "scan_error").otherwise(action_name(F.col("_rank"))).alias("action"), "n_unusable")
     )
