@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 
 from contentgate.functions import variants
 from contentgate.functions.text import utf16_units
-from contentgate.operators.keyed import solid_key
 
 TURNS_PER_SEGMENT = 1024
 
@@ -55,6 +54,7 @@ def extract_user_text(
     order, joined by line feeds. A longer one gives several rows, and joining those with
     ``n_messages > 0`` by line feeds in segment order gives the whole text. No task ever
     holds more of a conversation than one segment, however long the conversation is.
+    A message without a conversation gives a row of its own.
     """
     text = message_text(df, dialect, content)
     slim = df.select(
@@ -63,10 +63,13 @@ def extract_user_text(
         "turn",
         text.alias("_text"),
     )
-    return slim.groupBy("conv_id", "segment").agg(
+    joined = slim.filter(F.col("conv_id").isNotNull()).groupBy("conv_id", "segment").agg(
         F.coalesce(F.expr("listagg(_text, '\n') WITHIN GROUP (ORDER BY turn)"), F.lit("")).alias("user_text"),
         F.count("_text").alias("n_messages"),
     )
+    alone = slim.filter(F.col("conv_id").isNull()).select(
+        "conv_id", "segment", F.coalesce("_text", F.lit("")).alias("user_text"), F.col("_text").isNotNull().cast("bigint").alias("n_messages"))
+    return joined.union(alone)
 
 
 UNREADABLE = "\x00unreadable"
@@ -136,13 +139,17 @@ def conversation_history(
     collected per conversation is bounded by the limit and not by the conversation.
 
     The running length is a two-level prefix sum: totals per segment of turns, then within
-    the segment, so one huge conversation is spread over many tasks.
+    the segment, so one huge conversation is spread over many tasks. A message without a
+    conversation has no history: it may be another caller's.
     """
-    known, none = solid_key(df, "conv_id")
-    slim = df.select(
+    alone = df.filter(F.col("conv_id").isNull()).select(
+        "conv_id", "turn", "role", F.col(content).alias("text"), F.lit("").alias("history"), F.lit(0).cast("bigint").alias("history_units"),
+        (utf16_units(F.col(content)) > limit).alias("oversize"),
+    )
+    alone = alone.withColumn("history", F.when(~F.col("oversize"), F.col("history")))
+    slim = df.filter(F.col("conv_id").isNotNull()).select(
         "conv_id",
-        known.alias("_conv"),
-        none.alias("_none"),
+        F.col("conv_id").alias("_conv"),
         "turn",
         "role",
         F.col(content).alias("text"),
@@ -150,7 +157,7 @@ def conversation_history(
         # a line feed separates it from what follows
         (utf16_units(F.col(content)) + F.when(F.col(content).isNotNull(), 1).otherwise(0)).alias("_units"),
     )
-    conversation = ["_conv", "_none"]
+    conversation = ["_conv"]
     segment = [*conversation, "_segment"]
     totals = slim.groupBy(*segment).agg(F.sum("_units").alias("_total"))
     earlier = W.partitionBy(*conversation).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
@@ -172,4 +179,4 @@ def conversation_history(
     return split.withColumn("_prior", F.coalesce(prior, F.lit(""))).select(
         "conv_id", "turn", "role", "text",
         F.when(~F.col("oversize"), F.col("_prior")).alias("history"), "history_units", "oversize",
-    )
+    ).union(alone)

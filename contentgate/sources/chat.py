@@ -13,7 +13,7 @@ def read_chat(spark: SparkSession, path: str, format: str = "parquet") -> DataFr
 
     ``parquet`` (and other table formats) hold one message per row already. ``json`` holds
     one request per line, {"conv_id": …, "messages": [{"role": …, "content": …}, …]}; the
-    place in the list becomes the turn and ``content`` stays a VARIANT.
+    place in the list becomes the turn, ``conv_id`` is text and ``content`` stays a VARIANT.
     """
     if format != "json":
         return spark.read.format(format).load(path)
@@ -27,7 +27,7 @@ def explode_requests(lines: DataFrame, column: str = "value") -> DataFrame:
     requests = lines.select(body.alias("_request"))
     messages = variants.elements(variants.field(F.col("_request"), "messages"))
     return requests.select(
-        F.try_variant_get(F.col("_request"), "$.conv_id", "bigint").alias("conv_id"),
+        F.try_variant_get(F.col("_request"), "$.conv_id", "string").alias("conv_id"),
         F.posexplode(messages).alias("turn", "_message"),
     ).select(
         "conv_id",

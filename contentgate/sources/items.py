@@ -34,9 +34,10 @@ def file_kind(body: Column) -> Column:
 def request_id(given: Column, *identity: Column) -> Column:
     """The given id, else a digest of what identifies the request.
 
-    A random id would change when a task is retried; the digest does not.
+    A random id would change when a task is retried; the digest does not. Each part is
+    preceded by its length, and NULL has none, so different parts never read alike.
     """
-    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in identity]
+    parts = [F.coalesce(F.concat(F.octet_length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in identity]
     return F.coalesce(F.nullif(given, F.lit("")), F.sha2(F.concat_ws(",", *parts), 256))
 
 
@@ -44,7 +45,8 @@ def build_items(df: DataFrame, kind: str | Column, content: Column, body: Column
     """Project any table to content items.
 
     ``fields`` gives the other item columns as Columns; those not given are NULL, except
-    ``mode`` (production) and ``request_id`` (a digest of kind, content and body).
+    ``mode`` (production) and ``request_id`` (a digest of kind, content, body, caller, session,
+    agent and time: two callers with one text have two ids).
     """
     unknown = set(fields) - set(ITEM_COLUMNS)
     if unknown:
@@ -61,7 +63,9 @@ def build_items(df: DataFrame, kind: str | Column, content: Column, body: Column
         "mode": F.lit("production"),
         **fields,
     }
-    values.setdefault("request_id", request_id(nothing, kind, content, values["body"]))
+    who = [values.get(name, nothing) for name in ("api_key", "session_id", "agent_id")]
+    at = F.unix_micros(values["ts"].cast("timestamp")) if "ts" in values else nothing
+    values.setdefault("request_id", request_id(nothing, kind, content, values["body"], *who, at))
     return df.select(
         *[values.get(name, F.lit(None)).cast(dtype).alias(name) for name, dtype in ITEM_COLUMNS.items()]
     )

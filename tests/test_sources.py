@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contentgate.operators import gates, scan
-from contentgate.session import materialize, shared_dir, spread_small
+from contentgate.session import shared_dir
 from contentgate.sources import items as I
 from contentgate.sources.chat import read_chat, unreadable_requests
 from contentgate.sources.registry import read_agents, read_policies
@@ -23,7 +23,7 @@ def test_chat_from_json_lines(spark, tmp_path):
         {"conv_id": 1, "messages": [{"role": "user", "content": "a"}, {"role": "user", "content": ["x"]}]}, "{broken",
         {"conv_id": 2, "messages": "none"}])
     rows = read_chat(spark, path, "json").select("conv_id", "turn", "role", F.to_json("content").alias("c")).collect()
-    assert [(r.conv_id, r.turn, r.role, r.c) for r in rows] == [(1, 0, "user", '"a"'), (1, 1, "user", '["x"]')]
+    assert [(r.conv_id, r.turn, r.role, r.c) for r in rows] == [("1", 0, "user", '"a"'), ("1", 1, "user", '["x"]')]
     unread = unreadable_requests(spark.read.text(path)).collect()
     assert sorted(r.value for r in unread) == ['{"conv_id": 2, "messages": "none"}', "{broken"]
 
@@ -71,11 +71,13 @@ def test_request_ids_do_not_change_between_runs(spark):
 def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark).startswith(root)
-    df = materialize(spark.range(10))
-    assert df.count() == 10 and df.inputFiles()[0].startswith(f"file://{root}")
 
 
-def test_only_small_tables_are_dealt_out(spark):
-    assert spread_small(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 10, 1, 3)
-    assert spread_small(wide) is wide
+def test_two_callers_with_one_text_have_two_ids(spark):
+    df = spark.createDataFrame([("a", "t"), ("b", "t")], "k string, t string")
+    assert I.build_items(df, "prompt", F.col("t"), api_key=F.col("k")).select("request_id").distinct().count() == 2
+    nothing = F.lit(None).cast("string")
+    pair = spark.range(1).select(
+        I.request_id(nothing, F.lit("a,b"), F.lit("c")).alias("x"), I.request_id(nothing, F.lit("a"), F.lit("b,c")).alias("y"),
+        I.request_id(nothing, F.lit(""), nothing).alias("z"), I.request_id(nothing, nothing, F.lit("")).alias("w")).first()
+    assert len(set(pair)) == 4
