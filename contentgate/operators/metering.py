@@ -8,7 +8,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from contentgate.functions.taxonomy import literal_map
 from contentgate.operators.keyed import floor_div
@@ -21,8 +20,6 @@ DEFAULT_RPM = 100
 
 TOKEN = 60_000  # units per token: a bucket gains rpm units per millisecond
 REFILL_MS = 60_000  # an idle bucket is full again after this long, whatever its rate
-IDS_PER_SEGMENT = 65_536
-HEAVY_REQUESTS = 1_000_000  # keys with more requests than this are cut at silences
 
 
 def quota_of(tier: Column) -> Column:
@@ -44,7 +41,9 @@ def monthly_usage(requests: DataFrame, tiers: DataFrame, clock: str = "ts") -> D
         .groupBy("api_key", month_of(F.col(clock)).alias("month"))
         .agg(F.count(F.lit(1)).alias("n_scans"))
     )
-    joined = used.join(tiers.select("api_key", "tier"), "api_key", "left").withColumn("quota", quota_of(F.col("tier")))
+    # a key with several tier rows keeps one, so that its usage is not repeated
+    one = tiers.groupBy("api_key").agg(F.max("tier").alias("tier"))
+    joined = used.join(one, "api_key", "left").withColumn("quota", quota_of(F.col("tier")))
     return joined.select(
         "api_key", "month", "n_scans", "tier", "quota",
         F.coalesce(F.col("n_scans") > F.col("quota"), F.lit(False)).alias("over_quota"),
@@ -77,17 +76,10 @@ def quota_rows(requests: DataFrame, quota: Column, clock: str = "ts") -> DataFra
     )
 
 
-def id_segment(df: DataFrame, column: str) -> Column:
-    """A coarse key that rises with the id: splits the requests of one millisecond."""
-    if isinstance(df.schema[column].dataType, T.IntegralType):
-        return floor_div(F.col(column), IDS_PER_SEGMENT)
-    return F.substring(F.col(column).cast("string"), 1, 4)
-
-
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units in the bucket ahead of each group of simultaneous requests.
 
-    Rows arrive sorted by (key, run, ms, segment). State is two integers carried across
+    Rows arrive sorted by (key, run, ms). State is two integers carried across
     batches; a run starts with a full bucket.
     """
     owner, units, last = None, 0, 0
@@ -103,60 +95,67 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = ms
             before.append(units)
             units -= min(n, units // TOKEN) * TOKEN
-        kept = [batch.column(c) for c in ("_key", "_ms", "_segment", "_n")]
-        yield pa.RecordBatch.from_arrays(
-            [*kept, pa.array(before, pa.int64())], names=["_key", "_ms", "_segment", "_n", "_units"]
-        )
+        kept = [batch.column(c) for c in ("_key", "_ms", "_n")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(before, pa.int64())], names=["_key", "_ms", "_n", "_units"])
 
 
 def token_bucket(
     df: DataFrame, rpm: int | Column = DEFAULT_RPM, key: str = "api_key", clock: str = "ms", order: str = "request_id",
-    heavy: int = HEAVY_REQUESTS,
 ) -> DataFrame:
     """Replay a token bucket per key: adds allowed, remaining and retry_after_ms.
 
     The bucket holds ``rpm`` tokens, starts full and refills continuously; a request takes
     one token or is denied and takes none. Requests are ordered by (``clock`` in
-    milliseconds, ``order``). Integer units make the result exact.
+    milliseconds, ``order`` by its own type, NULL first). Integer units make the result exact.
 
     The fold is sequential by nature, so it runs on as little as possible:
 
     * requests of one key and millisecond differ only in their place in line, so they are
       counted on the map side and the fold sees one row per (key, ms), not per request;
-    * a bucket idle for a minute is full, whatever happened before, so for keys with more
-      than ``heavy`` requests each run between such silences is folded on its own;
+    * a bucket idle for a minute is full, whatever happened before, so each run of a key
+      between such silences is folded on its own; runs are found from the counts;
     * per-request answers follow from the units ahead of the group and the place in it, by
       a join on (key, ms) that spreads a busy key over all tasks.
 
-    A request without a time stays in the result without an answer.
+    A NULL rate is no limit: the request is allowed, with remaining NULL. At a rate of 0 or
+    less every request is denied, with no time to retry. A request without a time, or (where
+    there is a ``mode`` column) in the sandbox, takes no token and has no answer.
     """
     rate = F.lit(rpm) if isinstance(rpm, int) else rpm
     # requests without a key are one caller, like a blank key
-    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("_ms", F.col(clock).cast("bigint"))
-    keyed = keyed.withColumn("_segment", id_segment(df, order)).withColumn("_rate", rate.cast("bigint"))
-    timed = keyed.filter(F.col("_ms").isNotNull())
-    groups = timed.groupBy("_key", "_ms", "_segment").agg(F.count(F.lit(1)).alias("_n"), F.max("_rate").alias("_rpm"))
-    busy = timed.groupBy("_key").agg(F.count(F.lit(1)).alias("_all")).filter(F.col("_all") > heavy).select("_key")
-    runs = gap_runs(timed.join(busy, "_key", "left_semi"), "_key", "_ms", REFILL_MS, inclusive=True)
+    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn("_rate", rate.cast("bigint"))
+    live = F.col(clock).isNotNull()
+    if "mode" in df.columns:
+        live = live & (F.coalesce(F.col("mode"), F.lit("production")) != "sandbox")
+    # only what is counted has a millisecond here
+    keyed = keyed.withColumn("_live", live).withColumn("_ms", F.when(live & (F.col("_rate") > 0), F.col(clock).cast("bigint")))
+    groups = keyed.filter(F.col("_ms").isNotNull()).groupBy("_key", "_ms").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_rate").alias("_rpm"))
+    runs = gap_runs(groups, "_key", "_ms", REFILL_MS, inclusive=True)
     slotted = groups.withColumn("slot", floor_div(F.col("_ms"), REFILL_MS))
-    run = F.coalesce(F.col("run"), F.lit(0)).cast("string")
     ordered = (
         slotted.join(runs.select("_key", "slot", "run"), ["_key", "slot"], "left")
-        .select("_key", F.concat_ws("|", run, "_key").alias("_who"), "_rpm", "_ms", "_segment", "_n")
+        .select("_key", F.concat_ws("|", F.coalesce(F.col("run"), F.lit(0)).cast("string"), "_key").alias("_who"), "_rpm", "_ms", "_n")
         .repartition("_who")
-        .sortWithinPartitions("_who", "_ms", "_segment")
+        .sortWithinPartitions("_who", "_ms")
     )
-    kind = keyed.schema["_segment"].dataType.simpleString()
-    states = ordered.mapInArrow(_fold, f"_key string, _ms bigint, _segment {kind}, _n bigint, _units bigint")
-    place = F.row_number().over(W.partitionBy("_key", "_ms", "_segment").orderBy(order))
-    joined = keyed.join(states, ["_key", "_ms", "_segment"], "left").withColumn("_place", place)
+    states = ordered.mapInArrow(_fold, "_key string, _ms bigint, _n bigint, _units bigint")
+    place = F.row_number().over(W.partitionBy("_key", "_ms").orderBy(order))
+    joined = keyed.filter(F.col("_ms").isNotNull()).join(states, ["_key", "_ms"]).withColumn("_place", place)
     granted = F.least(F.col("_n"), F.expr(f"_units div {TOKEN}"))
     allowed = F.col("_place") <= granted
     left = F.expr(f"(_units - _place * {TOKEN}) div {TOKEN}")
     missing = F.lit(TOKEN) - (F.col("_units") - granted * TOKEN)
-    return joined.select(
+    counted = joined.select(
         *df.columns,
         allowed.alias("allowed"),
         F.when(allowed, left).when(~allowed, 0).cast("bigint").alias("remaining"),
         F.when(~allowed, F.ceil(missing / F.col("_rate"))).cast("bigint").alias("retry_after_ms"),
     )
+    others = keyed.filter(F.col("_ms").isNull()).select(
+        *df.columns,
+        F.when(F.col("_live"), F.col("_rate").isNull()).alias("allowed"),
+        F.when(F.col("_live") & F.col("_rate").isNotNull(), F.lit(0)).cast("bigint").alias("remaining"),
+        F.lit(None).cast("bigint").alias("retry_after_ms"),
+    )
+    return counted.unionByName(others)

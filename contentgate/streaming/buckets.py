@@ -12,13 +12,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from contentgate.operators.metering import DEFAULT_RPM, TOKEN
 
-OUTPUT = "api_key string, request_id bigint, ms bigint, allowed boolean, remaining bigint, retry_after_ms bigint"
-
 
 class Bucket(StatefulProcessor):
     """State per key: units in the bucket and the time they were counted.
 
-    Requests of one micro-batch are charged in time order. A request older than the state
+    Requests of one micro-batch are charged in time order; those without a time are not
+    charged and have no answer. A request older than the state
     is charged on arrival with no refill, so units never go backwards. The state is two
     integers per key and is kept: dropping it by a timer would need late rows to be dropped.
     """
@@ -30,12 +29,18 @@ class Bucket(StatefulProcessor):
         self.bucket = handle.getValueState("bucket", "units bigint, last bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # two integers per request of the micro-batch; nothing else of it is held
-        parts = [(batch["ms"].to_numpy("int64"), batch["request_id"].to_numpy("int64")) for batch in rows]
-        ms = np.concatenate([p[0] for p in parts])
-        ids = np.concatenate([p[1] for p in parts])
-        line = np.lexsort((ids, ms))
-        ms, ids = ms[line], ids[line]
+        # a time and an id per request of the micro-batch; nothing else of it is held
+        frame = pd.concat([batch[["ms", "request_id"]] for batch in rows]).sort_values(["ms", "request_id"], ignore_index=True)
+        timeless = frame[frame["ms"].isna()]
+        if len(timeless):
+            yield pd.DataFrame({
+                "api_key": key[0], "request_id": timeless["request_id"], "ms": pd.Series(pd.NA, timeless.index, "Int64"),
+                "allowed": pd.Series(pd.NA, timeless.index, "boolean"), "remaining": pd.Series(pd.NA, timeless.index, "Int64"),
+                "retry_after_ms": pd.Series(pd.NA, timeless.index, "Int64")})
+        frame = frame[frame["ms"].notna()]
+        if frame.empty:
+            return
+        ms, ids = frame["ms"].to_numpy("int64"), frame["request_id"].to_numpy()
         full = self.rpm * TOKEN
         known = self.bucket.get() if self.bucket.exists() else None
         units, last = (int(known[0]), int(known[1])) if known is not None else (full, int(ms[0]))
@@ -64,7 +69,9 @@ class Bucket(StatefulProcessor):
 
 
 def token_bucket_stream(requests: DataFrame, rpm: int = DEFAULT_RPM) -> DataFrame:
-    """Requests (api_key, request_id, ms) with allowed, remaining and retry_after_ms."""
+    """Requests (api_key, request_id of any type, ms) with allowed, remaining and retry_after_ms."""
+    kinds = {name: requests.schema[name].dataType.simpleString() for name in ("api_key", "request_id")}
+    output = f"api_key {kinds['api_key']}, request_id {kinds['request_id']}, ms bigint, allowed boolean, remaining bigint, retry_after_ms bigint"
     return requests.groupBy("api_key").transformWithStateInPandas(
-        statefulProcessor=Bucket(rpm), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+        statefulProcessor=Bucket(rpm), outputStructType=output, outputMode="Append", timeMode="None"
     )

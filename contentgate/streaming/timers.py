@@ -54,7 +54,7 @@ def liveness_stream(beats: DataFrame, after_ms: int, delay: str = "10 minutes",
     timed = beats.withWatermark(clock, delay).select("agent_id", clock, F.unix_millis(F.col(clock)).alias("at_ms"))
     return timed.groupBy("agent_id").transformWithStateInPandas(
         statefulProcessor=Heartbeats(after_ms),
-        outputStructType="agent_id bigint, status string, at_ms bigint",
+        outputStructType=f"agent_id {beats.schema['agent_id'].dataType.simpleString()}, status string, at_ms bigint",
         outputMode="Append",
         timeMode="EventTime",
     )
@@ -93,7 +93,7 @@ def expiry_stream(approvals: DataFrame, delay: str = "10 minutes", clock: str =
     )
     return timed.groupBy("approval_id").transformWithStateInPandas(
         statefulProcessor=Expiry(),
-        outputStructType="approval_id string, expired_ms bigint",
+        outputStructType=f"approval_id {approvals.schema['approval_id'].dataType.simpleString()}, expired_ms bigint",
         outputMode="Append",
         timeMode="EventTime",
     )

@@ -30,11 +30,11 @@ def simulate(rows, rpm_of):
     return answers
 
 
-def replay(spark, rows, rpm=10, heavy=metering.HEAVY_REQUESTS):
+def replay(spark, rows, rpm=10):
     df = spark.createDataFrame(rows, "api_key string, ms bigint, request_id bigint")
     rate = rpm if isinstance(rpm, int) else F.when(F.col("api_key") == "slow", 1).otherwise(100)
     return {(r.api_key, r.ms, r.request_id): (r.allowed, r.remaining, r.retry_after_ms)
-            for r in metering.token_bucket(df, rpm=rate, heavy=heavy).collect()}
+            for r in metering.token_bucket(df, rpm=rate).collect()}
 
 
 def test_published_edges(spark):
@@ -48,26 +48,25 @@ def test_published_edges(spark):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(-90_000, 200_000)), min_size=1, max_size=120),
-       st.sampled_from([1, 7, 60]), st.sampled_from([0, 30]))
-def test_random_traces(spark, trace, rpm, heavy):
+       st.sampled_from([1, 7, 60]))
+def test_random_traces(spark, trace, rpm):
     rows = [(key, ms, i) for i, (key, ms) in enumerate(trace)]
-    assert replay(spark, rows, rpm, heavy) == simulate(rows, lambda _: rpm)
+    assert replay(spark, rows, rpm) == simulate(rows, lambda _: rpm)
 
 
 def test_runs_of_a_busy_key_are_cut_at_a_full_minute_of_silence(spark):
     times = [0, 1, 60_000, 60_001, 120_001, 120_002, 240_000, 240_000, 299_999, 360_000]
     rows = [("hot", ms, i) for i, ms in enumerate(times)]
     for rpm in (1, 2):
-        assert replay(spark, rows, rpm, heavy=0) == simulate(rows, lambda _: rpm)
+        assert replay(spark, rows, rpm) == simulate(rows, lambda _: rpm)
 
 
 def test_one_key_and_one_millisecond_hold_most_rows(spark):
     rng = random.Random(7)
-    rows = [("hot", 5_000, i * 7_919) for i in range(3_000)]  # ids span many id segments
+    rows = [("hot", 5_000, i * 7_919) for i in range(3_000)] 
     rows += [("hot", rng.randrange(0, 400_000), 50_000_000 + i) for i in range(2_000)]
     rows += [(rng.choice(["x", "slow", None]), rng.randrange(0, 400_000), 90_000_000 + i) for i in range(1_000)]
-    for heavy in (4_000, metering.HEAVY_REQUESTS):
-        assert replay(spark, rows, "tiers", heavy) == simulate(rows, lambda key: 1 if key == "slow" else 100)
+    assert replay(spark, rows, "tiers") == simulate(rows, lambda key: 1 if key == "slow" else 100)
 
 
 def test_text_ids_keep_their_order(spark):
@@ -77,6 +76,26 @@ def test_text_ids_keep_their_order(spark):
     assert got == {f"{i:06d}" for i in range(20)}
 
 
+def test_order_follows_the_type_of_the_id(spark):
+    df = spark.sql("SELECT 'k' AS api_key, 0L AS ms, CAST(c AS DECIMAL(10,1)) AS request_id FROM VALUES (10), (9), (NULL) AS t(c)")
+    got = {r.request_id: r.allowed for r in metering.token_bucket(df, rpm=2).collect()}
+    assert got == {None: True, 9: True, 10: False}
+
+
+def test_callers_without_a_rate_and_with_none_left(spark):
+    df = spark.createDataFrame([("free", 0, 1), ("none", 0, 2), ("free", None, 3)], "api_key string, ms bigint, request_id bigint")
+    rate = F.when(F.col("api_key") == "none", 0)
+    got = {r.request_id: (r.allowed, r.remaining, r.retry_after_ms) for r in metering.token_bucket(df, rpm=rate).collect()}
+    assert got == {1: (True, None, None), 2: (False, 0, None), 3: (None, None, None)}
+
+
+def test_two_tier_rows_do_not_double_usage(spark):
+    df = spark.createDataFrame([("k", "1"), ("k", "2")], "api_key string, request_id string").withColumn(
+        "ts", F.timestamp_seconds(F.lit(1_700_000_000))).withColumn("mode", F.lit(None).cast("string"))
+    tiers = spark.createDataFrame([("k", "pro"), ("k", "community")], "api_key string, tier string")
+    assert [r.n_scans for r in metering.monthly_usage(df, tiers).collect()] == [2]
+
+
 def test_requests_without_a_time_stay(spark):
     df = spark.createDataFrame([("k", None, 1), ("k", 5, 2)], "api_key string, ms bigint, request_id bigint")
     got = {r.request_id: r.allowed for r in metering.token_bucket(df).collect()}
