@@ -35,6 +35,7 @@ DEFAULT_THREAT = "Security threat detected"
 DEFAULT_BLOCK = "Request blocked"
 # --- end of fixed values ----------------------------------------------------
 
+NOT_SCANNED = "Content kind was not scanned"
 VIOLATIONS_TYPE = "array<struct<type:string,description:string>>"
 
 
@@ -157,9 +158,10 @@ def block_message(reason: Column, dialect: str = "a") -> Column:
 
 
 def gate(df: DataFrame, dialect: str = "a") -> DataFrame:
-    """Add ``outcome`` (if absent) and ``message``; the row itself is left whole."""
+    """Add ``outcome`` (if absent) and ``message``; the row itself is left whole. An undecided
+    item (``safe`` NULL) is a scan_error, never allowed."""
     if "outcome" not in df.columns:
-        df = df.withColumn("outcome", F.when(F.col("safe"), "allowed").otherwise("blocked"))
+        df = df.withColumn("outcome", F.when(F.col("safe"), "allowed").when(F.col("safe").isNull(), "scan_error").otherwise("blocked"))
     return df.withColumn(
         "message",
         F.when(F.col("outcome") == "blocked", block_message(F.col("reason"), dialect)).when(

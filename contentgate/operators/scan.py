@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contentgate.functions import rules as R
 from contentgate.functions.text import is_blank, utf16_units
-from contentgate.operators.gates import MAX_UNITS, blank_reason, oversize_reason
+from contentgate.operators.gates import MAX_UNITS, NOT_SCANNED, blank_reason, oversize_reason
 from contentgate.operators.extract import message_text
 from contentgate.operators.verdicts import pick_verdicts, raw_from_rules, sanitize_verdicts
 
@@ -45,8 +45,9 @@ def scan_raw(
     """Items with the raw result of the rules of their kind: safe, threat_type,
     confidence_score, reason. A projection: no shuffle, and no rule runs after the winner.
 
-    Naming the ``kinds`` that occur keeps the expression small. Rows for which ``skip`` holds
-    are not scanned and come out safe.
+    Naming the ``kinds`` that occur keeps the expression small. An item of another kind, or of
+    none, is not decided: ``usable`` is false and every verdict column of it becomes NULL.
+    Rows for which ``skip`` holds are not scanned and come out safe.
     """
     table = _rule_table(pack, allow_destructive)
     wide, content, body = _with_subjects(items, pack)
@@ -60,8 +61,9 @@ def scan_raw(
         ordered.extend(table[kind])
     if skip is not None:
         position = F.when(~skip, position)
-    placed = wide.select(*items.columns, position.alias("_position"))
-    return raw_from_rules(placed, F.col("_position"), ordered).drop("_position")
+    decided = F.coalesce(F.col("content_kind").isin(*kinds), F.lit(False))
+    placed = wide.select(*items.columns, position.alias("_position"), (decided if skip is None else decided | skip).alias("_decided"))
+    return raw_from_rules(placed, F.col("_position"), ordered).withColumnRenamed("_decided", "usable").drop("_position")
 
 
 def scan(
@@ -75,7 +77,8 @@ def scan(
     """One public verdict per item.
 
     ``scorer`` replaces the rule pack: any function from items to findings (request_id,
-    rule_id, rule_ord, raw_threat_type, confidence_score). Items without findings are safe.
+    rule_id, rule_ord, raw_threat_type, confidence_score). Items without findings are safe; an
+    item without an id cannot be matched to findings and stays undecided.
     """
     if scorer is None:
         return sanitize_verdicts(scan_raw(items, pack, allow_destructive, kinds), keep)
@@ -85,6 +88,7 @@ def scan(
     joined = items.select(*keep).join(picked, "request_id", "left")
     typed = joined.select(
         *keep,
+        F.col("request_id").isNotNull().alias("usable"),
         F.col("_type").isNull().alias("safe"),
         F.col("_type").alias("threat_type"),
         F.col("_sev").alias("severity"),
@@ -133,23 +137,25 @@ def scan_chat(
     matching rule of the joined text is the smallest rule position over the messages; its
     length is the sum of the lengths plus the separators; it is blank when every message
     is. All three combine on the map side, so a conversation of any length costs one small
-    row per task. ``limit`` adds the size gate.
+    row per task. ``limit`` adds the size gate. Messages without a conversation are no
+    conversation: each has a verdict of its own.
     """
     ordered = R.rules_for(pack, R.PROMPT)
     text = message_text(messages, dialect, content)
-    slim = messages.select("conv_id", text.alias("_text"))
-    per_message = slim.select(
+    per_message = messages.select("conv_id", text.alias("_text")).select(
         "conv_id",
         R.winner(ordered, F.col("_text")).alias("_position"),
         F.when(F.col("_text").isNotNull(), utf16_units(F.col("_text"))).alias("_units"),
         is_blank(F.col("_text")).alias("_blank"),
     )
-    merged = per_message.groupBy("conv_id").agg(
+    merged = per_message.filter(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(
         F.min("_position").alias("_position"),
         F.count("_units").alias("n_messages"),
         F.coalesce(F.sum("_units"), F.lit(0)).alias("_units"),
         F.coalesce(F.bool_and("_blank"), F.lit(True)).alias("_blank"),
-    )
+    ).union(per_message.filter(F.col("conv_id").isNull()).select(
+        "conv_id", "_position", F.col("_units").isNotNull().cast("bigint"), F.coalesce("_units", F.lit(0)), F.coalesce("_blank", F.lit(True)),
+    ))
     units = F.col("_units") + F.greatest(F.col("n_messages") - 1, F.lit(0))
     merged = merged.withColumn("units", units)
     scanned = raw_from_rules(merged, F.col("_position"), ordered)
@@ -180,31 +186,43 @@ def guard_items(
     limit: int = MAX_UNITS,
     allow_destructive: bool = False,
     kinds: tuple = R.KINDS,
+    dialect: str = "a",
+    profile: str = "guard",
 ) -> DataFrame:
-    """Size gate, blank gate (chat prompts only) and scan in one pass over the items.
+    """Gates and scan in one pass over the items; what a gate settles is not scanned.
 
-    The gates come first: what they settle is not scanned.
+    Profile ``guard`` is a wrapped chat client: its prompts pass the blank gate (with the
+    reason of ``dialect``) and have no size limit; the other kinds are limited in size.
+    Profile ``client`` is the low-level client: every kind is limited, nothing is blank.
 
     Every input column passes through; the verdict columns of ``sanitize_verdicts`` are added.
+    Items of a kind that is not scanned come out with ``safe`` NULL and a reason, which
+    ``gate`` turns into the outcome scan_error.
     """
+    if profile not in ("guard", "client"):
+        raise ValueError(f"unknown profile: {profile}")
     # a text never has more UTF-16 units than UTF-8 bytes, and those are known without decoding
     octets = F.octet_length(F.coalesce("content", F.lit(""))) + F.octet_length(F.coalesce("body", F.lit("")))
     exact = utf16_units(F.col("content")) + utf16_units(F.col("body"))
     sized = items.withColumn("_units", F.when(octets > limit, exact))
+    large = oversize_reason(F.col("content_kind"), F.col("_units"), limit)
+    chat = F.coalesce(F.col("content_kind") == R.PROMPT, F.lit(False))
     staged = sized.select(
         *items.columns,
-        oversize_reason(F.col("content_kind"), F.col("_units"), limit).alias("_large"),
-        F.when(F.col("content_kind") == R.PROMPT, blank_reason(F.col("content"))).alias("_blank"),
+        (large if profile == "client" else F.when(~chat, large)).alias("_large"),
+        (F.when(chat, blank_reason(F.col("content"), dialect)) if profile == "guard" else F.lit(None).cast("string")).alias("_blank"),
     )
     early = F.col("_large").isNotNull() | F.col("_blank").isNotNull()
     scanned = scan_raw(staged, pack, allow_destructive, kinds, skip=early)
     large = F.col("_large").isNotNull()
     resolved = scanned.select(
         *items.columns,
+        "usable",
         F.when(large, False).otherwise(F.col("safe")).alias("safe"),
         F.when(large, "size_limit_exceeded").otherwise(F.col("threat_type")).alias("threat_type"),
         "severity",
         F.when(large, 1.0).otherwise(F.col("confidence_score")).alias("confidence_score"),
         F.coalesce(F.col("_large"), F.col("_blank"), F.col("reason")).alias("reason"),
     )
-    return sanitize_verdicts(resolved, tuple(items.columns))
+    done = sanitize_verdicts(resolved, tuple(items.columns))
+    return done.withColumn("reason", F.when(F.col("safe").isNull(), F.lit(NOT_SCANNED)).otherwise(F.col("reason")))

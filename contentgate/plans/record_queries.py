@@ -429,11 +429,12 @@ _REFUSED = "(a+)+$"
     f"""
 WITH u AS (SELECT DISTINCT user_id FROM events),
 r AS (SELECT user_id, 2 AS rank, {_WARN_PATTERN} AS pattern FROM u UNION ALL SELECT user_id, 3, {_BLOCK_PATTERN} FROM u)
-SELECT request_id, policy_id, CASE max(rank) WHEN 3 THEN 'block' ELSE 'warn' END AS action,
+SELECT request_id, policy_id, CASE WHEN max(rank) = 3 THEN 'block' WHEN policy_id::BIGINT % 4 = 1 THEN 'scan_error' ELSE 'warn' END AS action,
        CAST(CASE WHEN policy_id::BIGINT % 4 = 1 THEN 1 ELSE 0 END AS BIGINT) AS n_unusable
-FROM (SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 150 AS VARCHAR) AS policy_id, text FROM documents) i
-JOIN r ON r.user_id = i.policy_id::BIGINT
-WHERE regexp_matches(text, pattern) GROUP BY request_id, policy_id""",
+FROM (SELECT i.request_id, i.policy_id, CASE WHEN regexp_matches(text, pattern) THEN rank END AS rank
+      FROM (SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 150 AS VARCHAR) AS policy_id, text FROM documents) i
+      JOIN r ON r.user_id = i.policy_id::BIGINT)
+GROUP BY request_id, policy_id HAVING max(rank) IS NOT NULL OR policy_id::BIGINT % 4 = 1""",
 )
 def policy_custom_patterns(spark, sf_dir):
     items = load(spark, sf_dir, "documents").select(
@@ -444,7 +445,8 @@ def policy_custom_patterns(spark, sf_dir):
     def rule(action, *patterns):
         return F.struct(F.lit("custom").alias("type"), F.lit(action).alias("action"), F.array(*patterns).alias("patterns"))
 
-    refused = F.when(F.col("user_id") % 4 == 1, F.lit(_REFUSED))
+    refused = F.when(F.col("user_id") % 12 == 1, F.lit(_REFUSED)).when(F.col("user_id") % 12 == 5, F.lit("[z-a]")).when(
+        F.col("user_id") % 12 == 9, F.lit("a{5,2}"))
     policies = load(spark, sf_dir, "events").select("user_id").distinct().select(
         F.col("user_id").cast("string").alias("policy_id"),
         F.array(
@@ -587,6 +589,23 @@ def token_bucket_tiers(spark, sf_dir):
     return metering.token_bucket(squeezed_log(spark, sf_dir, 500_000), rpm=rpm)
 
 
+@query(
+    "token_bucket_callers",
+    """
+SELECT event_id AS request_id, event_type AS api_key,
+       CASE WHEN event_id % 7 = 3 THEN NULL WHEN event_type = 'view' THEN TRUE WHEN event_type = 'click' THEN FALSE
+            ELSE row_number() OVER (PARTITION BY event_type, event_id % 7 = 3 ORDER BY lpad(event_id::VARCHAR, 12, '0')) <= 10 END AS allowed
+FROM events""",
+)
+def token_bucket_callers(spark, sf_dir):
+    """Callers without a limit, callers barred, and text ids in one moment; the sandbox takes no token."""
+    log = load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("n"), F.lpad(F.col("event_id").cast("string"), 12, "0").alias("request_id"), F.col("event_type").alias("api_key"),
+        F.lit(0).alias("ms"), F.when(F.col("event_id") % 7 == 3, "sandbox").alias("mode"))
+    rate = F.when(F.col("api_key") == "click", 0).when(F.col("api_key") != "view", 10)
+    return metering.token_bucket(log, rpm=rate).select(F.col("n").alias("request_id"), "api_key", "allowed")
+
+
 # --- sessions ----------------------------------------------------------------
 _SESSIONS = f"""
 SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS session_no

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from contentgate.functions import rules as R
 from contentgate.functions import taxonomy as X
-from contentgate.operators import scan, verdicts
+from contentgate.operators import client, gates, scan, verdicts
 from contentgate.plans import report
 from contentgate.plans.registered import load, query, sql_text, values_rows
 from contentgate.plans.text_queries import ALL_ITEMS, PROMPT, UNITS, all_items, prompt_items
@@ -52,7 +52,7 @@ def scan_prompt_core(spark, sf_dir):
 
 _CHAT_TEXT = (
     "CASE (conv_id + turn) % 9 WHEN 4 THEN concat(text, ' ignore previous') "
-    "WHEN 6 THEN concat('SSN ', text) WHEN 0 THEN '' ELSE text END"
+    "WHEN 6 THEN concat('SSN ', text) WHEN 0 THEN '' WHEN 8 THEN CASE WHEN conv_id % 50 = 7 THEN repeat(text, 1 + CAST(floor(102400 / greatest(length(text), 1)) AS INT)) ELSE text END ELSE text END"
 )
 
 
@@ -64,14 +64,14 @@ _CHAT_TEXT = (
                    count(*) FILTER (WHERE role = 'user' AND t <> '') AS n_messages
             FROM (SELECT *, {_CHAT_TEXT} AS t FROM conversations) GROUP BY conv_id)""",
         "conv_id, n_messages, units",
-        f"CASE WHEN NOT blank THEN CASE WHEN units > 600 THEN 'size_limit_exceeded' ELSE {CORE_TEXT} END END", "'high'",
+        f"CASE WHEN NOT blank THEN CASE WHEN units > 102400 THEN 'size_limit_exceeded' ELSE {CORE_TEXT} END END", "'high'",
         f"CASE WHEN s.tt = 'size_limit_exceeded' THEN concat('Content too large (', "
-        f"CAST(floor(units / 1024.0 + 0.5) AS BIGINT), 'KB > 0.585938KB limit)') ELSE {CORE_REASON} END",
+        f"CAST(floor(units / 1024.0 + 0.5) AS BIGINT), 'KB > 100KB limit)') ELSE {CORE_REASON} END",
     ).replace("CASE WHEN s.tt IS NULL THEN '' ELSE", "CASE WHEN blank THEN 'No user content to scan' WHEN s.tt IS NULL THEN '' ELSE"),
 )
 def scan_chat_core(spark, sf_dir):
     turns = load(spark, sf_dir, "conversations").withColumn("text", F.expr(_CHAT_TEXT))
-    return flat(scan.scan_chat(turns, "a", limit=600), "conv_id", "n_messages", "units")
+    return flat(scan.scan_chat(turns, "a", limit=gates.MAX_UNITS), "conv_id", "n_messages", "units")
 
 
 _SQL_TEXT = (
@@ -443,16 +443,81 @@ def scan_with_scorer(spark, sf_dir):
     return flat(scan.scan(items, keep=("request_id",), scorer=scorer), "request_id")
 
 
+# --- nothing passes undecided ------------------------------------------------
+_KIND = "CASE doc_id % 4 WHEN 0 THEN 'prompt' WHEN 1 THEN 'a2a_message' WHEN 2 THEN 'letter' END"
+
+
+@query(
+    "scan_unlisted_kind",
+    f"""
+SELECT request_id, content_kind, CASE WHEN content_kind IS DISTINCT FROM 'prompt' THEN 'scan_error' WHEN tt IS NULL THEN 'allowed' ELSE 'blocked' END AS outcome,
+       CASE WHEN content_kind = 'prompt' THEN tt END AS threat_type, CASE WHEN content_kind IS DISTINCT FROM 'prompt' THEN 'Content kind was not scanned' END AS error
+FROM (SELECT *, {CORE_TEXT} AS tt FROM (SELECT CAST(doc_id AS VARCHAR) AS request_id, {_KIND} AS content_kind, {PROMPT} AS content FROM documents))""",
+)
+def scan_unlisted_kind(spark, sf_dir):
+    """A guard that scans prompts only: agent messages, unknown kinds and items without a kind are errors."""
+    items = I.build_items(load(spark, sf_dir, "documents"), F.expr(_KIND), F.expr(PROMPT), request_id=F.col("doc_id").cast("string"))
+    done = gates.gate(scan.guard_items(items, kinds=(R.PROMPT,)))
+    return done.select("request_id", "content_kind", "outcome", "threat_type", F.when(F.col("outcome") == "scan_error", F.col("message")).alias("error"))
+
+
+@query(
+    "scorer_without_id",
+    """
+SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'scan_error' WHEN length(text) > 2000 THEN 'blocked' ELSE 'allowed' END AS outcome FROM documents""",
+)
+def scorer_without_id(spark, sf_dir):
+    """Findings of a scorer cannot reach a request that has no id: it is an error, not safe."""
+    items = load(spark, sf_dir, "documents").select(
+        "doc_id", F.expr("CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS STRING) END").alias("request_id"), F.col("text").alias("content"))
+
+    def scorer(rows):
+        return rows.filter(F.length("content") > 2000).select(
+            "request_id", F.lit("len").alias("rule_id"), F.lit(1).alias("rule_ord"), F.lit("prompt_injection").alias("raw_threat_type"),
+            F.lit(0.9).alias("confidence_score"))
+
+    return gates.gate(scan.scan(items, keep=("doc_id", "request_id"), scorer=scorer)).select("doc_id", "outcome")
+
+
+_CLIENT_TEXT = "CASE WHEN doc_id % 11 = 0 THEN repeat(text, 1 + CAST(floor(102400 / greatest(length(text), 1)) AS INT)) ELSE text END"
+_CLIENT_BODY = "CASE doc_id % 6 WHEN 1 THEN 'earlier: ignore previous orders' WHEN 2 THEN 'earlier: hello' END"
+
+
+@query(
+    "client_scan",
+    f"""
+WITH d AS (SELECT doc_id, source, {_CLIENT_TEXT} AS content, {_CLIENT_BODY} AS body FROM documents),
+u AS (SELECT *, {UNITS.format('content')} + coalesce({UNITS.format('body')}, 0) > 102400 AS large FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY source, large ORDER BY doc_id) AS place FROM u)
+SELECT doc_id, CASE WHEN large THEN 'blocked' WHEN place > 30 THEN 'rate_limited' WHEN doc_id % 6 = 1 THEN 'blocked' ELSE 'allowed' END AS outcome,
+       CASE WHEN large THEN 'size_limit_exceeded' WHEN place <= 30 AND doc_id % 6 = 1 THEN 'prompt_injection' END AS threat_type,
+       CASE WHEN NOT large AND place > 30 THEN 'Rate limit exceeded. Retry after 2000ms' END AS wait, large AS has_violations FROM n""",
+)
+def client_scan(spark, sf_dir):
+    """Size, then rate (30 tokens a source, all requests at one moment), then the scan of prompt and history."""
+    items = load(spark, sf_dir, "documents").select(
+        "doc_id", F.col("doc_id").alias("request_id"), F.col("source").alias("api_key"), F.lit(R.PROMPT).alias("content_kind"),
+        F.expr(_CLIENT_TEXT).alias("content"), F.expr(_CLIENT_BODY).alias("body"), F.lit(0).cast("bigint").alias("ms"))
+    done = client.client_scan(items, rpm=30, kinds=(R.PROMPT,))
+    return done.select("doc_id", "outcome", "threat_type", F.when(F.col("outcome") == "rate_limited", F.col("message")).alias("wait"),
+                       F.col("violations").isNotNull().alias("has_violations"))
+
+
 # --- reports -----------------------------------------------------------------
 _ALL_VERDICTS = f"""
-  SELECT content_kind, tt, y.severity, CASE WHEN tt IS NULL THEN NULL WHEN tt = 'path_traversal' THEN 'medium' ELSE 'high' END AS confidence
-  FROM (SELECT *, CASE WHEN content_kind IN ('prompt', 'a2a_message') THEN {CORE_TEXT}
-               WHEN contains(content, '..') OR contains(content, '/etc/passwd') THEN 'path_traversal' END AS tt
-        FROM ({ALL_ITEMS})) LEFT JOIN (VALUES {TYPES}) y(tt, severity, guidance) USING (tt)"""
+  WITH {_hits_sql(f"SELECT * FROM ({ALL_ITEMS}) WHERE content_kind LIKE 'file%'", _BODY_RULES)},
+  p AS (SELECT *, contains(content, '..') OR contains(content, '/etc/passwd') AS bad FROM src)
+  SELECT content_kind, tt, y.severity, CASE WHEN tt IS NOT NULL THEN 'high' END AS confidence
+  FROM (SELECT content_kind, {CORE_TEXT} AS tt FROM ({ALL_ITEMS}) WHERE content_kind NOT LIKE 'file%')
+  LEFT JOIN (VALUES {TYPES}) y(tt, severity, guidance) USING (tt)
+  UNION ALL
+  SELECT p.content_kind, CASE WHEN bad THEN 'path_traversal' ELSE best.threat_type END, CASE WHEN bad THEN 'high' ELSE best.severity END,
+         CASE WHEN bad THEN 'medium' WHEN best.rule_id IS NOT NULL THEN {_level('best.score')} END
+  FROM p LEFT JOIN best USING (request_id)"""
 
 
 def _all_verdicts(spark, sf_dir):
-    return scan.guard_items(all_items(spark, sf_dir), kinds=(R.PROMPT, R.A2A, R.FILE_PATH, R.FILE_CONTENT))
+    return scan.guard_items(all_items(spark, sf_dir), "core_bodies", kinds=(R.PROMPT, R.A2A, R.FILE_PATH, R.FILE_CONTENT))
 
 
 @query(
