@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings only: anything about the cluster itself stays with its owner.
 RUNTIME_CONF = {
@@ -15,7 +15,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # session windows are merged inside a task before they are shuffled
-    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # a JSON object with a repeated key keeps the last value instead of failing to parse
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -34,17 +34,6 @@ def configure(spark: SparkSession, streaming: bool = False) -> SparkSession:
     return spark
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal a table that few tasks would read over all cores.
-
-    A small file is read by one task, and a scan of its texts would keep one core busy. A
-    table that already gives at least a quarter of the cores something to read is returned
-    as it is, so a large table never pays for an exchange here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
-
-
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="contentgate-")
@@ -53,18 +42,12 @@ def _local_root() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh sub-folder of the checkpoint folder the cluster names.
 
-    Only where no folder is configured (tests, a laptop) is a local one created.
+    Only where none is configured and everything runs in this one process (a laptop) is a
+    local folder created; on a cluster executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/contentgate-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it back: the lineage ends at a table
-    that survives the loss of an executor."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
