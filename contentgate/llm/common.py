@@ -29,6 +29,14 @@ def save(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Texts can be long: hand them to Python in batches of fewer rows than Spark's default."""
+    key, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+    if df.sparkSession.conf.get(key) != rows:
+        df.sparkSession.conf.set(key, rows)
+    return df
+
+
 def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[tuple[str, str]],
               make: Callable[[], Callable[[list[str]], list]]) -> DataFrame:
     """`keep` columns unchanged plus `fields`, computed from whole texts (null counts as empty).
@@ -45,7 +53,7 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[tuple[str,
             made = [pa.array(c, ARROW[t]) for c, (_, t) in zip(fn(texts), fields)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], names=[*keep, *(n for n, _ in fields)])
 
-    return df.select(F.col(text).cast("string").alias("_text"), *keep).mapInArrow(run, schema)
+    return small_batches(df).select(F.col(text).cast("string").alias("_text"), *keep).mapInArrow(run, schema)
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 1 << 16) -> Iterator[pa.Table]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentgate.llm.common import save
+from contentgate.llm.common import save, small_batches
 from contentgate.llm.tokens import word_encoder
 
 PER_SHARD = 4096
@@ -42,7 +42,7 @@ def cut_pieces(docs: DataFrame, file: str, size: int, end_id: int = 0, id_col: s
                 names=[id_col, "piece", "start", "length", "ids_crc32"])
 
     schema = f"`{id_col}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema).withColumn(
+    return small_batches(docs).select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema).withColumn(
         "_deal", F.monotonically_increasing_id())
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentgate.llm.common import map_texts, save
+from contentgate.llm.common import map_texts, save, small_batches
 
 FEATURES = 256
 RIDGE = 1e-3
@@ -188,4 +188,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     def scores(texts: pd.Series) -> pd.Series:
         return pd.Series(model.score(np.array([statistics(t or "") for t in texts], dtype=float).reshape(len(texts), -1)))
 
-    return docs.filter(F.pandas_udf(scores, "double")(F.col(text_col).cast("string")) >= THRESHOLD)
+    return small_batches(docs).filter(F.pandas_udf(scores, "double")(F.col(text_col).cast("string")) >= THRESHOLD)

@@ -17,7 +17,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentgate.llm.common import map_texts
+from contentgate.llm.common import map_texts, small_batches
 
 # Fixed patterns and least lengths of the base kinds, in the order that breaks ties.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -137,4 +137,4 @@ def redact(docs: DataFrame, ranks_file: bytes, pattern: str, text_col: str = "te
         return texts.map(one, na_action=None)
 
     udf = F.pandas_udf(clean, "string")
-    return docs.withColumn(text_col, udf(F.col(text_col).cast("string")))
+    return small_batches(docs).withColumn(text_col, udf(F.col(text_col).cast("string")))

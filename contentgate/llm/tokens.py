@@ -34,7 +34,7 @@ UNSETTLED = regex.compile(
 # White space never joins two pre-tokens but for one space before a word: texts are cut there first.
 CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 WORDS = re.compile(r"\S+")
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 LONG_TEXT = 2_000_000
 
 
