@@ -6,7 +6,7 @@ length - v + 1 bytes that follow (depth 1), and, where those repeat, by everythi
 (depth 2: v - 1 bytes before and `length` after). Ranks settle the long ties: a cover suffix that repeats at depth 2 makes
 every suffix within v before it a repeat without sorting it, and a suffix with no cover suffix that repeats at
 depth 1 behind it is none. Only the suffixes left, near the ends of repeats, are dealt into buckets of their own and
-sorted there, one bucket at a time, together with one copy of the settled ones.
+sorted there, one bucket at a time, together with one copy of the settled ones that share a depth-1 rank with them.
 
 Ranks are fingerprints of the bytes they stand for: order among suffixes is of no use here, equality is.
 """
@@ -24,11 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentgate.llm.common import save
+from contentgate.llm.common import save, small_batches
 from contentgate.session import shared_dir
 
 PRIME = 13
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 BUCKET_BYTES = 4 << 20
 TILE = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -90,10 +90,13 @@ def fingerprints(data: np.ndarray, at: np.ndarray, length: int, sums: int = 2) -
 class Entries:
     """The distinct fingerprints of one unit, in order, cut into buckets by their leading bits."""
 
-    def __init__(self, prints: list[np.ndarray], bits: int):
+    def __init__(self, prints: list[np.ndarray], bits: int, open_: np.ndarray | None = None):
         self.values, self.first, self.index, count = np.unique(prints[0], return_index=True, return_inverse=True, return_counts=True)
         self.second = prints[1][self.first] if len(prints) > 1 else None
-        self.twice, self.bits = count > 1, bits
+        self.twice, self.bits, self.open = count > 1, bits, None
+        if open_ is not None:
+            self.open = np.zeros(len(self.values), dtype=bool)
+            self.open[self.index[open_]] = True
         edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.empty(0, np.uint64)
         self.cuts = np.concatenate([[0], np.searchsorted(self.values, edges), [len(self.values)]])
 
@@ -102,7 +105,8 @@ class Entries:
         for bucket, (i, j) in enumerate(zip(self.cuts, self.cuts[1:])):
             if i < j:
                 if self.second is None:
-                    yield bucket, (self.values[i:j] >> np.uint64(32 - min(32, self.bits))).astype("<u4").tobytes()
+                    flags = b"" if self.open is None else np.packbits(self.open[i:j]).tobytes()
+                    yield bucket, (self.values[i:j] >> np.uint64(32 - min(32, self.bits))).astype("<u4").tobytes() + flags
                 else:
                     yield bucket, self.values[i:j].astype("<u8").tobytes() + self.second[i:j].astype("<u4").tobytes()
 
@@ -123,20 +127,25 @@ class Entries:
         later = self.marked(masks, "later", np.zeros(len(self.values), dtype=bool))
         return np.sort(self.first[self.marked(masks, "mask", self.twice.copy()) & ~later])
 
+    def with_open(self, masks) -> np.ndarray:
+        """Which of the original positions share their fingerprint with an open one, here or in another unit."""
+        return self.marked(masks, "mask", self.open.copy())[self.index]
 
-def sort_buckets(entries: DataFrame, wide: bool) -> DataFrame:
+
+def sort_buckets(entries: DataFrame, kind: str) -> DataFrame:
     """unit and, per bucket, masks of its entries that another unit holds too, and of those for which another unit
-    leads. `entries`: unit, bucket, blob."""
+    leads; for the kind "open", of its entries that are open in some unit. `entries`: unit, bucket, blob."""
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         blobs = list(frame["blob"])
-        sizes = np.array([len(b) // (12 if wide else 4) for b in blobs])
-        if wide:
+        # "open" has a bit an entry behind the values
+        sizes = np.array([len(b) * 8 // {"narrow": 32, "wide": 96, "open": 33}[kind] for b in blobs])
+        if kind == "wide":
             value = np.concatenate([np.frombuffer(b, "<u8", n) for b, n in zip(blobs, sizes)])
             second = np.concatenate([np.frombuffer(b, "<u4", n, 8 * n) for b, n in zip(blobs, sizes)])
             order = np.lexsort((second, value))
             same = (value[order][1:] == value[order][:-1]) & (second[order][1:] == second[order][:-1])
         else:
-            value = np.concatenate([np.frombuffer(b, "<u4") for b in blobs])
+            value = np.concatenate([np.frombuffer(b, "<u4", n) for b, n in zip(blobs, sizes)])
             order = np.argsort(value, kind="stable")
             same = value[order][1:] == value[order][:-1]
         twice = np.zeros(len(value), dtype=bool)
@@ -144,6 +153,10 @@ def sort_buckets(entries: DataFrame, wide: bool) -> DataFrame:
         later[order[1:][same]] = True
         twice[order[:-1][same]] = True
         twice |= later
+        if kind == "open":
+            flags = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8, offset=4 * n), count=n) for b, n in zip(blobs, sizes)])
+            group = np.concatenate([[0], np.cumsum(~same)])
+            twice[order] = np.bincount(group, flags[order])[group] > 0
         cut = lambda flag: [np.packbits(flag[b - n:b]).tobytes() for b, n in zip(np.cumsum(sizes), sizes)]
         masks = pd.DataFrame({"unit": frame["unit"], "bucket": frame["bucket"], "mask": cut(twice), "later": cut(later)})
         return masks[[m.strip(b"\0") != b"" for m in masks["mask"]]]
@@ -184,17 +197,26 @@ class Unit:
         np.add.at(change, at + 1, -1)
         return np.cumsum(change[:-1], dtype=np.int16) > 0
 
-    def depth3(self, masks1, masks2) -> Entries:
+    def classes(self, masks1, masks2) -> Entries:
+        """Depth-1 ranks of the cover suffixes that depth 2 left open, and of the leading settled ones."""
         ranked = self.depth2(masks1)
-        self.known = self.covered(self.deep[ranked.repeated(masks2)])
-        # an open suffix may equal a settled one: of equal surroundings one leads, and its suffixes are sorted too
-        led = self.covered(self.deep[ranked.leading(masks2)])
-        self.open = self.inside(np.flatnonzero(self.covered(self.often) & ~self.known | led), 0, self.length)
+        settled = self.deep[ranked.repeated(masks2)]
+        self.known, self.leads = self.covered(settled), self.deep[ranked.leading(masks2)]
+        self.unsettled = np.setdiff1d(self.often, settled, assume_unique=True)
+        self.both = np.union1d(self.unsettled, self.leads)
+        return Entries(fingerprints(self.data, self.both, self.length - self.v + 1, 1), self.bits, np.isin(self.both, settled, invert=True))
+
+    def depth3(self, masks1, masks2, masks_open) -> Entries:
+        # An open suffix equals one before an unsettled cover suffix, or one before a settled one of the same depth-1 rank: of
+        # equal surroundings one leads, and its suffixes are sorted too.
+        near_open = self.classes(masks1, masks2).with_open(masks_open)
+        led = self.covered(np.intersect1d(self.both[near_open], self.leads, assume_unique=True))
+        self.open = self.inside(np.flatnonzero(self.covered(self.unsettled) | led), 0, self.length)
         return Entries(fingerprints(self.data, self.open, self.length), self.bits)
 
-    def removed(self, masks1, masks2, masks3) -> list[tuple[bytes, list[int]]]:
+    def removed(self, masks1, masks2, masks_open, masks3) -> list[tuple[bytes, list[int]]]:
         """Per document the kept bytes and the removed runs, start and end in turn."""
-        entries = self.depth3(masks1, masks2)
+        entries = self.depth3(masks1, masks2, masks_open)
         self.known[self.open[entries.repeated(masks3)]] = True
         edge = np.flatnonzero(np.diff(np.concatenate([[False], self.known, [False]]).astype(np.int8)))
         first, last = edge[::2], edge[1::2] - 1 + self.length
@@ -245,10 +267,10 @@ def units_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
         if parts:
             yield unit()
 
-    made = docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(packed, f"unit bigint, ids array<{kind}>, ends array<bigint>, data binary")
+    made = small_batches(docs).select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(packed, f"unit bigint, ids array<{kind}>, ends array<bigint>, data binary")
     path, name = shared_dir(spark), f"units_{uuid.uuid4().hex}"
     sizes = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
-    made.write.bucketBy(max(1, min(1 << 16, math.ceil(sizes / (4 * UNIT_BYTES)))), "unit").option("path", path).saveAsTable(name)
+    made.write.bucketBy(max(1, min(1 << 16, math.ceil(sizes / (8 * UNIT_BYTES)))), "unit").option("path", path).saveAsTable(name)
     return spark.table(name), sizes
 
 
@@ -279,7 +301,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
             for batch in batches:
                 for k in range(batch.num_rows):
                     row = {name: batch.column(name)[k].as_py() for name in batch.schema.names}
-                    found = [row.get(f"m{i}") for i in range(3)]
+                    found = [row.get(f"m{i}") for i in range(4)]
                     yield from step(Unit(row["data"], row["ends"], length, bits), row, found)
 
         return run
@@ -294,10 +316,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 
         return each(step)
 
-    depths = (lambda u, m: u.depth1(), lambda u, m: u.depth2(m[0]), lambda u, m: u.depth3(m[0], m[1]))
-    for k, entries_of in enumerate(depths):
+    depths = (
+        ("narrow", lambda u, m: u.depth1()), ("wide", lambda u, m: u.depth2(m[0])), ("open", lambda u, m: u.classes(m[0], m[1])),
+        ("wide", lambda u, m: u.depth3(m[0], m[1], m[2])))
+    for k, (kind_of, entries_of) in enumerate(depths):
         columns = ["unit", "ends", "data", *(f"m{i}" for i in range(k))]
-        masks.append(sort_buckets(joined().select(columns).mapInArrow(emit(entries_of), "unit bigint, bucket int, blob binary"), wide=k > 0))
+        masks.append(sort_buckets(joined().select(columns).mapInArrow(emit(entries_of), "unit bigint, bucket int, blob binary"), kind_of))
 
     def result(unit, row, found):
         both = unit.removed(*found)
