@@ -86,43 +86,56 @@ def _has_null(items: Column) -> Column:
     return F.exists(items, lambda x: variants.is_kind(x, variants.NULL))
 
 
+DEPTH = 6
+
+
 def _unfold(part: Column) -> Column:
     """The parts of a list element that has no text of its own, else the element."""
     inner = variants.elements(variants.field(part, "parts"))
-    return F.when(_part_text(part).isNull() & inner.isNotNull(), inner).otherwise(F.array(part))
+    return F.when(_folded(part), inner).otherwise(F.array(part))
+
+
+def _folded(part: Column) -> Column:
+    return F.coalesce(_part_text(part).isNull() & variants.elements(variants.field(part, "parts")).isNotNull(), F.lit(False))
 
 
 def _joined(items: Column) -> Column:
     return F.array_join(F.array_compact(F.transform(items, _part_text)), "\n")
 
 
-def free_text(content: Column, deep: bool = False) -> Column:
-    """Text of free-form content: a string, a list, or an object with text or parts.
-
-    Roles are ignored. NULL means the value cannot be read (JSON null, or a list that
-    contains null) and the item counts as a failed scan. Without ``deep`` a list of
-    {role, parts} objects yields '' and would pass unscanned; ``deep`` reads their parts.
-    Fixed values: the texts that stand for objects and numbers without readable text.
-    """
+def _object_text(content: Column, depth: int) -> Column:
+    """Text of an object: its own, that of its list of parts, or that of the object its parts are."""
     parts = variants.field(content, "parts")
-    items = variants.elements(content)
     inner = variants.elements(parts)
-    deeper = variants.elements(variants.field(parts, "parts"))
-    if deep:
-        items = F.flatten(F.transform(items, _unfold))
-    from_object = F.coalesce(
+    deeper = _object_text(parts, depth - 1) if depth else F.lit(UNREADABLE)
+    return F.coalesce(
         variants.truthy_text(variants.field(content, "text")),
         F.when(_has_null(inner), UNREADABLE),
         _joined(inner),
-        variants.truthy_text(variants.field(parts, "text")),
-        _joined(deeper),
-        F.when(~variants.is_kind(parts, variants.OBJECT), variants.truthy_text(parts)),
+        F.when(variants.is_kind(parts, variants.OBJECT), deeper).otherwise(variants.truthy_text(parts)),
         F.lit("[object Object]"),
     )
+
+
+def free_text(content: Column, deep: bool = False) -> Column:
+    """Text of free-form content: a string, a list, or an object with text or parts.
+
+    Roles are ignored. NULL means the value cannot be read (JSON null, a list that contains
+    null, or parts nested more than ``DEPTH`` deep) and the item counts as a failed scan, never
+    as blank. Without ``deep`` a list of {role, parts} objects yields '' and would pass
+    unscanned; ``deep`` reads their parts, at every depth.
+    Fixed values: the texts that stand for objects and numbers without readable text.
+    """
+    items = variants.elements(content)
+    folded = F.lit(False)
+    if deep:
+        for _ in range(DEPTH):
+            items = F.flatten(F.transform(items, _unfold))
+        folded = F.exists(items, _folded)
     kind = variants.kind_of(content)
     text = (
-        F.when(kind == variants.ARRAY, F.when(_has_null(items), UNREADABLE).otherwise(_joined(items)))
-        .when(kind == variants.OBJECT, from_object)
+        F.when(kind == variants.ARRAY, F.when(_has_null(items) | folded, UNREADABLE).otherwise(_joined(items)))
+        .when(kind == variants.OBJECT, _object_text(content, DEPTH))
         .when(kind != variants.NULL, F.try_variant_get(content, "$", "string"))
     )
     return F.nullif(text, F.lit(UNREADABLE))

@@ -151,15 +151,19 @@ def internal_columns(schema: T.StructType, prefix: str = "") -> list[str]:
 
 
 def leak_audit(df: DataFrame, column: str = "raw") -> DataFrame:
-    """How many rows of a VARIANT column carry each internal field at the top level."""
+    """How many rows of a VARIANT column carry each internal field, at any depth.
+
+    A member's name stands in the JSON text behind a brace or a comma; inside a string its quotes
+    are escaped, so text that mentions a field is not counted. ``approval_info.policy_name`` is
+    public and not reported.
+    """
     body = F.col(column)
-    present = F.array_compact(
-        F.array(
-            *[F.when(variants.field(body, name).isNotNull(), F.lit(name)) for name in taxonomy.INTERNAL_FIELDS]
-        )
-    )
-    return (
-        df.select(F.explode(present).alias("field"))
-        .groupBy("field")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    public = variants.field(variants.field(body, "approval_info"), "policy_name").isNotNull().cast("int")
+    slim = df.select(F.to_json(body).alias("_json"), public.alias("_public"))
+
+    def present(name: str) -> Column:
+        places = F.size(F.split("_json", f'[{{,]"{name}":')) - 1
+        return places > F.col("_public") if name == "policy_name" else places > 0
+
+    found = F.array_compact(F.array(*[F.when(present(name), F.lit(name)) for name in taxonomy.INTERNAL_FIELDS]))
+    return slim.select(F.explode(found).alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("n_rows"))

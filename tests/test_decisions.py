@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from contentgate.functions import rules as R
-from contentgate.operators import extract, gates, policy, scan
+from contentgate.operators import extract, gates, policy, scan, verdicts
 from contentgate.sources.chat import explode_requests
 from contentgate.streaming import gate
 
@@ -52,3 +52,24 @@ def test_text_conversations_and_messages_without_one(spark):
     assert verdicts == [("", 1, False), ("", 1, True), ("c", 2, True)]
     texts = sorted((r.conv_id or "", r.user_text) for r in extract.extract_user_text(turns).collect())
     assert texts == [("", "SSN of mine"), ("", "hello"), ("c", "x\ny")]
+
+
+def test_nested_free_form_text_is_read(spark):
+    cases = {
+        '{"parts":{"parts":{"parts":[{"text":"deep"}]}}}': ("deep", "deep"),
+        '[{"parts":[{"parts":[{"text":"hidden"}]}]},{"text":"x"}]': ("x", "hidden\nx"),
+        '{"parts":{}}': ("[object Object]", "[object Object]"),
+    }
+    far = '{"parts":' * 9 + '"t"' + "}" * 9
+    df = spark.createDataFrame([(c,) for c in (*cases, far)], "c string").select("c", F.parse_json("c").alias("v"))
+    got = {r.c: (r.t, r.d) for r in df.select("c", extract.free_text(F.col("v")).alias("t"), extract.free_text(F.col("v"), deep=True).alias("d")).collect()}
+    assert got == {**cases, far: (None, None)}
+
+
+def test_leaks_are_found_at_any_depth(spark):
+    rows = [
+        '{"violations":[{"matched_text":"x"}],"reason":"the \\"policy_id\\": field"}', '{"meta":{"policy_id":1}}',
+        '{"approval_info":{"policy_name":"p"}}', '{"approval_info":{"policy_name":"p"},"meta":{"policy_name":"q"}}']
+    df = spark.createDataFrame([(r,) for r in rows], "j string").select(F.parse_json("j").alias("raw"))
+    got = {r.field: r.n_rows for r in verdicts.leak_audit(df).collect()}
+    assert {k: got.get(k) for k in ("matched_text", "policy_id", "policy_name")} == {"matched_text": 1, "policy_id": 1, "policy_name": 1}
