@@ -38,7 +38,8 @@ BLANKS = "[ \\t]+"
 
 PATTERNS = {
     "ssn": START + "[0-9]{3}-[0-9]{2}-[0-9]{4}" + END,
-    "card_candidate": START + "([0-9]([ -]?[0-9]){12,18})" + END,
+    "card_run": "[0-9][0-9 -]{11,}[0-9]",
+    "lettered": "[A-Za-z_][0-9A-Za-z_]*|[0-9]+[A-Za-z_][0-9A-Za-z_]*",
     "email_exposure": "[A-Za-z0-9._%+-]@[A-Za-z0-9][A-Za-z0-9.-]*[.][A-Za-z]{2}",
     "phone_number": START + "[(]?[0-9]{3}[)]?[ .-][0-9]{3}[ .-][0-9]{4}" + END,
     "api_key": START + "(sk|pk|rk)[-_](live[-_]|test[-_]|proj[-_])?[0-9A-Za-z]{20,}",
@@ -78,15 +79,26 @@ def luhn_ok(digits: Column) -> Column:
 
 
 def card_number(text: Column) -> Column:
-    """A 13-19 digit number, blanks or hyphens allowed, that passes the mod-10 check.
+    """A 13-19 digit number, single blanks or hyphens between its groups, that passes the mod-10 check.
 
-    The cheap pattern runs first; candidates are extracted only from rows that pass it.
+    Other numbers may stand beside it: of each run of digit groups, every stretch of whole groups with 13 to 19
+    digits is checked. Groups are never cut, and digits that touch a letter belong to no number. The cheap
+    pattern runs first; runs are extracted only from rows that pass it.
     """
-    # a candidate takes the character after it; the line feed is doubled so that the next line keeps one
-    lines = F.replace(text, F.lit("\n"), F.lit("\n\n"))
-    candidates = F.regexp_extract_all(lines, F.lit(PATTERNS["card_candidate"]), F.lit(2))
-    checked = F.exists(candidates, lambda c: luhn_ok(F.regexp_replace(c, "[^0-9]", "")))
-    return F.when(text.rlike("[0-9][0-9 -]{11}"), checked).otherwise(False)
+    runs = F.regexp_extract_all(F.regexp_replace(text, PATTERNS["lettered"], "x"), F.lit(PATTERNS["card_run"]), F.lit(0))
+
+    def holds_card(groups: Column) -> Column:
+        def starts_card(i: Column) -> Column:
+            # 19 groups of one digit are the most a card can have
+            return F.exists(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i)), lambda n: is_card(F.slice(groups, i + 1, n)))
+
+        return F.exists(F.sequence(F.lit(0), F.size(groups) - 1), starts_card)
+
+    def is_card(window: Column) -> Column:
+        number = F.array_join(window, "")
+        return F.length(number).between(13, 19) & ~F.array_contains(window, "") & luhn_ok(number)
+
+    return F.when(text.rlike("[0-9][0-9 -]{11}"), F.exists(F.transform(runs, lambda run: F.split(run, "[ -]")), holds_card)).otherwise(False)
 
 
 class Subject(NamedTuple):

@@ -173,3 +173,36 @@ def enforce_custom_patterns(items: DataFrame, policies: DataFrame) -> DataFrame:
         .filter(F.col("_rank").isNotNull() | (F.col("n_unusable") > 0))
         .select("request_id", "policy_id", F.when(undecided, "scan_error").otherwise(action_name(F.col("_rank"))).alias("action"), "n_unusable")
     )
+
+
+# an undecided request is stopped before a warned one
+DECISIONS = {"allow": 1, "warn": 2, "scan_error": 3, "block": 4}
+
+
+def policy_decision(items: DataFrame, findings: DataFrame, policies: DataFrame) -> DataFrame:
+    """One action for every request, typed and custom rules together: block over scan_error over warn over allow.
+
+    Reads items (request_id, policy_id, content), findings (request_id, threat_type, confidence_score) and policies
+    (policy_id, rules). A finding is judged under the policy of its request, and blocked where that has no rule for it;
+    a request without findings that no pattern matches is allowed. Rows of one request are decided together. Findings
+    of a request without an id cannot be attributed, so each such row is a scan_error.
+
+    ``n_findings`` counts the request's findings and ``n_unusable`` its policy's patterns that cannot be run. Each side
+    is reduced to small rows first; one aggregate by request, with a map-side part, joins them.
+    """
+    known = items.filter(F.col("request_id").isNotNull())
+    held = known.groupBy("request_id").agg(F.collect_set("policy_id").alias("_policies"))
+    judged = findings.select("request_id", "threat_type", "confidence_score").join(held, "request_id").withColumn(
+        "policy_id", F.explode_outer("_policies"))
+    zero = F.lit(0).cast("bigint")
+    parts = (
+        known.select("request_id", F.lit("allow").alias("action"), zero.alias("n_findings"), zero.alias("n_unusable"))
+        .unionByName(enforce_policy(judged, policy_rules(policies)).withColumn("n_unusable", zero))
+        .unionByName(enforce_custom_patterns(known, policies).select("request_id", "action", zero.alias("n_findings"), "n_unusable"))
+    )
+    rank = F.element_at(F.create_map(*[F.lit(x) for pair in DECISIONS.items() for x in pair]), F.col("action"))
+    decided = parts.groupBy("request_id").agg(
+        F.max_by("action", rank).alias("action"), F.max("n_findings").alias("n_findings"), F.max("n_unusable").alias("n_unusable"))
+    unknown = items.filter(F.col("request_id").isNull()).select(
+        "request_id", F.lit("scan_error").alias("action"), zero.alias("n_findings"), zero.alias("n_unusable"))
+    return decided.unionByName(unknown)

@@ -441,20 +441,52 @@ def policy_custom_patterns(spark, sf_dir):
         F.col("doc_id").cast("string").alias("request_id"), (F.col("doc_id") % 150).cast("string").alias("policy_id"),
         F.col("text").alias("content"),
     )
+    policies = load(spark, sf_dir, "events").select("user_id").distinct().select(
+        F.col("user_id").cast("string").alias("policy_id"), _custom_rules().alias("rules"))
+    return policy.enforce_custom_patterns(items, policies)
 
+
+def _custom_rules():
     def rule(action, *patterns):
-        return F.struct(F.lit("custom").alias("type"), F.lit(action).alias("action"), F.array(*patterns).alias("patterns"))
+        return F.struct(F.lit("custom").alias("type"), F.lit(action).alias("action"), F.lit(None).cast("double").alias("threshold"),
+                        F.array(*patterns).alias("patterns"))
 
     refused = F.when(F.col("user_id") % 12 == 1, F.lit(_REFUSED)).when(F.col("user_id") % 12 == 5, F.lit("[z-a]")).when(
         F.col("user_id") % 12 == 9, F.lit("a{5,2}"))
-    policies = load(spark, sf_dir, "events").select("user_id").distinct().select(
-        F.col("user_id").cast("string").alias("policy_id"),
-        F.array(
-            rule("warn", F.expr(_WARN_PATTERN)),
-            rule("block", F.expr(_BLOCK_PATTERN), F.coalesce(refused, F.expr(_BLOCK_PATTERN))),
-        ).alias("rules"),
-    )
-    return policy.enforce_custom_patterns(items, policies)
+    return F.array(rule("warn", F.expr(_WARN_PATTERN)), rule("block", F.expr(_BLOCK_PATTERN), F.coalesce(refused, F.expr(_BLOCK_PATTERN))))
+
+
+@query(
+    "policy_decision",
+    f"""
+WITH {_SNAPSHOT}, {_TWO_RULES}, i AS (
+  SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 150 AS VARCHAR) AS policy_id, {PROMPT} AS content FROM documents),
+f AS (
+  SELECT request_id, policy_id, tt AS threat_type, CASE tt WHEN 'prompt_injection' THEN 0.95 ELSE 0.99 END AS score
+  FROM (SELECT *, unnest([CASE WHEN contains(lower(content), 'ignore previous') THEN 'prompt_injection' END,
+               CASE WHEN contains(content, 'SSN') OR regexp_matches(content, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}') THEN 'pii_exposure' END]) AS tt
+        FROM i) WHERE tt IS NOT NULL),
+r AS (SELECT policy_id, CASE rule_type WHEN 'pii_detection' THEN 'pii_exposure' ELSE rule_type END AS threat_type,
+             CASE action WHEN 'block' THEN 4 WHEN 'warn' THEN 2 ELSE 1 END AS rank, coalesce(threshold, 0) AS threshold FROM rules),
+m AS (SELECT f.request_id, f.threat_type, coalesce(max(r.rank), 4) AS rank
+      FROM f LEFT JOIN r ON f.policy_id = r.policy_id AND f.threat_type = r.threat_type AND f.score >= r.threshold GROUP BY 1, 2),
+t AS (SELECT request_id, max(rank) AS rank, count(*) AS n FROM m GROUP BY 1),
+p AS (SELECT policy_id, CAST(policy_id AS BIGINT) AS user_id FROM snapshot),
+c AS (SELECT request_id, CASE WHEN regexp_matches(content, {_BLOCK_PATTERN}) THEN 4 WHEN user_id % 4 = 1 THEN 3
+             WHEN regexp_matches(content, {_WARN_PATTERN}) THEN 2 END AS rank, CASE WHEN user_id % 4 = 1 THEN 1 ELSE 0 END AS u
+      FROM i JOIN p USING (policy_id))
+SELECT request_id, ['allow', 'warn', 'scan_error', 'block'][greatest(1, coalesce(t.rank, 1), coalesce(c.rank, 1))] AS action,
+       CAST(coalesce(t.n, 0) AS BIGINT) AS n_findings, CAST(coalesce(c.u, 0) AS BIGINT) AS n_unusable
+FROM i LEFT JOIN t USING (request_id) LEFT JOIN c USING (request_id)""",
+)
+def policy_decision(spark, sf_dir):
+    items = prompt_items(spark, sf_dir)
+    found = scan.findings(items, "core", kinds=(R.PROMPT,)).select(
+        "request_id", X.threat_type(F.col("raw_threat_type")).alias("threat_type"), "confidence_score")
+    policies = policy.policy_snapshot(change_log(spark, sf_dir)).withColumn("user_id", F.col("policy_id").cast("bigint"))
+    policies = policies.withColumn("rules", F.concat("rules", _custom_rules()))
+    requests = items.select("request_id", (F.col("request_id").cast("bigint") % 150).cast("string").alias("policy_id"), "content")
+    return policy.policy_decision(requests, found, policies)
 
 
 # --- approvals and agents ----------------------------------------------------

@@ -230,13 +230,19 @@ _RULES = {r.raw_type: r for r in R.EXTENDED_RULES}
 def match_sql(raw_type: str, text: str) -> str:
     """The detector as an oracle predicate."""
     if raw_type == "credit_card":
-        digits = "reverse(regexp_replace(c, '[^0-9]', '', 'g'))"
+        digits = "reverse(array_to_string(w, ''))"
         summed = (
             f"list_sum(list_transform(string_split({digits}, ''), lambda d, i: CASE WHEN i % 2 = 1 THEN d::INT "
             "ELSE d::INT * 2 - CASE WHEN d::INT > 4 THEN 9 ELSE 0 END END))"
         )
-        candidates = f"regexp_extract_all(replace({text}, chr(10), chr(10) || chr(10)), {sql_text(R.PATTERNS['card_candidate'])}, 2)"
-        return f"len(list_filter({candidates}, lambda c: {summed} % 10 = 0)) > 0"
+        runs = f"regexp_extract_all(regexp_replace({text}, {sql_text(R.PATTERNS['lettered'])}, 'x', 'g'), {sql_text(R.PATTERNS['card_run'])})"
+        groups = f"list_transform({runs}, lambda r: string_split(replace(r, '-', ' '), ' '))"
+        windows = (
+            "flatten(list_transform(range(1, len(g) + 1), lambda i: list_transform(range(i, least(i + 18, len(g)) + 1), "
+            "lambda j: list_slice(g, i, j))))"
+        )
+        card = f"length(array_to_string(w, '')) BETWEEN 13 AND 19 AND NOT list_contains(w, '') AND {summed} % 10 = 0"
+        return f"len(list_filter({groups}, lambda g: len(list_filter({windows}, lambda w: {card})) > 0)) > 0"
     subject = f"lower({text})" if raw_type in _LOWERED else text
     return f"regexp_matches({subject}, {sql_text(R.PATTERNS[raw_type])})"
 
@@ -272,7 +278,7 @@ def _register_detector(raw_type: str, positive: str, near_miss: str) -> None:
 
 for _name, _probe in _PROBES.items():
     _register_detector(_name, *_probe)
-_register_detector("credit_card", "4111 1111 1111 1111", "4111 1111 1111 1112")
+_register_detector("credit_card", "qty 2 4111 1111 1111 1111 12/26", "4111 1111 1111 1112 123")
 
 
 # --- the extended pack -------------------------------------------------------

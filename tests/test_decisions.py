@@ -41,6 +41,31 @@ def test_patterns_that_cannot_run_leave_an_error_and_end_no_job(spark):
     assert got == {"1": "scan_error", "2": "block", "3": "scan_error", "4": "warn"}
 
 
+def test_one_decision_for_every_request(spark):
+    rule = "struct<type:string,action:string,threshold:double,patterns:array<string>>"
+    policies = spark.createDataFrame(
+        [("p", [("pii_detection", "warn", 0.5, None), ("custom", "block", None, ["bomb"])]), ("q", [("custom", "warn", None, ["[z-a]", "tick"])])],
+        f"policy_id string, rules array<{rule}>")
+    items = spark.createDataFrame(
+        [("1", "p", "SSN"), ("2", "p", "SSN bomb"), ("3", "p", "quiet"), ("4", "q", "tick"), ("5", "q", "SSN"), ("6", None, "SSN"), ("7", None, "quiet"),
+         ("8", "gone", None), (None, "p", "bomb"), (None, "p", "quiet")], "request_id string, policy_id string, content string")
+    found = items.filter("content like 'SSN%'").select("request_id", F.lit("pii_exposure").alias("threat_type"), F.lit(0.9).alias("confidence_score"))
+    got = sorted((r.request_id or "", r.action, r.n_findings) for r in policy.policy_decision(items, found, policies).collect())
+    assert got == [
+        ("", "scan_error", 0), ("", "scan_error", 0), ("1", "warn", 1), ("2", "block", 1), ("3", "allow", 0), ("4", "scan_error", 0),
+        ("5", "block", 1), ("6", "block", 1), ("7", "allow", 0), ("8", "allow", 0)]
+
+
+def test_card_numbers_beside_other_digits(spark):
+    cards = ["4111 1111 1111 1111", "4111 1111 1111 1111 12/26", "4111-1111-1111-1111 123", "qty 2 4111 1111 1111 1111", "4111111111111111.",
+             "id 7 7 7 378282246310005 9", "a\n4111 1111 1111 1111\nb"]
+    others = ["4111 1111 1111 1112", "4111 1111 1111 1112 123", "x4111111111111111", "4111111111111111x", "4111  1111 1111 1111", "4111 1111\n1111 1111",
+              "41111111111111110000000", "", "4111 1111 1111 111_", "1" * 12, None]
+    df = spark.createDataFrame([(t,) for t in (*cards, *others)], "t string")
+    got = {r.t for r in df.filter(R.card_number(F.col("t"))).collect()}
+    assert got == set(cards)
+
+
 def test_text_conversations_and_messages_without_one(spark):
     lines = spark.createDataFrame([('{"conv_id": "u-1", "messages": [{"role": "user", "content": "a"}]}',), ('{"conv_id": "u-2", "messages": [{"role": "user", "content": "b"}]}',)], "value string")
     assert sorted(r.conv_id for r in explode_requests(lines).collect()) == ["u-1", "u-2"]
