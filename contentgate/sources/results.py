@@ -23,9 +23,10 @@ def read_raw_verdicts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_gated(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_gated(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write gated items once, split by outcome and kind: allowed items and the quarantine
-    are folders of one table, so the scan runs a single time and nothing is cached."""
+    are folders of one table, so the scan runs a single time and nothing is cached. An
+    earlier quarantine is only replaced or added to if ``mode`` says so."""
     df.write.mode(mode).partitionBy("outcome", "content_kind").parquet(path)
 
 
