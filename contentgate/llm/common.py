@@ -87,7 +87,8 @@ def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int =
 
 def chunk_pairs(df: DataFrame, keys: list[str], member: str, size: int) -> DataFrame:
     """Deal the rows of each key into tasks (`keys`, `_pair`) of at most about 2 x `size` rows such that any
-    two rows of a key meet in one task. A key with a single row is left out: it meets nobody.
+    two rows of a key meet in one task. A key with a single row is left out: it meets nobody. `_same` marks the rows
+    of the tasks that are a single chunk's own.
 
     Rows of a key are hashed into ceil(rows / size) chunks (`_own`) and a task holds one or two chunks, so a key of
     any size is shared by many tasks; rows of one chunk also meet in tasks that hold another chunk. Keys are counted with partial sums; no task sees a whole large key.
@@ -97,7 +98,7 @@ def chunk_pairs(df: DataFrame, keys: list[str], member: str, size: int) -> DataF
     dealt = dealt.withColumn("_own", F.pmod(F.xxhash64(member), F.col("_c")).cast("int"))
     own, n = F.col("_own"), F.col("_c")
     pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda x: F.least(own, x) * n + F.greatest(own, x))
-    return dealt.withColumn("_pair", F.explode(pairs)).drop("_n", "_c")
+    return dealt.withColumn("_pair", F.explode(pairs)).withColumn("_same", F.col("_pair") == own * (n + 1)).drop("_n", "_c")
 
 
 def spanning(n: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]], order: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from contentgate.llm import itq, mixing, packing, quality, secrets, simhash, suffixes, tokens, urls, vafile
+from contentgate.llm import itq, langid, merkle, mixing, packing, quality, secrets, simhash, spelling, suffixes, tokens, urls, vafile
 from contentgate.llm.common import read
 
 BYTE_FILE, WORD_FILE, RANKS_FILE = "byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -128,3 +128,95 @@ def op9(spark, sf_dir):
 @query("op10_best_fit_packing")
 def op10(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary(WORD_FILE))
+
+
+@query("op11_language_id")
+def op11(spark, sf_dir):
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+# The table of the CRC-32 by its rule, and a digest of a list of bytes with it.
+CRC_TABLE = "SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t"
+
+
+def crc_sql(list_of_bytes: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295], {list_of_bytes}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE crc AS MATERIALIZED ({CRC_TABLE}),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents) WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT low, k, {crc_sql("""flatten(list_transform(string_split(doc_id || ':' || low, ''),
+    lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [192 + (ord(x) >> 6), 128 + (ord(x) & 63)]::BIGINT[] END))""")} AS h FROM runs, crc),
+words AS MATERIALIZED (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 97 = 0 THEN left(low, (h % length(low))::INT) || substr(low, (h % length(low))::INT + 2) ELSE low END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut AS MATERIALIZED (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(m := -n, other := other)) AS b FROM near GROUP BY word),
+named AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.m >= 2 * w.n THEN b.other END AS form, CASE WHEN -b.m >= 2 * w.n THEN -b.m END::BIGINT AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root, form AS next FROM named
+  UNION ALL SELECT walk.word, named.word, named.form FROM walk JOIN named ON named.word = walk.next)
+SELECT word, named.form, root, n, n_near, form_n FROM named JOIN (SELECT word, root FROM walk WHERE next IS NULL) USING (word)
+"""
+
+
+@query("op12_spelling_variant_grouping", SPELLING_SQL)
+def op12(spark, sf_dir):
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE crc AS MATERIALIZED ({CRC_TABLE}),
+told AS (
+  SELECT doc_id, lang, n_chars, {crc_sql("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)")} % 7 = 0 AS hit,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents, crc),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM (
+    SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+      sha256(head || coalesce(strlen((n_chars + hit::INT)::VARCHAR) || ':' || (n_chars + hit::INT), '-') || tail) AS now FROM told)),
+tree AS (
+  SELECT g, 0 AS level, idx, leaf AS hash FROM leaves
+  UNION ALL SELECT g, level + 1, idx // 2, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS nodes FROM tree) WHERE nodes > 1 GROUP BY g, level, idx // 2),
+subroots AS MATERIALIZED (SELECT g, max(level) AS height, arg_max(hash, level) AS subroot FROM tree GROUP BY g),
+top AS (
+  SELECT 0 AS level, g AS idx, subroot AS hash FROM subroots
+  UNION ALL SELECT level + 1, idx // 2, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS nodes FROM top) WHERE nodes > 1 GROUP BY level, idx // 2),
+root AS MATERIALIZED (SELECT max(level) AS height, arg_max(hash, level) AS root FROM top),
+fold AS (
+  SELECT doc_id, g, idx AS at, idx, 0 AS level, now AS node, '' AS proof FROM leaves
+  UNION ALL SELECT f.doc_id, f.g, f.at, f.idx // 2, f.level + 1,
+    sha256(CASE WHEN f.idx % 2 = 1 THEN s.hash ELSE '' END || node || CASE WHEN f.idx % 2 = 0 THEN coalesce(s.hash, '') ELSE '' END), proof || coalesce(s.hash, '')
+  FROM fold f JOIN subroots r ON r.g = f.g LEFT JOIN tree s ON s.g = f.g AND s.level = f.level AND s.idx = xor(f.idx, 1) WHERE f.level < r.height),
+rise AS (
+  SELECT f.g, f.at, f.g AS idx, 0 AS level, node, proof FROM fold f JOIN subroots r ON r.g = f.g AND f.level = r.height
+  UNION ALL SELECT f.g, f.at, f.idx // 2, f.level + 1,
+    sha256(CASE WHEN f.idx % 2 = 1 THEN s.hash ELSE '' END || node || CASE WHEN f.idx % 2 = 0 THEN coalesce(s.hash, '') ELSE '' END), proof || coalesce(s.hash, '')
+  FROM rise f CROSS JOIN root r LEFT JOIN top s ON s.level = f.level AND s.idx = xor(f.idx, 1) WHERE f.level < r.height)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM leaves l JOIN rise f ON f.g = l.g AND f.at = l.idx CROSS JOIN root r JOIN subroots s ON s.g = l.g WHERE f.level = r.height
+"""
+
+
+@query("op13_merkle_dataset_manifest", MERKLE_SQL)
+def op13(spark, sf_dir):
+    def tampered(docs):
+        hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+        return {"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+
+    return merkle.manifest(read(spark, sf_dir, "documents"), tampered, proofs=False).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
