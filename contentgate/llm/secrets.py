@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns plus a token-efficiency test for random strings.
 
-A vocabulary trained on ordinary text encodes ordinary strings in few tokens. A run without white space that holds
-letters and digits and needs a token for every two characters or fewer is taken for a random string, unless it is a
-known kind of digest or identifier.
+A vocabulary trained on ordinary text encodes ordinary strings in few tokens. A stretch without white space that mixes
+kinds of characters and needs a token for every two characters or fewer is taken for a random string. Known kinds of
+digests and identifiers, and what the fixed patterns found, are cut out before.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import hashlib
 import re
 from functools import cache
 
+import numpy as np
 import pandas as pd
 import tiktoken
 from pyspark.sql import DataFrame
@@ -27,12 +28,18 @@ KINDS = ("assign", "access", "hex", "random")
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 UUID = re.compile(r"(?:[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12})")
-DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
-PURE_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-# parts of an identifier: a word, a number, or a word with a number behind it
-NAMED = re.compile(r"(?:[A-Za-z]{1,24}[0-9]{0,6}|[0-9]{1,20})(?:[/_=-]+(?:[A-Za-z]{1,24}[0-9]{0,6}|[0-9]{1,20}))*[/_=-]*")
+# hex digests by their lengths, and digests in base 64 behind the name of their algorithm
+HEX_DIGEST = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
+                        r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128})(?![0-9A-Za-z])")
+BASE64_DIGEST = re.compile(r"(?i:md5[-_=:/]+(?P<m>[A-Za-z0-9+/_-]{22}(?:==)?)|sha-?1[-_=:/]+(?P<a>[A-Za-z0-9+/_-]{27}=?)|sha-?256[-_=:/]+(?P<b>[A-Za-z0-9+/_-]{43}=?)"
+                           r"|sha-?384[-_=:/]+(?P<c>[A-Za-z0-9+/_-]{64})|sha-?512[-_=:/]+(?P<d>[A-Za-z0-9+/_-]{86}(?:==)?))(?![A-Za-z0-9+/=])")
+PART = re.compile(r"[A-Za-z0-9+]+")
+# a part of an identifier: a word in the usual cases, a number, or a word with a number behind it
+NAMED = re.compile(r"(?:[A-Z]?[a-z]{1,24}|[A-Z]{1,24})[0-9]{0,6}|[0-9]{1,20}")
 MOST_PER_TOKEN = 2.0
-WINDOW = 64
+LEAST = 20  # characters of a window
+CORE = 12  # characters of a finding that are no part of an identifier
+SLICE = 4096
 
 Span = tuple[int, int, str]
 
@@ -63,29 +70,60 @@ def encoder(ranks_file: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_starts(part: str, enc: tiktoken.Encoding) -> np.ndarray:
+    """For each character of an ASCII string, whether a token starts there; long strings in slices."""
+    starts = np.zeros(len(part) + 1, dtype=np.int64)
+    for at in range(0, len(part), SLICE):
+        lengths = [len(enc.decode_single_token_bytes(t)) for t in enc.encode_ordinary(part[at:at + SLICE])]
+        starts[at + np.cumsum(lengths) - lengths] = 1
+    return starts
+
+
+def is_named(part: str, starts: np.ndarray) -> bool:
+    """A word, a number or a word with a number, or a part that takes few tokens."""
+    return NAMED.fullmatch(part) is not None or len(part) > MOST_PER_TOKEN * starts.sum()
+
+
+def judged(part: str, enc: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """Stretches of `part` that read like random strings: the union of all windows of LEAST characters that mix lower case,
+    upper case or digits and take a token for MOST_PER_TOKEN characters or fewer, widened to whole parts between
+    separators, without the parts of identifiers at its ends. What is left holds CORE characters of other parts."""
+    starts = token_starts(part, enc)
+    code = np.frombuffer(part.encode(), np.uint8)
+    kinds = [(code >= low) & (code <= high) for low, high in ((48, 57), (65, 90), (97, 122))]
+    sums = [np.concatenate([[0], np.cumsum(flag)]) for flag in (starts[:-1], *kinds)]
+    inside = [c[LEAST:] - c[:-LEAST] for c in sums]
+    hot = (inside[0] * MOST_PER_TOKEN >= LEAST) & (sum((n > 0).astype(int) for n in inside[1:]) >= 2)
+    edge = np.zeros(len(part) + 1, dtype=np.int64)
+    edge[:len(hot)] += hot
+    edge[LEAST:] -= hot
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], np.cumsum(edge)[:-1] > 0, [False]]).astype(np.int8)))
+    spans, parts = [], [m.span() for m in PART.finditer(part)] if len(edges) else []
+    for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+        touched = [p for p in parts if p[1] > start and p[0] < end]
+        named = [is_named(part[a:b], starts[a:b]) for a, b in touched]
+        while named and named[0]:
+            del named[0], touched[0]
+        while named and named[-1]:
+            del named[-1], touched[-1]
+        if sum(b - a for (a, b), n in zip(touched, named) if not n) >= CORE:
+            spans.append((touched[0][0], touched[-1][1]))
+    return spans
+
+
 def random_spans(text: str, base: list[Span], enc: tiktoken.Encoding) -> list[Span]:
-    """Runs that read like random strings and overlap no base span. Long runs are judged in windows of `WINDOW`
-    characters, and neighbouring hits are one span."""
+    """Random strings in the runs without white space of a text, in what base spans, UUIDs and digests leave of them."""
     found: list[Span] = []
+    known = None
     for m in RUN.finditer(text):
-        run = m.group()
-        if any(m.start() < end and start < m.end() for start, end, _ in base):
-            continue
-        if len(run) in DIGEST_LENGTHS and PURE_HEX.fullmatch(run) or UUID.search(run) or NAMED.fullmatch(run):
-            continue
-        last = None
-        # the last window is a full one, over characters that the one before may hold too
-        for at in sorted({min(i, max(0, len(run) - WINDOW)) for i in range(0, len(run), WINDOW)}):
-            part = run[at:at + WINDOW]
-            if not (any(c.isdigit() for c in part) and any(c.isalpha() for c in part)):
-                continue
-            if len(part) <= MOST_PER_TOKEN * len(enc.encode_ordinary(part)):
-                a, b = m.start() + at, m.start() + at + len(part)
-                if last is not None and a <= last[1]:
-                    found.pop()
-                    a = last[0]
-                last = (a, b, "random")
-                found.append(last)
+        if known is None:
+            known = sorted([(a, b) for a, b, _ in base] + [u.span() for u in UUID.finditer(text)] + [u.span() for u in HEX_DIGEST.finditer(text)]
+                           + [u.span(u.lastgroup) for u in BASE64_DIGEST.finditer(text)])
+        at = m.start()
+        for a, b in [*(k for k in known if k[1] > m.start() and k[0] < m.end()), (m.end(), m.end())]:
+            if a - at >= LEAST:
+                found += [(at + x, at + y, "random") for x, y in judged(text[at:a], enc)]
+            at = max(at, b)
     return found
 
 
