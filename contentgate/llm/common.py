@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 from contentgate.session import configure, shared_dir
 
+SALTS = 64
+
 ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
     "binary": pa.binary(), "array<double>": pa.list_(pa.float64()),
@@ -21,14 +24,39 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_WRITTEN: list[list[str]] = []
+
+
 def save(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back. The lineage ends at files that every
     executor sees, so a lost executor repeats single tasks, and each value is computed once."""
     path = shared_dir(df.sparkSession)
+    for paths in _WRITTEN:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables saved inside are removed at the end, but for those taken off the list of paths that this gives."""
+    paths: list[str] = []
+    _WRITTEN.append(paths)
+    try:
+        yield paths
+    finally:
+        _WRITTEN.remove(paths)
+        remove(spark, paths)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders wherever Spark's own file systems hold them."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Texts can be long: hand them to Python in batches of fewer rows than Spark's default."""
     key, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
@@ -119,25 +147,34 @@ def spanning(n: int, pairs: Iterable[tuple[np.ndarray, np.ndarray]], order: np.n
     return order[label[rank]]
 
 
+def with_lowest(pairs: DataFrame, lowest: DataFrame, edges: int) -> DataFrame:
+    """`pairs` (u, v) joined with `lowest` (u, m, n), n being the pairs of u. The rows of a u with more than a thousandth of
+    all pairs (two thousand such u at most) are spread over SALTS tasks."""
+    hub = F.col("n") > max(256, edges // 1000)
+    hubs = lowest.filter(hub).select("u", F.lit(True).alias("_hub"))
+    salted = pairs.join(F.broadcast(hubs), "u", "left").withColumn("_salt", F.when(F.col("_hub"), F.pmod(F.xxhash64("v"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int"))
+    every = F.when(hub, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(lowest.select("u", "m", F.explode(every).alias("_salt")), ["u", "_salt"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over `edges` (columns a, b), for nodes with an edge.
 
     Alternates large-star and small-star steps until every edge points at its component's smallest node.
-    Edges stay in tables throughout, and each step writes its table to the shared folder.
+    Edges stay in tables throughout, and each step writes its table to the shared folder. No node's edges need fit one task.
     """
     e = save(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    for _ in range(60):
-        if e.isEmpty():
-            break
+    while True:
+        n = e.count()
         many = e.groupBy("a").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        if many.isEmpty() and e.join(e.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
+        if not n or many.isEmpty() and e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
             break
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = with_lowest(both, save(low), n).filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         large = save(large)
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        hung = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = save(hung.union(low.select("a", F.col("m").alias("b"))).distinct())
+        low = save(large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
+        hung = with_lowest(large.select(F.col("a").alias("u"), F.col("b").alias("v")), low.filter("n > 1"), n).filter("v <> m")
+        e = save(hung.select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select("u", "m")).distinct())
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         e.select(F.col("b"), F.col("b")).distinct())

@@ -19,6 +19,7 @@ FEATURES = 256
 RIDGE = 1e-3
 BINS = 1024
 THRESHOLD = 0.3
+FEW_LABELS = 1 << 20  # ids, 8 MB
 
 
 def statistics(text: str) -> list[float]:
@@ -180,8 +181,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that are predicted good, unchanged."""
-    model = fit(with_statistics(docs, id_col, text_col), labels, id_col)
+    """The rows of `docs` that are predicted good, unchanged.
+
+    Statistics for the fit are computed of labelled rows alone, if their ids are few enough (FEW_LABELS) to be sent to every
+    task; with more labels, of all rows.
+    """
+    known = labels.filter("quality is not null").select(F.col("doc_id").alias(id_col)).filter(fold(id_col) != 0).distinct()
+    labelled = docs.join(F.broadcast(known), id_col, "left_semi") if known.count() <= FEW_LABELS else docs
+    model = fit(with_statistics(labelled, id_col, text_col), labels, id_col)
     if model is None:
         return docs
 

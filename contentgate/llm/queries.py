@@ -85,7 +85,9 @@ def op7(spark, sf_dir):
     found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
-        (F.size("spans") / 2).cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+        (F.size("spans") / 2).cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        # the text that remains; a cut may fall inside a character
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 MIX_SQL = """

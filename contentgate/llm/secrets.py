@@ -28,6 +28,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 UUID = re.compile(r"(?:[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12})")
+STAMP = re.compile(r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}T[0-9][0-9:.-]*Z?")
 # hex digests by their lengths, and digests in base 64 behind the name of their algorithm
 HEX_DIGEST = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
                         r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128})(?![0-9A-Za-z])")
@@ -112,12 +113,12 @@ def judged(part: str, enc: tiktoken.Encoding) -> list[tuple[int, int]]:
 
 
 def random_spans(text: str, base: list[Span], enc: tiktoken.Encoding) -> list[Span]:
-    """Random strings in the runs without white space of a text, in what base spans, UUIDs and digests leave of them."""
+    """Random strings in the runs without white space of a text, in what base spans, UUIDs, times and digests leave of them."""
     found: list[Span] = []
     known = None
     for m in RUN.finditer(text):
         if known is None:
-            known = sorted([(a, b) for a, b, _ in base] + [u.span() for u in UUID.finditer(text)] + [u.span() for u in HEX_DIGEST.finditer(text)]
+            known = sorted([(a, b) for a, b, _ in base] + [u.span() for kind in (UUID, STAMP, HEX_DIGEST) for u in kind.finditer(text)]
                            + [u.span(u.lastgroup) for u in BASE64_DIGEST.finditer(text)])
         at = m.start()
         for a, b in [*(k for k in known if k[1] > m.start() and k[0] < m.end()), (m.end(), m.end())]:

@@ -114,11 +114,17 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, max_bits: int =
 
 
 def keep_one(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id names its component, one row per id; rows without an id stay."""
-    found = near_duplicates(docs, words_per_shingle, max_bits, id_col, text_col)
-    kept = found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    with_id = docs.join(kept, id_col, "left_semi")
-    repeated = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(id_col)
-    once = with_id.join(repeated, id_col, "left_anti")
-    first = with_id.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return once.unionByName(first).unionByName(docs.filter(F.col(id_col).isNull())).select(docs.columns)
+    """One row of `docs` for each group of near-duplicates: that with the smallest id (rows without one come last), and of
+    equal ids the one that comes first in the saved table.
+
+    Groups are of rows, not of ids: unrelated texts under one id stay, copies without an id are dropped like any others.
+    Null and empty texts are near-duplicates of each other. Rows and fingerprints are saved once and read from there.
+    """
+    numbered = docs.withColumn("_no", F.monotonically_increasing_id())
+    rows = save(map_texts(numbered, text_col, numbered.columns, [("_fp", "bigint")], lambda: lambda texts: [[fingerprint(t, words_per_shingle) for t in texts]]))
+    first = F.min(F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), F.col("_no").alias("no"))).alias("first")
+    classes = save(rows.groupBy(F.col("_fp").alias("fp")).agg(first).select("fp", F.col("first.no").alias("rep"), "first"))
+    found = components(links(classes.select("fp", "rep"), max_bits))
+    named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").groupBy(F.coalesce("component", "rep").alias("component"))
+    kept = named.agg(F.min("first").alias("first")).select(F.col("first.no").alias("_no"))
+    return rows.join(kept, "_no", "left_semi").select(docs.columns)

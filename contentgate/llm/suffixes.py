@@ -271,7 +271,10 @@ def units_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
     path, name = shared_dir(spark), f"units_{uuid.uuid4().hex}"
     sizes = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     made.write.bucketBy(max(1, min(1 << 16, math.ceil(sizes / (8 * UNIT_BYTES)))), "unit").option("path", path).saveAsTable(name)
-    return spark.table(name), sizes
+    units = spark.table(name)
+    units.schema  # resolved: the frame knows its files and buckets, the catalog's entry has served
+    spark.sql(f"DROP TABLE {name}")
+    return units, sizes
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
