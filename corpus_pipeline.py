@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentgate.llm import mixing, packing, quality, secrets, simhash
-from contentgate.llm.common import read, save
+from contentgate.llm.common import passing_tables, read, remove, save
 from contentgate.llm.queries import WORD_FILE, ranks, vocabulary
 
 
@@ -54,7 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = save(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The packed pieces. What the stages save on their way is removed once the next table is written."""
+    docs, kept = read(spark, sf_dir, "documents"), []
+    for _, stage in STAGES:
+        with passing_tables(spark) as paths:
+            docs = save(stage(spark, docs, sf_dir))
+            made = paths.pop()
+        remove(spark, kept)
+        kept = [made]
+    return docs
