@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import Window as W
 
 from contentgate.functions import variants
 from contentgate.functions.text import utf16_units
+from contentgate.session import shared_dir
 
 TURNS_PER_SEGMENT = 1024
 
@@ -107,7 +110,7 @@ def _object_text(content: Column, depth: int) -> Column:
     """Text of an object: its own, that of its list of parts, or that of the object its parts are."""
     parts = variants.field(content, "parts")
     inner = variants.elements(parts)
-    deeper = _object_text(parts, depth - 1) if depth else F.lit(UNREADABLE)
+    deeper = _object_text(parts, depth - 1) if depth else F.lit(DEEPER)
     return F.coalesce(
         variants.truthy_text(variants.field(content, "text")),
         F.when(_has_null(inner), UNREADABLE),
@@ -117,28 +120,79 @@ def _object_text(content: Column, depth: int) -> Column:
     )
 
 
+DEEPER = "\x00deeper"
+
+
 def free_text(content: Column, deep: bool = False) -> Column:
     """Text of free-form content: a string, a list, or an object with text or parts.
 
-    Roles are ignored. NULL means the value cannot be read (JSON null, a list that contains
-    null, or parts nested more than ``DEPTH`` deep) and the item counts as a failed scan, never
-    as blank. Without ``deep`` a list of {role, parts} objects yields '' and would pass
-    unscanned; ``deep`` reads their parts, at every depth.
+    Roles are ignored. NULL means the value cannot be read (JSON null, or a list that contains
+    null) and the item counts as a failed scan, never as blank. Without ``deep`` a list of {role, parts}
+    objects yields '' and would pass unscanned; ``deep`` reads their parts.
+    An expression has a fixed depth: it reads ``DEPTH`` levels of parts, and content nested deeper is NULL here.
+    ``extract_free_text`` reads a table to any depth.
     Fixed values: the texts that stand for objects and numbers without readable text.
     """
+    text = _free_text(content, deep)
+    return F.when(~text.isin(UNREADABLE, DEEPER), text)
+
+
+def _free_text(content: Column, deep: bool) -> Column:
+    """As ``free_text``, with marks for what cannot be read and for what lies deeper."""
     items = variants.elements(content)
     folded = F.lit(False)
     if deep:
-        for _ in range(DEPTH):
-            items = F.flatten(F.transform(items, _unfold))
+        items = _unfolded(items)
         folded = F.exists(items, _folded)
     kind = variants.kind_of(content)
-    text = (
-        F.when(kind == variants.ARRAY, F.when(_has_null(items) | folded, UNREADABLE).otherwise(_joined(items)))
+    return (
+        F.when(kind == variants.ARRAY, F.when(folded, DEEPER).when(_has_null(items), UNREADABLE).otherwise(_joined(items)))
         .when(kind == variants.OBJECT, _object_text(content, DEPTH))
         .when(kind != variants.NULL, F.try_variant_get(content, "$", "string"))
     )
-    return F.nullif(text, F.lit(UNREADABLE))
+
+
+def _unfolded(items: Column) -> Column:
+    for _ in range(DEPTH):
+        items = F.flatten(F.transform(items, _unfold))
+    return items
+
+
+def extract_free_text(df: DataFrame, content: str, deep: bool = False, out: str = "text") -> DataFrame:
+    """``df`` without ``content`` (free-form content as VARIANT) and with its text, however deep its parts are nested.
+
+    A frontier of undecided rows: each round reads ``DEPTH`` levels, as ``free_text`` does, and passes on only the rows that
+    go deeper, with what is left of them to read, in a table in the shared folder. Ordinary tables take one round.
+    """
+    keep = [c for c in df.columns if c != content]
+
+    def saved(rows: DataFrame) -> DataFrame:
+        path = shared_dir(df.sparkSession)
+        rows.write.parquet(path)
+        return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+    at, parts, text = F.col("_at"), F.col("_list"), F.col("_text")
+    rest = df.select(*keep, F.col(content).alias("_at"), variants.elements(F.col(content)).alias("_list"))
+    done: list[DataFrame] = []
+    while True:
+        if deep:
+            rest = rest.withColumn("_list", _unfolded(parts))
+        folded = F.exists(parts, _folded) if deep else F.lit(False)
+        kind = variants.kind_of(at)
+        read = rest.withColumn("_text", (
+            F.when(parts.isNotNull(), F.when(folded, DEEPER).when(_has_null(parts), UNREADABLE).otherwise(_joined(parts)))
+            .when(kind == variants.OBJECT, _object_text(at, DEPTH))
+            .when(kind != variants.NULL, F.try_variant_get(at, "$", "string"))))
+        if done:  # a frontier is small: each row of it is read once
+            read = saved(read)
+        done.append(read.filter(text.isNull() | (text != DEEPER)).select(*keep, F.when(text != UNREADABLE, text).alias(out)))
+        below = at
+        for _ in range(DEPTH + 1):
+            below = variants.field(below, "parts")
+        deeper = read.filter(text == DEEPER).select(*keep, F.when(parts.isNull(), below).alias("_at"), "_list")
+        rest = deeper if len(done) > 1 else saved(deeper)
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def conversation_history(

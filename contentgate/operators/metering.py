@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from contentgate.functions.taxonomy import literal_map
 from contentgate.operators.keyed import floor_div
-from contentgate.operators.sessions import gap_runs
 
 # Limits per tier, and the default client limit.
 TIER_QUOTAS = {"community": 1_000, "pro": 25_000, "enterprise": 1_000_000}
@@ -76,6 +75,41 @@ def quota_rows(requests: DataFrame, quota: Column, clock: str = "ts") -> DataFra
     )
 
 
+def fold_runs(groups: DataFrame) -> DataFrame:
+    """Minutes (_key, slot) of each key, numbered by the ``run`` that can be folded on its own, from a full bucket.
+
+    ``groups`` holds one row per key and millisecond: _key, _ms, _n requests and their rate _rpm. A run begins after a
+    minute of silence, or with a minute whose first request surely meets a full bucket. For that, think of a bucket that
+    charges every request, the denied ones too, and so never holds more than the real one. Without its cap it would run
+    along a free sum of what it gains and pays; with the cap it lies below that by the largest overshoot so far. It is
+    full at a request exactly where (cap - free sum) is no higher than at any earlier request, and there the real one
+    is full too.
+
+    Sums and lows are taken within each minute, then over the minutes of a key: no task orders more than one minute of
+    requests or one row per minute of a key. A key over its limit in every minute has no full bucket to begin from.
+    """
+    line = W.partitionBy("_key", "slot").orderBy("_ms")
+    earlier = line.rowsBetween(W.unboundedPreceding, -1)
+    timed = groups.withColumn("slot", floor_div(F.col("_ms"), REFILL_MS)).withColumn(
+        "_gained", F.coalesce((F.col("_ms") - F.lag("_ms").over(line)) * F.col("_rpm"), F.lit(0)))
+    free = F.sum("_gained").over(line.rowsBetween(W.unboundedPreceding, 0)) - TOKEN * F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    slots = timed.withColumn("_room", F.col("_rpm") * TOKEN - free).groupBy("_key", "slot").agg(
+        F.min("_ms").alias("_first"), F.max("_ms").alias("_last"), F.min_by("_rpm", "_ms").alias("_rate"),
+        (F.sum("_gained") - TOKEN * F.sum("_n")).alias("_moved"), F.min("_room").alias("_room"))
+    minutes = W.partitionBy("_key").orderBy("slot")
+    slots = slots.withColumn("_silence", F.col("_first") - F.lag("_last").over(minutes)).withColumn(
+        "_quiet", F.coalesce(F.col("_silence") >= REFILL_MS, F.lit(True)).cast("int"))
+    slots = slots.withColumn("_stretch", F.sum("_quiet").over(minutes.rowsBetween(W.unboundedPreceding, 0)))
+    stretch = W.partitionBy("_key", "_stretch").orderBy("slot")
+    before = stretch.rowsBetween(W.unboundedPreceding, -1)
+    came = F.when(F.col("_quiet") == 1, F.lit(0)).otherwise(F.col("_silence") * F.col("_rate"))
+    slots = slots.withColumn("_free", F.sum(came).over(stretch.rowsBetween(W.unboundedPreceding, 0)) + F.coalesce(F.sum("_moved").over(before), F.lit(0)))
+    lowest = F.min(F.col("_room") - F.col("_free")).over(before)
+    full = F.coalesce(F.col("_rate") * TOKEN - F.col("_free") <= lowest, F.lit(True))
+    slots = slots.withColumn("_full", full.cast("int"))
+    return slots.select("_key", "slot", F.sum("_full").over(minutes.rowsBetween(W.unboundedPreceding, 0)).alias("run"))
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units in the bucket ahead of each group of simultaneous requests.
 
@@ -112,8 +146,9 @@ def token_bucket(
 
     * requests of one key and millisecond differ only in their place in line, so they are
       counted on the map side and the fold sees one row per (key, ms), not per request;
-    * a bucket idle for a minute is full, whatever happened before, so each run of a key
-      between such silences is folded on its own; runs are found from the counts;
+    * where a bucket is surely full (after a minute of silence, or see ``fold_runs``) what
+      happened before does not matter, so a key is folded in as many pieces as there are such
+      minutes; they are found from the counts;
     * per-request answers follow from the units ahead of the group and the place in it, by
       a join on (key, ms) that spreads a busy key over all tasks.
 
@@ -131,10 +166,10 @@ def token_bucket(
     keyed = keyed.withColumn("_live", live).withColumn("_ms", F.when(live & (F.col("_rate") > 0), F.col(clock).cast("bigint")))
     groups = keyed.filter(F.col("_ms").isNotNull()).groupBy("_key", "_ms").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_rate").alias("_rpm"))
-    runs = gap_runs(groups, "_key", "_ms", REFILL_MS, inclusive=True)
+    runs = fold_runs(groups)
     slotted = groups.withColumn("slot", floor_div(F.col("_ms"), REFILL_MS))
     ordered = (
-        slotted.join(runs.select("_key", "slot", "run"), ["_key", "slot"], "left")
+        slotted.join(runs, ["_key", "slot"], "left")
         .select("_key", F.concat_ws("|", F.coalesce(F.col("run"), F.lit(0)).cast("string"), "_key").alias("_who"), "_rpm", "_ms", "_n")
         .repartition("_who")
         .sortWithinPartitions("_who", "_ms")

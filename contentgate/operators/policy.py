@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contentgate.functions.patterns import compiled, matches
+
 # Rule types that go by another name than the threat they govern.
 RULE_THREATS = {"pii_detection": "pii_exposure"}
 ACTIONS = {"allow": 1, "warn": 2, "block": 3}
@@ -114,65 +121,55 @@ def enforce_policy(findings: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-# A pattern is used when it is built from plain pieces, nests no groups and repeats no
-# group without bound (the shapes behind runaway matching and deep recursion).
-PLAIN_PATTERN = (
-    r"^(\(\?i\))?\^?([^\\\[\](){}|*+?^$]|\\[bBdDwWsStnr.\\/+*?()\[\]{}|^$-]|\[\^?[^\[\]\\&]+\]|\((\?:)?[^()*+?{}]+\)"
-    r"|[*+?]|\{[0-9]{1,3}(,[0-9]{0,3})?\}|\|)*\$?$"
-)
-
-
-def usable_pattern(pattern: Column) -> Column:
-    """Whether a custom pattern is plain enough to run on every text.
-
-    A quantifier must follow something it can repeat, and not another quantifier; ranges and
-    counts must run upwards, for one pattern that does not compile would end the whole job.
-    """
-    group = F.regexp_replace(pattern, r"^\(\?i\)", "")
-    dangling = group.rlike(r"(^|\||\((\?:)?|[*+?}])[*+?{]") | group.rlike(r"(^|[^\\])\^[*+?{]")
-    open_ended = group.rlike(r"(^|[^\\])\)([*+]|\{[0-9]+,\})")
-    classes = F.regexp_extract_all(pattern, F.lit(r"\[\^?[^\]]+\]"), F.lit(0))
-    inside = lambda c: F.regexp_extract_all(F.substring(c, F.lit(2), F.length(c) - 2), F.lit("[^-]-[^-]"), F.lit(0))
-    falling = F.exists(classes, lambda c: F.exists(inside(c), lambda r: F.ascii(F.substring(r, 1, 1)) > F.ascii(F.substring(r, 3, 1))))
-    counts = F.regexp_extract_all(pattern, F.lit(r"\{[0-9]{1,3},[0-9]{1,3}\}"), F.lit(0))
-    number = lambda c, i: F.split(F.translate(c, "{}", ""), ",")[i].cast("int")
-    shrinking = F.exists(counts, lambda c: number(c, 0) > number(c, 1))
-    return F.coalesce(pattern.rlike(PLAIN_PATTERN) & (F.length(group) > 0) & ~dangling & ~open_ended & ~falling & ~shrinking, F.lit(False))
-
-
 def enforce_custom_patterns(items: DataFrame, policies: DataFrame) -> DataFrame:
     """The strongest custom action whose patterns match the content, per item.
 
-    Patterns stay in the arrays of the policy row: an item joins its one policy and tests
-    that policy's patterns in place, so items and patterns are never paired up in a table.
-    Items that no pattern matches are not in the result, unless their policy has patterns that
-    cannot be run (``n_unusable``, see ``usable_pattern``): such an item is blocked if another
-    pattern blocks it and is a scan_error otherwise, for the fail mode to resolve.
+    Patterns stay in the row of the policy: an item joins its one policy and tests that policy's patterns in place, so
+    items and patterns are never paired up in a table. Texts go to Arrow in batches; the patterns of a policy and action
+    are one automaton, compiled once per task (see ``functions.patterns``), so neither nesting nor repetition in a pattern
+    can stall the job, and none can end it.
+
+    Items that no pattern matches are not in the result, unless some pattern could not decide (``n_unusable``: patterns of
+    the policy that cannot be read, and patterns with look-around or back references that ran out of time on this
+    text): such an item is blocked if another pattern blocks it and is a scan_error otherwise, for the fail mode to resolve.
     """
     custom = F.filter("rules", lambda r: r["type"] == "custom")
 
-    def patterns(action: str) -> Column:
+    def of_action(action: str) -> Column:
         chosen = F.filter(custom, lambda r: r["action"] == action)
-        return F.flatten(F.transform(chosen, lambda r: F.coalesce(r["patterns"], F.array().cast("array<string>"))))
-
-    held = policies.select("policy_id", *[patterns(name).alias(f"_all_{name}") for name in ACTIONS])
-    everything = F.concat(*[F.col(f"_all_{name}") for name in ACTIONS])
-    held = held.filter(F.size(everything) > 0).select(
-        "policy_id",
-        F.size(F.filter(everything, lambda p: ~usable_pattern(p))).cast("bigint").alias("n_unusable"),
-        *[F.filter(F.col(f"_all_{name}"), usable_pattern).alias(f"_{name}") for name in ACTIONS],
-    )
-    joined = items.select("request_id", "policy_id", "content").join(held, "policy_id")
-    rank = None
-    for name in sorted(ACTIONS, key=ACTIONS.get, reverse=True):
-        hit = F.exists(F.col(f"_{name}"), lambda p: F.regexp_like(F.col("content"), p))
-        rank = F.when(hit, ACTIONS[name]) if rank is None else rank.when(hit, ACTIONS[name])
-    undecided = (F.col("n_unusable") > 0) & (F.coalesce(F.col("_rank"), F.lit(0)) < ACTIONS["block"])
-    return (
-        joined.select("request_id", "policy_id", rank.alias("_rank"), "n_unusable")
-        .filter(F.col("_rank").isNotNull() | (F.col("n_unusable") > 0))
-        .select("request_id", "policy_id", F.when(undecided, "scan_error").otherwise(action_name(F.col("_rank"))).alias("action"), "n_unusable")
-    )
+        return F.flatten(F.transform(chosen, lambda r: F.coalesce(r["patterns"], F.array().cast("array<string>")))).alias(action)
+
+    sets = F.struct(*[of_action(name) for name in ACTIONS])
+    held = policies.select("policy_id", sets.alias("_sets")).filter(" OR ".join(f"size(_sets.{name}) > 0" for name in ACTIONS))
+    held = held.select("policy_id", F.to_json("_sets").alias("_sets"))
+    strongest = sorted(ACTIONS, key=ACTIONS.get, reverse=True)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ranks, unusable = [0] * batch.num_rows, [0] * batch.num_rows
+            names = batch.column(3).dictionary_encode()
+            owner = names.indices.to_numpy()
+            for k, text in enumerate(names.dictionary.to_pylist()):
+                rows = np.flatnonzero(owner == k)
+                texts, groups = batch.column(2).take(pa.array(rows)), json.loads(text)
+                for action in strongest:
+                    patterns = compiled(tuple(groups.get(action) or ()))
+                    found, late = matches(texts, patterns)
+                    for row, hit, n in zip(rows.tolist(), found, late):
+                        unusable[row] += n + patterns.broken
+                        if hit and not ranks[row]:
+                            ranks[row] = ACTIONS[action]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(ranks, pa.int32()), pa.array(unusable, pa.int64())],
+                names=["request_id", "policy_id", "_rank", "n_unusable"])
+
+    kinds = {name: items.schema[name].dataType.simpleString() for name in ("request_id", "policy_id")}
+    judged = items.select("request_id", "policy_id", F.col("content").cast("string").alias("content")).join(held, "policy_id").select(
+        "request_id", "policy_id", "content", "_sets").mapInArrow(
+        judge, f"request_id {kinds['request_id']}, policy_id {kinds['policy_id']}, _rank int, n_unusable bigint")
+    undecided = (F.col("n_unusable") > 0) & (F.col("_rank") < ACTIONS["block"])
+    return judged.filter("_rank > 0 OR n_unusable > 0").select(
+        "request_id", "policy_id", F.when(undecided, "scan_error").otherwise(action_name(F.col("_rank"))).alias("action"), "n_unusable")
 
 
 # an undecided request is stopped before a warned one

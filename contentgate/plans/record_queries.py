@@ -418,23 +418,24 @@ def policy_enforce(spark, sf_dir):
     return policy.enforce_policy(found, rules)
 
 
-# patterns of the policy of each user; one user in four also has a pattern that is refused
+# patterns of the policy of each user; one user in four also has another: one that repeats a group, or a broken one
 _WARN_PATTERN = "concat('[aeiou]{', 3 + user_id % 3, '} ')"
 _BLOCK_PATTERN = "concat('(one|two|th)[a-z]*', chr(CAST(97 + user_id % 26 AS INT)), 'ing')"
-_REFUSED = "(a+)+$"
+_REPEATED = "(a+)+$"
 
 
 @query(
     "policy_custom_patterns",
     f"""
 WITH u AS (SELECT DISTINCT user_id FROM events),
-r AS (SELECT user_id, 2 AS rank, {_WARN_PATTERN} AS pattern FROM u UNION ALL SELECT user_id, 3, {_BLOCK_PATTERN} FROM u)
-SELECT request_id, policy_id, CASE WHEN max(rank) = 3 THEN 'block' WHEN policy_id::BIGINT % 4 = 1 THEN 'scan_error' ELSE 'warn' END AS action,
-       CAST(CASE WHEN policy_id::BIGINT % 4 = 1 THEN 1 ELSE 0 END AS BIGINT) AS n_unusable
+r AS (SELECT user_id, 2 AS rank, {_WARN_PATTERN} AS pattern FROM u UNION ALL SELECT user_id, 3, {_BLOCK_PATTERN} FROM u
+      UNION ALL SELECT user_id, 3, '{_REPEATED}' FROM u WHERE user_id % 12 = 1)
+SELECT request_id, policy_id, CASE WHEN max(rank) = 3 THEN 'block' WHEN policy_id::BIGINT % 12 IN (5, 9) THEN 'scan_error' ELSE 'warn' END AS action,
+       CAST(CASE WHEN policy_id::BIGINT % 12 IN (5, 9) THEN 1 ELSE 0 END AS BIGINT) AS n_unusable
 FROM (SELECT i.request_id, i.policy_id, CASE WHEN regexp_matches(text, pattern) THEN rank END AS rank
       FROM (SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(doc_id % 150 AS VARCHAR) AS policy_id, text FROM documents) i
       JOIN r ON r.user_id = i.policy_id::BIGINT)
-GROUP BY request_id, policy_id HAVING max(rank) IS NOT NULL OR policy_id::BIGINT % 4 = 1""",
+GROUP BY request_id, policy_id HAVING max(rank) IS NOT NULL OR policy_id::BIGINT % 12 IN (5, 9)""",
 )
 def policy_custom_patterns(spark, sf_dir):
     items = load(spark, sf_dir, "documents").select(
@@ -451,9 +452,45 @@ def _custom_rules():
         return F.struct(F.lit("custom").alias("type"), F.lit(action).alias("action"), F.lit(None).cast("double").alias("threshold"),
                         F.array(*patterns).alias("patterns"))
 
-    refused = F.when(F.col("user_id") % 12 == 1, F.lit(_REFUSED)).when(F.col("user_id") % 12 == 5, F.lit("[z-a]")).when(
+    other = F.when(F.col("user_id") % 12 == 1, F.lit(_REPEATED)).when(F.col("user_id") % 12 == 5, F.lit("[z-a]")).when(
         F.col("user_id") % 12 == 9, F.lit("a{5,2}"))
-    return F.array(rule("warn", F.expr(_WARN_PATTERN)), rule("block", F.expr(_BLOCK_PATTERN), F.coalesce(refused, F.expr(_BLOCK_PATTERN))))
+    return F.array(rule("warn", F.expr(_WARN_PATTERN)), rule("block", F.expr(_BLOCK_PATTERN), F.coalesce(other, F.expr(_BLOCK_PATTERN))))
+
+
+# classes with escapes, nested groups and groups repeated without bound, as ordinary policies hold them
+_SHAPES = (r"[\w.+-]+@[\w-]+", "((th|an)(e|d)?)+ing", r"([aeiou]{2}[^aeiou\s])+ ", r"(?i)(?:ssn|token|(pass|code)(word)?)+\s*[=:]", "(a")
+
+
+def _shape(number: str) -> str:
+    return "['" + "', '".join(_SHAPES) + f"'][CAST(1 + {number} % 5 AS INT)]"
+
+
+@query(
+    "policy_patterns_nested",
+    f"""
+WITH u AS (SELECT DISTINCT user_id FROM events),
+r AS (SELECT user_id, 2 AS rank, {_shape("user_id")} AS pattern FROM u UNION ALL SELECT user_id, 3, {_shape("(user_id // 5)")} FROM u),
+b AS (SELECT user_id, count(*) FILTER (pattern = '(a') AS broken FROM r GROUP BY 1),
+i AS (SELECT CAST(doc_id AS VARCHAR) AS request_id, doc_id % 150 AS user_id, text FROM documents),
+m AS (SELECT request_id, max(CASE WHEN regexp_matches(text, pattern) THEN rank END) AS rank
+      FROM i JOIN r USING (user_id) WHERE pattern <> '(a' GROUP BY 1)
+SELECT request_id, CAST(user_id AS VARCHAR) AS policy_id, CASE WHEN rank = 3 THEN 'block' WHEN broken > 0 THEN 'scan_error' ELSE 'warn' END AS action,
+       CAST(broken AS BIGINT) AS n_unusable
+FROM i JOIN b USING (user_id) LEFT JOIN m USING (request_id) WHERE rank IS NOT NULL OR broken > 0""",
+)
+def policy_patterns_nested(spark, sf_dir):
+    items = load(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("request_id"), (F.col("doc_id") % 150).cast("string").alias("policy_id"), F.col("text").alias("content"))
+    shapes = F.array(*map(F.lit, _SHAPES))
+
+    def rule(action, at):
+        return F.struct(F.lit("custom").alias("type"), F.lit(action).alias("action"), F.lit(None).cast("double").alias("threshold"),
+                        F.array(F.get(shapes, at % 5)).alias("patterns"))
+
+    user = F.col("user_id").cast("int")
+    policies = load(spark, sf_dir, "events").select("user_id").distinct().select(
+        F.col("user_id").cast("string").alias("policy_id"), F.array(rule("warn", user), rule("block", F.floor(user / 5).cast("int"))).alias("rules"))
+    return policy.enforce_custom_patterns(items, policies)
 
 
 @query(
@@ -472,8 +509,9 @@ m AS (SELECT f.request_id, f.threat_type, coalesce(max(r.rank), 4) AS rank
       FROM f LEFT JOIN r ON f.policy_id = r.policy_id AND f.threat_type = r.threat_type AND f.score >= r.threshold GROUP BY 1, 2),
 t AS (SELECT request_id, max(rank) AS rank, count(*) AS n FROM m GROUP BY 1),
 p AS (SELECT policy_id, CAST(policy_id AS BIGINT) AS user_id FROM snapshot),
-c AS (SELECT request_id, CASE WHEN regexp_matches(content, {_BLOCK_PATTERN}) THEN 4 WHEN user_id % 4 = 1 THEN 3
-             WHEN regexp_matches(content, {_WARN_PATTERN}) THEN 2 END AS rank, CASE WHEN user_id % 4 = 1 THEN 1 ELSE 0 END AS u
+c AS (SELECT request_id, CASE WHEN regexp_matches(content, {_BLOCK_PATTERN}) OR user_id % 12 = 1 AND regexp_matches(content, '{_REPEATED}') THEN 4
+             WHEN user_id % 12 IN (5, 9) THEN 3 WHEN regexp_matches(content, {_WARN_PATTERN}) THEN 2 END AS rank,
+             CASE WHEN user_id % 12 IN (5, 9) THEN 1 ELSE 0 END AS u
       FROM i JOIN p USING (policy_id))
 SELECT request_id, ['allow', 'warn', 'scan_error', 'block'][greatest(1, coalesce(t.rank, 1), coalesce(c.rank, 1))] AS action,
        CAST(coalesce(t.n, 0) AS BIGINT) AS n_findings, CAST(coalesce(c.u, 0) AS BIGINT) AS n_unusable
@@ -611,6 +649,12 @@ def token_bucket(spark, sf_dir):
     return metering.token_bucket(squeezed_log(spark, sf_dir, 1000), rpm=10)
 
 
+@query("token_bucket_busy", _BUCKET_SQL.format(rpm="50", squeeze=1000))
+def token_bucket_busy(spark, sf_dir):
+    """Keys that are never silent for a minute, at a rate that they mostly meet."""
+    return metering.token_bucket(squeezed_log(spark, sf_dir, 1000), rpm=50)
+
+
 @query(
     "token_bucket_tiers",
     _BUCKET_SQL.format(rpm="CASE event_type WHEN 'view' THEN 10 WHEN 'click' THEN 100 ELSE 1000 END", squeeze=500_000),

@@ -173,6 +173,27 @@ def extract_text_c_deep(spark, sf_dir):
     return _free_form(spark, sf_dir, deep=True)
 
 
+@query(
+    "extract_text_nested",
+    """
+SELECT conv_id, turn, CASE WHEN conv_id % 2 = 0 THEN coalesce(nullif(text, ''), '[object Object]') WHEN turn % 7 = 3 THEN NULL
+                           ELSE concat(text, chr(10), role, chr(10), text) END AS text
+FROM conversations""",
+)
+def extract_text_nested(spark, sf_dir):
+    """Objects and lists of parts nested up to 50 deep; a null in the innermost list cannot be read."""
+    turns = load(spark, sf_dir, "conversations")
+    quoted = lambda name: F.regexp_extract(F.to_json(F.struct(F.col(name).alias("s"))), '(?s)^[{]"s":(.*)[}]$', 1)
+    depth = (F.col("conv_id") * 7 + F.col("turn") * 3) % 50 + 1
+    nested = lambda opening, inner, closing: F.concat(F.repeat(F.lit(opening), depth), inner, F.repeat(F.lit(closing), depth))
+    chain = nested('{"parts":', F.concat(F.lit('{"text":'), quoted("text"), F.lit("}")), "}")
+    last = F.when(F.col("turn") % 7 == 3, F.lit(",null")).otherwise(F.lit(""))
+    inner = F.concat(quoted("text"), F.lit(',{"text":'), quoted("role"), F.lit("}"), last)
+    listed = F.concat(F.lit("["), nested('{"role":"user","parts":[', inner, "]}"), F.lit(","), quoted("text"), F.lit("]"))
+    content = F.parse_json(F.when(F.col("conv_id") % 2 == 0, chain).otherwise(listed))
+    return extract.extract_free_text(turns.select("conv_id", "turn", content.alias("content")), "content", deep=True)
+
+
 @query(
     "item_context",
     """

@@ -61,6 +61,51 @@ def test_runs_of_a_busy_key_are_cut_at_a_full_minute_of_silence(spark):
         assert replay(spark, rows, rpm) == simulate(rows, lambda _: rpm)
 
 
+def runs_of(spark, rows, rpm):
+    df = spark.createDataFrame([(k, ms) for k, ms, _ in rows], "_key string, _ms bigint").groupBy("_key", "_ms").agg(F.count(F.lit(1)).alias("_n"))
+    return metering.fold_runs(df.withColumn("_rpm", F.lit(rpm).cast("bigint"))).select("_key", "run").distinct().count()
+
+
+@pytest.mark.parametrize("rpm, pieces", [(60, 700), (75, 700), (55, 0)])
+def test_a_key_that_is_never_silent_is_folded_in_many_pieces(spark, rpm, pieces):
+    """A request every second for a day, with bursts; a rate below the demand leaves nothing to cut."""
+    rng = random.Random(11)
+    rows = [("hot", 1_000 * s, s) for s in range(86_400)]
+    if rpm == 75:
+        rows += [("hot", 1_000 * s + rng.randrange(1_000), 100_000 + i) for i, s in enumerate(rng.choices(range(86_400), k=600)) for _ in range(1)]
+        rows += [("hot", 40_000_000, 200_000 + i) for i in range(300)]
+    assert replay(spark, rows, rpm) == simulate(rows, lambda _: rpm)
+    assert runs_of(spark, rows, rpm) >= pieces
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 40), st.integers(1, 30_000), st.integers(1, 12)), min_size=30, max_size=120), st.sampled_from([3, 10, 25]))
+def test_busy_traces(spark, trace, rpm):
+    """Bursts a few seconds apart, never a silent minute: full buckets come and go."""
+    at, rows = {"a": 0, "b": 5}, []
+    for key, _, gap, burst in trace:
+        at[key] += gap
+        rows += [(key, at[key], len(rows) + i) for i in range(burst)]
+    assert replay(spark, rows, rpm) == simulate(rows, lambda _: rpm)
+
+
+def test_cuts_where_rates_change_within_a_key(spark):
+    rng = random.Random(2)
+    rows = [("k", 700 * i, i, 5 if (700 * i) // 200_000 % 2 else 90) for i in range(2_000) if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, "api_key string, ms bigint, request_id bigint, rate bigint")
+    got = {r.request_id: (r.allowed, r.remaining) for r in metering.token_bucket(df, rpm=F.col("rate")).collect()}
+    units, last, want = 90 * 60_000, 0, {}
+    units = rows[0][3] * 60_000
+    last = rows[0][1]
+    for _, ms, rid, rpm in rows:
+        units = min(rpm * 60_000, units + (ms - last) * rpm)
+        last = ms
+        ok = units >= 60_000
+        units -= 60_000 * ok
+        want[rid] = (ok, units // 60_000 if ok else 0)
+    assert got == want
+
+
 def test_one_key_and_one_millisecond_hold_most_rows(spark):
     rng = random.Random(7)
     rows = [("hot", 5_000, i * 7_919) for i in range(3_000)] 

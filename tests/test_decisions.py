@@ -1,5 +1,9 @@
 """Nothing passes undecided, and nobody is merged with a stranger."""
 
+import json
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from contentgate.functions import rules as R
@@ -27,18 +31,52 @@ def test_guard_profile_scans_long_prompts_and_speaks_its_dialect(spark):
 
 
 def test_patterns_that_cannot_run_leave_an_error_and_end_no_job(spark):
-    patterns = [r"\bssn\b", r"(?i)secret", r"\t", "[z-a]", "a{5,2}", "(a+)+$", "x" * 1_500, "[a-z]{2,3}x"]
-    df = spark.createDataFrame([(p,) for p in patterns], "p string")
-    usable = {r.p: r.u for r in df.select("p", policy.usable_pattern(F.col("p")).alias("u")).collect()}
-    assert usable == {p: p not in ("[z-a]", "a{5,2}", "(a+)+$") for p in patterns}
     rules = "array<struct<type:string,action:string,patterns:array<string>>>"
     policies = spark.createDataFrame(
-        [("bad", [("custom", "block", ["[z-a]"])]), ("half", [("custom", "block", ["a{5,2}", "bomb"]), ("custom", "warn", ["tick"])]), ("good", [("custom", "warn", ["tick"])])],
+        [("bad", [("custom", "block", ["[z-a]"])]), ("half", [("custom", "block", ["a{5,2}", "bomb"]), ("custom", "warn", ["tick"])]), ("good", [("custom", "warn", ["tick"])]),
+         ("null", [("custom", "warn", [None, "tick"])]), ("none", [("custom", "warn", None)])],
         f"policy_id string, rules {rules}")
     items = spark.createDataFrame(
-        [("1", "bad", "tick"), ("2", "half", "a bomb"), ("3", "half", "tick"), ("4", "good", "tick"), ("5", "good", "none")], "request_id string, policy_id string, content string")
+        [("1", "bad", "tick"), ("2", "half", "a bomb"), ("3", "half", "tick"), ("4", "good", "tick"), ("5", "good", "none"), ("6", "null", "tick"),
+         ("7", "good", None), ("8", "bad", None), ("9", "none", "tick"), ("10", None, "tick")], "request_id string, policy_id string, content string")
+    got = {r.request_id: (r.action, r.n_unusable) for r in policy.enforce_custom_patterns(items, policies).collect()}
+    assert got == {"1": ("scan_error", 1), "2": ("block", 1), "3": ("scan_error", 1), "4": ("warn", 0), "6": ("scan_error", 1), "8": ("scan_error", 1)}
+
+
+def test_patterns_of_any_shape(spark):
+    """Nested and repeated groups, classes with escapes, look-around and back references, against a plain matcher."""
+    shapes = [r"[\w.+-]+@[\w-]+", "(foo|bar)+baz", "((a|b)(c|d)?)+e", r"(?i)se(cret|sam[ae])\s*[:=]", r"^\s*$", r"\bssn\b", "(?<=id )[0-9]{4,}", r"(['\"])x\1", "a{2}|b{3,}c", "x(y(z(w)?)?)?!"]
+    texts = ["me.you+x@host-1", "foobarfoobaz", "acbce", "SECRET :", "sesama=", "   ", "my ssn here", "assn", "id 12345", "id 12", "'x'", "'x\"", "aa", "bbbbc", "xyz!", "x!", "none", ""]
+    policies = spark.createDataFrame([(f"p{k}", [("custom", "block", [s])]) for k, s in enumerate(shapes)] + [("all", [("custom", "block", shapes[:3]), ("custom", "warn", shapes[3:])])],
+                                     "policy_id string, rules array<struct<type:string,action:string,patterns:array<string>>>")
+    items = spark.createDataFrame([(f"{p}:{t}", f"p{p}", text) for p in range(len(shapes)) for t, text in enumerate(texts)]
+                                  + [(f"all:{t}", "all", text) for t, text in enumerate(texts)], "request_id string, policy_id string, content string")
     got = {r.request_id: r.action for r in policy.enforce_custom_patterns(items, policies).collect()}
-    assert got == {"1": "scan_error", "2": "block", "3": "scan_error", "4": "warn"}
+    want = {f"{p}:{t}": "block" for p, s in enumerate(shapes) for t, text in enumerate(texts) if re.search(s, text, re.A)}
+    for t, text in enumerate(texts):
+        hits = [bool(re.search(s, text, re.A)) for s in shapes]
+        if any(hits):
+            want[f"all:{t}"] = "block" if any(hits[:3]) else "warn"
+    assert got == want
+
+
+def test_no_pattern_stalls_the_job(spark, monkeypatch):
+    """What would backtrack without end is linear, and look-around that would runs out of time and decides nothing."""
+    text = "a" * 40_000 + "!"
+    policies = spark.createDataFrame(
+        [("linear", [("custom", "block", ["(a+)+$", "(a|aa)+$", "(.*)*b"])]), ("slow", [("custom", "warn", [r"(?=(a+)+b)a", "!$"])])],
+        "policy_id string, rules array<struct<type:string,action:string,patterns:array<string>>>")
+    items = spark.createDataFrame([("1", "linear", text), ("2", "slow", "a" * 40 + "!"), ("3", "slow", "!")], "request_id string, policy_id string, content string")
+    got = {r.request_id: (r.action, r.n_unusable) for r in policy.enforce_custom_patterns(items, policies).collect()}
+    assert got.get("1") is None and got["3"] == ("warn", 0) and got["2"] in (("warn", 0), ("scan_error", 1))
+
+
+def test_a_thousand_patterns_are_few_automata():
+    from contentgate.functions.patterns import compiled
+
+    some = tuple(f"(word{k}|term{k})+[0-9]{{2}}" for k in range(1000))
+    made = compiled((*some, "(broken", *some[:10]))
+    assert made.broken == 1 and len(made.automata) <= 32 and not made.backtracking
 
 
 def test_one_decision_for_every_request(spark):
@@ -91,6 +129,73 @@ def test_nested_free_form_text_is_read(spark):
     assert got == {**cases, far: (None, None)}
 
 
+def slow_free_text(value, deep):
+    """The rules of free-form content, read recursively."""
+    class Unreadable(Exception):
+        pass
+
+    def form(x):
+        return x if isinstance(x, str) else None if x in (None, False) or x == 0 else json.dumps(x, separators=(",", ":"))
+
+    def items(parts):
+        out = []
+        for p in parts:
+            if p is None:
+                raise Unreadable
+            own = p if isinstance(p, str) else form(p.get("text")) or None if isinstance(p, dict) else None
+            if own is None and deep and isinstance(p, dict) and isinstance(p.get("parts"), list):
+                out += items(p["parts"])
+            elif own is not None:
+                out.append(own)
+        return out
+
+    def read(x):
+        if isinstance(x, str):
+            return x
+        if isinstance(x, list):
+            return "\n".join(items(x))
+        own = form(x.get("text"))
+        if own:
+            return own
+        parts = x.get("parts")
+        if isinstance(parts, list):
+            if None in parts:
+                raise Unreadable
+            return "\n".join(t for p in parts for t in [p if isinstance(p, str) else (form(p.get("text")) or None) if isinstance(p, dict) else None] if t is not None)
+        if isinstance(parts, dict):
+            return read(parts)
+        return form(parts) or "[object Object]"
+
+    try:
+        return read(value) if value is not None else None
+    except Unreadable:
+        return None
+
+
+def test_free_form_text_at_every_depth(spark):
+    rng = random.Random(9)
+
+    def leaf():
+        return rng.choice(["a", "", {"text": "b"}, {"text": ""}, {"other": 1}, {"parts": []}, *([None] if rng.random() < 0.1 else [])])
+
+    values = []
+    for depth in (*range(1, 9), 13, 14, 50):
+        for _ in range(5):
+            value = [leaf() for _ in range(rng.randrange(1, 4))]
+            for _ in range(depth):
+                value = [leaf() for _ in range(rng.randrange(2))] + [{"role": "user", "parts": value}] + [leaf() for _ in range(rng.randrange(2))]
+            values.append(value)
+            inner = rng.choice([{"text": "t"}, {"parts": ["p", {"text": "q"}]}, {"parts": "s"}, {}, {"parts": [None]}])
+            for _ in range(depth):
+                inner = {"parts": inner, **({"text": ""} if rng.random() < 0.3 else {})}
+            values.append(inner)
+    values += ["plain", None, [], {}, [[1]], {"parts": {"text": "x"}}]
+    df = spark.createDataFrame([(k, json.dumps(v)) for k, v in enumerate(values)], "k int, j string").select("k", F.parse_json("j").alias("v"))
+    for deep in (False, True):
+        got = {r.k: r.text for r in extract.extract_free_text(df, "v", deep).collect()}
+        assert got == {k: slow_free_text(v, deep) for k, v in enumerate(values)}
+
+
 def test_leaks_are_found_at_any_depth(spark):
     rows = [
         '{"violations":[{"matched_text":"x"}],"reason":"the \\"policy_id\\": field"}', '{"meta":{"policy_id":1}}',
