@@ -63,9 +63,10 @@ def held_back(url: Column) -> Column:
 def codes(text: Column) -> Column:
     """Numbers of all three-symbol strings, in order."""
     at = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(SYMBOLS), c) - 1)
-    return F.transform(
+    # the outer step binds the list of symbols, which would otherwise be made anew for every string
+    return F.get(F.transform(F.array(at), lambda a: F.transform(
         F.sequence(F.lit(0), F.length(text) - 3),
-        lambda i: F.get(at, i) * BASE * BASE + F.get(at, i + 1) * BASE + F.get(at, i + 2))
+        lambda i: F.get(a, i) * BASE * BASE + F.get(a, i + 1) * BASE + F.get(a, i + 2))), F.lit(0))
 
 
 def table(train: DataFrame) -> DataFrame:
