@@ -14,6 +14,7 @@ from contentgate.functions.text import utf16_units
 from contentgate.session import shared_dir
 
 TURNS_PER_SEGMENT = 1024
+SEGMENT_UNITS = 1 << 20
 
 
 def typed_parts(content: Column) -> Column:
@@ -49,30 +50,46 @@ def message_text(df: DataFrame, dialect: str = "a", content: str = "text") -> Co
 
 
 def extract_user_text(
-    df: DataFrame, dialect: str = "a", content: str = "text", turns_per_segment: int = TURNS_PER_SEGMENT
+    df: DataFrame, dialect: str = "a", content: str = "text", limit: int = SEGMENT_UNITS, turns_per_block: int = TURNS_PER_SEGMENT
 ) -> DataFrame:
-    """User text per conversation, one row per run of ``turns_per_segment`` turns.
+    """User text per conversation in segments of at most ``limit`` UTF-16 units, cut between messages.
 
-    A conversation shorter than that (the usual case) gives one row: its user texts in turn
-    order, joined by line feeds. A longer one gives several rows, and joining those with
-    ``n_messages > 0`` by line feeds in segment order gives the whole text. No task ever
-    holds more of a conversation than one segment, however long the conversation is.
-    A message without a conversation gives a row of its own.
+    Gives conv_id, segment (from 0), n_segments, offset_units, user_text and n_messages, by one rule for every length:
+    joining a conversation's segments in order by line feeds gives its user texts in turn order, joined by line feeds,
+    and ``offset_units`` is where a segment begins in that. As no rule matches across a line feed, scanning the segments
+    is scanning the whole. A message of more than half the limit is a segment of its own, whatever its size; the others
+    share a segment with those that begin in the same stretch of half the limit.
+
+    A conversation without user text has one segment, empty. A message without a conversation has a row of its own. The
+    place of a message is a prefix sum in two levels, blocks of turns and then turns, so no task orders a whole long
+    conversation.
     """
-    text = message_text(df, dialect, content)
+    half = max(1, limit // 2)
     slim = df.select(
-        "conv_id",
-        F.expr(f"turn div {int(turns_per_segment)}").alias("segment"),
-        "turn",
-        text.alias("_text"),
-    )
-    joined = slim.filter(F.col("conv_id").isNotNull()).groupBy("conv_id", "segment").agg(
-        F.coalesce(F.expr("listagg(_text, '\n') WITHIN GROUP (ORDER BY turn)"), F.lit("")).alias("user_text"),
-        F.count("_text").alias("n_messages"),
-    )
-    alone = slim.filter(F.col("conv_id").isNull()).select(
-        "conv_id", "segment", F.coalesce("_text", F.lit("")).alias("user_text"), F.col("_text").isNotNull().cast("bigint").alias("n_messages"))
-    return joined.union(alone)
+        "conv_id", "turn", F.coalesce(F.expr(f"turn div {int(turns_per_block)}"), F.lit(-1)).alias("_block"), message_text(df, dialect, content).alias("_text"))
+    # a line feed separates a message from what follows
+    said = slim.filter(F.col("conv_id").isNotNull() & F.col("_text").isNotNull()).withColumn("_units", utf16_units(F.col("_text")) + 1)
+    said = said.withColumn("_big", (F.col("_units") > half).cast("int"))
+    blocks = said.groupBy("conv_id", "_block").agg(F.sum("_units").alias("_units"), F.sum("_big").alias("_bigs"))
+    earlier = W.partitionBy("conv_id").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    carry = blocks.select(
+        "conv_id", "_block", F.coalesce(F.sum("_units").over(earlier), F.lit(0)).alias("_carry"), F.coalesce(F.sum("_bigs").over(earlier), F.lit(0)).alias("_carry_bigs"))
+    within = W.partitionBy("conv_id", "_block").orderBy("turn", "_text").rowsBetween(W.unboundedPreceding, -1)
+    placed = said.join(carry, ["conv_id", "_block"]).select(
+        "conv_id", "turn", "_text", "_big", (F.col("_carry") + F.coalesce(F.sum("_units").over(within), F.lit(0))).alias("offset_units"),
+        (F.col("_carry_bigs") + F.coalesce(F.sum("_big").over(within), F.lit(0))).alias("_bigs"))
+    cells = placed.withColumn("_stretch", F.expr(f"offset_units div {half}")).groupBy("conv_id", "_stretch", "_bigs", "_big").agg(
+        F.min("offset_units").alias("offset_units"), F.expr("listagg(_text, '\n') WITHIN GROUP (ORDER BY turn, _text)").alias("user_text"), F.count(F.lit(1)).alias("n_messages"))
+    in_order = W.partitionBy("conv_id").orderBy("_stretch", "_bigs", "_big")
+    segments = cells.select(
+        "conv_id", (F.row_number().over(in_order) - 1).cast("bigint").alias("segment"), F.count(F.lit(1)).over(W.partitionBy("conv_id")).alias("n_segments"),
+        F.col("offset_units").cast("bigint").alias("offset_units"), "user_text", "n_messages")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    silent = slim.filter(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.count("_text").alias("n_messages")).filter("n_messages = 0")
+    alone = slim.filter(F.col("conv_id").isNull())
+    columns = lambda text, n: ["conv_id", zero.alias("segment"), one.alias("n_segments"), zero.alias("offset_units"), text.alias("user_text"), n.alias("n_messages")]
+    return segments.unionByName(silent.select(columns(F.lit(""), zero))).unionByName(
+        alone.select(columns(F.coalesce("_text", F.lit("")), F.col("_text").isNotNull().cast("bigint"))))
 
 
 UNREADABLE = "\x00unreadable"

@@ -76,10 +76,10 @@ def content_items_union(spark, sf_dir):
 
 
 _USER_TEXT = """
-SELECT conv_id, turn // 1024 AS segment,
+SELECT conv_id, 0::BIGINT AS segment, 1::BIGINT AS n_segments, 0::BIGINT AS offset_units,
        coalesce(string_agg(t, chr(10) ORDER BY turn) FILTER (WHERE role = 'user'{extra}), '') AS user_text,
        count(*) FILTER (WHERE role = 'user'{extra}) AS n_messages
-FROM (SELECT *, {text} AS t FROM conversations) GROUP BY 1, 2"""
+FROM (SELECT *, {text} AS t FROM conversations) GROUP BY 1"""
 
 
 @query("extract_user_text_a", _USER_TEXT.format(text=SOME_EMPTY, extra=" AND t <> ''"))
@@ -94,6 +94,25 @@ def extract_user_text_b(spark, sf_dir):
     return extract.extract_user_text(turns, "b")
 
 
+@query(
+    "extract_user_segments",
+    """
+WITH m AS (
+  SELECT c, turn, text, length(text) + 1 + (length(text) - length(regexp_replace(text, '[\\x{10000}-\\x{10FFFF}]', '', 'g'))) AS units
+  FROM (SELECT conv_id % 5 AS c, conv_id * 1000 + turn AS turn, text FROM conversations WHERE role = 'user' AND text <> '')),
+p AS (SELECT *, coalesce(sum(units) OVER w, 0) AS pos, coalesce(sum((units > 400)::INT) OVER w, 0) AS bigs, units > 400 AS big
+      FROM m WINDOW w AS (PARTITION BY c ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s AS (SELECT c, pos // 400 AS stretch, bigs, big, min(pos) AS pos, string_agg(text, chr(10) ORDER BY turn) AS user_text, count(*) AS n FROM p GROUP BY ALL)
+SELECT c AS conv_id, row_number() OVER (PARTITION BY c ORDER BY stretch, bigs, big) - 1 AS segment, count(*) OVER (PARTITION BY c) AS n_segments,
+       pos::BIGINT AS offset_units, user_text, n AS n_messages FROM s""",
+)
+def extract_user_segments(spark, sf_dir):
+    """Five long conversations, cut into segments of at most 800 units or single long messages."""
+    turns = load(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") % 5).alias("conv_id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("turn"), "role", "text")
+    return extract.extract_user_text(turns, "a", limit=800, turns_per_block=64)
+
+
 def _with_parts(turns):
     """Every second message as a list of parts, one of them an image and one empty."""
     def part(kind, text):

@@ -1,6 +1,7 @@
 """Literal cases: extraction, scan rules, sanitising, fail modes, size gate."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,12 +42,45 @@ def test_chat_text(spark, dialect):
     assert got == {i: (text, n) for i, (_, _, text, n) in enumerate(cases)}
 
 
-def test_long_conversations_come_in_segments(spark):
-    turns = spark.range(2500).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
-                                     F.concat(F.lit("m"), F.col("id").cast("string")).alias("text"))
-    rows = extract.extract_user_text(turns, "a").orderBy("segment").collect()
-    assert [r.n_messages for r in rows] == [1024, 1024, 452]
-    assert "\n".join(r.user_text for r in rows) == "\n".join(f"m{i}" for i in range(2500))
+def segments_of(texts, limit):
+    """(offset, text, count) of each segment, one message after another."""
+    half, at, bigs, cells = limit // 2, 0, 0, {}
+    for text in texts:
+        units = len(text.encode("utf-16-be")) // 2 + 1
+        cells.setdefault((at // half, bigs, units > half), []).append((at, text))
+        at, bigs = at + units, bigs + (units > half)
+    return [(c[0][0], "\n".join(t for _, t in c), len(c)) for c in cells.values()]
+
+
+@pytest.mark.parametrize("limit", [20, 100, 1 << 20])
+@pytest.mark.parametrize("dialect", ["a", "b"])
+def test_segments_follow_one_rule_for_every_length(spark, limit, dialect):
+    rng = random.Random(3)
+    texts = {c: [rng.choice(["", "a", "hello", "😀 ß", "word " * rng.randrange(1, 30)]) for _ in range(n)] for c, n in enumerate((1, 2, 3, 40, 700, 1500))}
+    rows = [(c, t, rng.choice(["user", "user", "assistant"]), text) for c, said in texts.items() for t, text in enumerate(said)]
+    rows += [(77, 0, "assistant", "quiet"), (None, 3, "user", "alone"), (None, 4, "assistant", "x")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {}
+    for r in extract.extract_user_text(turns, dialect, limit=limit, turns_per_block=64).orderBy("segment").collect():
+        got.setdefault(r.conv_id, []).append((r.segment, r.n_segments, r.offset_units, r.user_text, r.n_messages))
+    assert sorted(got.pop(None)) == [(0, 1, 0, "", 0), (0, 1, 0, "alone", 1)]
+    for c in (*texts, 77):
+        said = [text for conv, _, role, text in rows if conv == c and role == "user" and (text or dialect == "b")]
+        cells = segments_of(said, limit) or [(0, "", 0)]
+        assert got[c] == [(k, len(cells), *cell) for k, cell in enumerate(cells)]
+        assert "\n".join(text for *_, text, n in got[c] if n) == "\n".join(said)
+        assert all(len(text.encode("utf-16-be")) // 2 <= limit or n == 1 for *_, text, n in got[c])
+
+
+def test_three_and_three_hundred_thousand_turns(spark):
+    turns = spark.range(300_003).select(
+        F.when(F.col("id") < 3, 1).otherwise(2).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("m"), F.col("id").cast("string")).alias("text"))
+    rows = extract.extract_user_text(turns, "a", limit=1 << 18).orderBy("conv_id", "segment").collect()
+    assert [r.user_text for r in rows if r.conv_id == 1] == ["m0\nm1\nm2"]
+    long = [r for r in rows if r.conv_id == 2]
+    assert len(long) > 10 and all(len(r.user_text) <= 1 << 18 for r in long) and [r.segment for r in long] == list(range(long[0].n_segments))
+    whole = "\n".join(f"m{k}" for k in range(3, 300_003))
+    assert "\n".join(r.user_text for r in long) == whole and all(whole[r.offset_units:].startswith(r.user_text) for r in long)
 
 
 FREE = [

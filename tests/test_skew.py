@@ -47,6 +47,12 @@ def test_chat_scan_equals_scan_of_joined_text(spark, pack):
         whole = {int(r.request_id): (r.safe, r.threat_type, r.confidence)
                  for r in scan.scan(joined, pack, kinds=("prompt",)).collect()}
         assert split == whole
+        # the verdict on a conversation is that on its segments, however they are cut
+        cut = extract.extract_user_text(turns, dialect, limit=30).select(
+            F.concat_ws("/", F.col("conv_id").cast("string"), F.col("segment").cast("string")).alias("request_id"), F.lit("prompt").alias("content_kind"),
+            F.col("user_text").alias("content"), F.lit(None).cast("string").alias("body"))
+        unsafe = {int(r.request_id.split("/")[0]) for r in scan.scan(cut, pack, kinds=("prompt",)).filter("NOT safe").collect()}
+        assert unsafe == {c for c, verdict in whole.items() if not verdict[0]}
 
 
 def test_sessions_with_one_busy_user(spark):
