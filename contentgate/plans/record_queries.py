@@ -346,19 +346,6 @@ _RULE_COLUMNS = (
 )
 
 
-@query(
-    "policy_snapshot",
-    f"WITH {_SNAPSHOT} SELECT policy_id, name, description, is_default, {_RULE_COLUMNS}, created_at, updated_at FROM snapshot",
-)
-def policy_snapshot(spark, sf_dir):
-    first = F.get("rules", F.lit(0))
-    return policy.policy_snapshot(change_log(spark, sf_dir)).select(
-        "policy_id", "name", "description", "is_default",
-        first["type"].alias("rule_type"), first["action"].alias("action"), first["threshold"].alias("threshold"),
-        "created_at", "updated_at",
-    )
-
-
 @query("policy_get", f"WITH {_SNAPSHOT} SELECT policy_id, name, updated_at FROM snapshot WHERE policy_id = '7'")
 def policy_get(spark, sf_dir):
     return policy.policy_snapshot(change_log(spark, sf_dir)).filter(F.col("policy_id") == "7").select(
@@ -381,6 +368,21 @@ rules AS (
   SELECT policy_id, 'prompt_injection', 'block', CASE WHEN rule_src % 5 <> 0 THEN 0.96 END FROM snapshot)"""
 
 
+@query(
+    "policy_snapshot",
+    f"""WITH {_SNAPSHOT}, {_TWO_RULES}
+SELECT policy_id, name, description, is_default, rule_type, action, threshold, created_at, updated_at FROM snapshot JOIN rules USING (policy_id)""",
+)
+def policy_snapshot(spark, sf_dir):
+    """Every rule of every current policy."""
+    return policy.policy_snapshot(change_log(spark, sf_dir)).select(
+        "policy_id", "name", "description", "is_default", F.explode_outer("rules").alias("r"), "created_at", "updated_at").select(
+        "policy_id", "name", "description", "is_default",
+        F.col("r.type").alias("rule_type"), F.col("r.action").alias("action"), F.col("r.threshold").alias("threshold"),
+        "created_at", "updated_at",
+    )
+
+
 @query(
     "agent_policies",
     f"""WITH {_SNAPSHOT}, {_TWO_RULES}

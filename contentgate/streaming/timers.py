@@ -15,7 +15,8 @@ class Heartbeats(StatefulProcessor):
     """Emits a row when an agent becomes active and when it has been silent too long.
 
     The silence is judged by the watermark: a timer at last heartbeat + limit. An agent that
-    reports again in the very batch that would have expired it stays active.
+    reports again in the very batch that would have expired it stays active. A beat without a
+    time says nothing about when the agent was alive and is left out.
     """
 
     def __init__(self, after_ms: int):
@@ -28,9 +29,13 @@ class Heartbeats(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         newest, oldest = None, None
         for batch in rows:
-            top, bottom = int(batch["at_ms"].max()), int(batch["at_ms"].min())
-            newest = top if newest is None else max(newest, top)
-            oldest = bottom if oldest is None else min(oldest, bottom)
+            times = batch["at_ms"].dropna()
+            if len(times):
+                top, bottom = int(times.max()), int(times.min())
+                newest = top if newest is None else max(newest, top)
+                oldest = bottom if oldest is None else min(oldest, bottom)
+        if newest is None:
+            return
         known = int(self.last.get()[0]) if self.last.exists() else None
         if known is not None:
             self.handle.deleteTimer(known + self.after_ms)

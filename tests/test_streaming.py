@@ -90,6 +90,17 @@ def test_heartbeats_fall_silent_and_return(spark, tmp_path):
                    (2, 0, "active"), (2, 2_000, "inactive"), (9, 6_000, "active")]
 
 
+def test_beats_without_a_time_are_left_out(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for chunk in ([(1, 0, 0), (2, 0, 1)], [(1, 30, 1), (3, 40, 0)], [(9, 9_000, 0)]):
+        df = _timed(spark, chunk, ("agent_id", "lost"))
+        df = df.withColumn("ts", F.when(F.col("lost") == 0, F.col("ts"))).drop("lost")
+        df.coalesce(1).write.mode("append").parquet(source)
+        run(timers.liveness_stream(read_stream(spark, source, df.schema, files_per_trigger=1), 600_000, "0 seconds"), str(tmp_path))
+    got = sorted((r.agent_id, r.at_ms // 1000 - START, r.status) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, 0, "active"), (1, 0, "inactive"), (3, 40, "active"), (3, 40, "inactive"), (9, 9_000, "active")]
+
+
 def test_approvals_expire_once(spark, tmp_path):
     source = str(tmp_path / "in")
     for chunk in ([(1, 0, 100), (2, 0, 5_000), (1, 10, 300)], [(3, 1_000, 10)], [(4, 9_000, 10)]):
