@@ -68,9 +68,10 @@ def extract_user_text(
     slim = df.select(
         "conv_id", "turn", F.coalesce(F.expr(f"turn div {int(turns_per_block)}"), F.lit(-1)).alias("_block"), message_text(df, dialect, content).alias("_text"))
     # a line feed separates a message from what follows
-    said = slim.filter(F.col("conv_id").isNotNull() & F.col("_text").isNotNull()).withColumn("_units", utf16_units(F.col("_text")) + 1)
-    said = said.withColumn("_big", (F.col("_units") > half).cast("int"))
-    blocks = said.groupBy("conv_id", "_block").agg(F.sum("_units").alias("_units"), F.sum("_big").alias("_bigs"))
+    known = slim.filter(F.col("conv_id").isNotNull()).withColumn("_units", F.when(F.col("_text").isNotNull(), utf16_units(F.col("_text")) + 1).otherwise(0))
+    known = known.withColumn("_big", (F.col("_units") > half).cast("int"))
+    said = known.filter(F.col("_text").isNotNull())
+    blocks = known.groupBy("conv_id", "_block").agg(F.sum("_units").alias("_units"), F.sum("_big").alias("_bigs"))
     earlier = W.partitionBy("conv_id").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     carry = blocks.select(
         "conv_id", "_block", F.coalesce(F.sum("_units").over(earlier), F.lit(0)).alias("_carry"), F.coalesce(F.sum("_bigs").over(earlier), F.lit(0)).alias("_carry_bigs"))
@@ -85,7 +86,7 @@ def extract_user_text(
         "conv_id", (F.row_number().over(in_order) - 1).cast("bigint").alias("segment"), F.count(F.lit(1)).over(W.partitionBy("conv_id")).alias("n_segments"),
         F.col("offset_units").cast("bigint").alias("offset_units"), "user_text", "n_messages")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    silent = slim.filter(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.count("_text").alias("n_messages")).filter("n_messages = 0")
+    silent = blocks.groupBy("conv_id").agg(F.sum("_units").alias("_units")).filter("_units = 0")
     alone = slim.filter(F.col("conv_id").isNull())
     columns = lambda text, n: ["conv_id", zero.alias("segment"), one.alias("n_segments"), zero.alias("offset_units"), text.alias("user_text"), n.alias("n_messages")]
     return segments.unionByName(silent.select(columns(F.lit(""), zero))).unionByName(
