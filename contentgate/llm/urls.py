@@ -1,12 +1,13 @@
 """URL filters: host and path rules, and a character language-model ratio where no rule fits.
 
 Two smoothed variable-order Markov models, of the URLs that rules allow and of those that rules block, are counted over
-all such URLs outside the calibration fold. URLs are spelled with 32 symbols and contexts have up to two of them, so
-a model is a table of 32^3 numbers whatever the number of URLs. A context's distribution is mixed with that of the next shorter
-one in proportion to how many different symbols followed it (Witten-Bell), so rare contexts fall back by themselves.
+all such URLs outside the calibration fold, in the URLs' own characters. A character follows a context of up to ORDER
+characters. A context's distribution is mixed with that of the next shorter one in proportion to how many different characters
+followed it (Witten-Bell), so rare contexts fall back by themselves. The table of counts grows with the data.
 
-Everything is DataFrame operations. A URL is scored within its own row, by looking symbols up in the table, which goes into the
-plan as one literal: no row is shuffled or exploded to be judged.
+Everything is DataFrame operations. Each place of a URL is one row (the URL's number, the ORDER + 1 characters that end there), joined
+to the log ratio of these characters. Strings that hold more than a thousandth of all places are fewer than a thousand
+and are broadcast; the others are joined by shuffle, where no key can be a large share of the rows.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contentgate.llm.common import save
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# letters, any digit, slash, dot, any mark of a query, any joint, anything else
-SYMBOLS = LOWER + "0/.?-*"
-BASE = len(SYMBOLS)
-TABLE = BASE ** 3
+ORDER = 5  # characters of the longest context
+PAD = "\x02"  # stands before a URL's first character
+HOT = 1000  # strings with more than this part of all places are broadcast
 UNIT = 1000  # log ratios are whole thousandths
 WIDEST = 16000
 
@@ -47,64 +49,50 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[Column
     return name, verdict
 
 
-def spelled(url: Column) -> Column:
-    """The URL in SYMBOLS, behind two symbols of padding."""
-    s = F.translate(F.coalesce(url, F.lit("")), UPPER, LOWER)
-    for pattern, symbol in (("[0-9]", "0"), ("[?&=#%+:;]", "?"), ("[_~-]", "-"), ("[^a-z0/.?-]", "*")):
-        s = F.regexp_replace(s, pattern, symbol)
-    return F.concat(F.lit("**"), s)
-
-
 def held_back(url: Column) -> Column:
     """The calibration fold: three sixteenths of the distinct URLs."""
     return F.substring(F.md5(F.coalesce(url, F.lit("")).cast("binary")), 1, 1).isin("0", "1", "2")
 
 
-def codes(text: Column) -> Column:
-    """Numbers of all three-symbol strings, in order."""
-    at = F.transform(F.split(text, ""), lambda c: F.instr(F.lit(SYMBOLS), c) - 1)
-    # the outer step binds the list of symbols, which would otherwise be made anew for every string
-    return F.get(F.transform(F.array(at), lambda a: F.transform(
-        F.sequence(F.lit(0), F.length(text) - 3),
-        lambda i: F.get(a, i) * BASE * BASE + F.get(a, i + 1) * BASE + F.get(a, i + 2))), F.lit(0))
+def grams(url: Column) -> Column:
+    """The ORDER + 1 characters that end at each character of a URL, in one pass over it."""
+    return F.regexp_extract_all(F.concat(F.lit(PAD * ORDER), F.coalesce(url, F.lit(""))), F.lit(f"(?s)(?=(.{{{ORDER + 1}}}))."), F.lit(1))
 
 
-def table(train: DataFrame) -> DataFrame:
-    """code, ratio: log of allowed over blocked probability of every code's last symbol after its first two.
+def table(places: DataFrame) -> DataFrame:
+    """gram, n, ratio: log of allowed over blocked probability of a string's last character after the others, in thousandths.
 
-    `train`: spelled, verdict. What is shuffled is one count per code and task.
+    `places`: gram, and verdict where the URL is to be learned from (null elsewhere). Strings that only other URLs have are
+    in the table with no counts. A window holds the different characters after one context, never the places themselves.
     """
-    counted = (
-        train.filter(F.length("spelled") > 2).select("verdict", F.explode(codes(F.col("spelled"))).alias("code"))
-        .groupBy("code").agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block")))
-    cells = train.sparkSession.range(TABLE).withColumnRenamed("id", "code").join(counted, "code", "left").select(
-        "code", (F.col("code") % BASE).alias("x"), F.floor(F.col("code") / BASE).cast("bigint").alias("ab"),
-        (F.floor(F.col("code") / BASE).cast("bigint") % BASE).alias("b"),
-        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("allow", "block")])
-    over = {"abx": Window.partitionBy("code"), "ab": Window.partitionBy("ab"), "bx": Window.partitionBy("b", "x"),
-            "b": Window.partitionBy("b"), "x": Window.partitionBy("x"), "all": Window.partitionBy(F.lit(0))}
-    logs = {}
-    wide = cells
-    for c in ("allow", "block"):
-        for k in ("ab", "bx", "b", "x", "all"):
-            wide = wide.withColumn(f"{c}_{k}", F.sum(c).over(over[k]))
-        # different symbols after a context: every (b, x) is on BASE rows, every x on BASE^2
-        wide = wide.withColumn(f"{c}_t2", F.sum((F.col(c) > 0).cast("bigint")).over(over["ab"]))
-        wide = wide.withColumn(f"{c}_t1", F.sum((F.col(f"{c}_bx") > 0).cast("bigint")).over(over["b"]) / BASE)
-        wide = wide.withColumn(f"{c}_t0", F.sum((F.col(f"{c}_x") > 0).cast("bigint")).over(over["all"]) / (BASE * BASE))
-    for c in ("allow", "block"):
-        col = lambda k, c=c: F.col(f"{c}_{k}").cast("double")
-        p = (col("x") + (col("t0") + 1) / BASE) / (col("all") + col("t0") + 1)
-        p = F.when(col("b") > 0, (col("bx") + col("t1") * p) / F.greatest(col("b") + col("t1"), F.lit(1.0))).otherwise(p)
-        p = F.when(col("ab") > 0, (F.col(c) + col("t2") * p) / F.greatest(col("ab") + col("t2"), F.lit(1.0))).otherwise(p)
-        logs[c] = F.log(p)
-    return wide.select("code", F.round((logs["allow"] - logs["block"]) * UNIT).cast("bigint").alias("ratio"))
-
-
-def score(text: Column, model: Column) -> Column:
-    """Mean log ratio of a spelled URL's symbols in thousandths, rounded down; 0 for an empty URL."""
-    total = F.aggregate(codes(text), F.lit(0).cast("bigint"), lambda acc, code: acc + F.get(model, code))
-    return F.when(F.length(text) > 2, F.floor(total / (F.length(text) - 2)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    counted = save(places.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block")))
+    shorter = None
+    for k in range(ORDER + 1):
+        level = counted.groupBy(F.substring("gram", -(k + 1), k + 1).alias("gram")).agg(
+            *[F.sum(c).alias(c) for c in ("n", "allow", "block")])
+        after = Window.partitionBy(F.substring("gram", 1, k) if k else F.lit(""))
+        level = level.select("*", F.count(F.lit(1)).over(after).alias("v"), *[c for s in ("allow", "block") for c in (
+            F.sum(s).over(after).cast("double").alias(f"{s}_all"), F.sum((F.col(s) > 0).cast("bigint")).over(after).cast("double").alias(f"{s}_kinds"))])
+        if k:
+            level = level.withColumn("rest", F.substring("gram", 2, k)).join(shorter, "rest")
+        else:
+            level = level.withColumns({f"{s}_p": 1 / F.col("v").cast("double") for s in ("allow", "block")})
+        mixed = {s: F.when(F.col(f"{s}_all") > 0, (F.col(s) + F.col(f"{s}_kinds") * F.col(f"{s}_p")) / F.greatest(
+            F.col(f"{s}_all") + F.col(f"{s}_kinds"), F.lit(1.0))).otherwise(F.col(f"{s}_p")) for s in ("allow", "block")}
+        level = level.select("gram", "n", *[p.alias(f"{s}_p") for s, p in mixed.items()])
+        shorter = level.select(F.col("gram").alias("rest"), "allow_p", "block_p")
+    return save(level.select("gram", "n", F.round((F.log("allow_p") - F.log("block_p")) * UNIT).cast("bigint").alias("ratio")))
+
+
+def scores(places: DataFrame, model: DataFrame) -> DataFrame:
+    """uid, score: the mean log ratio over a URL's places in thousandths, rounded down."""
+    total = model.agg(F.sum("n")).first()[0] or 0
+    hot = model.filter(F.col("n") * HOT > total).select("gram", "ratio")  # fewer than HOT rows: their n add up to at most total
+    often = places.join(F.broadcast(hot), "gram").groupBy("uid").agg(F.sum("ratio").alias("ratio"), F.count(F.lit(1)).alias("n"))
+    seldom = places.join(F.broadcast(hot.select("gram")), "gram", "left_anti").join(
+        model.filter(F.col("n") * HOT <= total).select("gram", "ratio"), "gram").select("uid", "ratio", F.lit(1).cast("bigint").alias("n"))
+    return often.unionByName(seldom).groupBy("uid").agg(F.floor(F.sum("ratio") / F.sum("n")).cast("bigint").alias("score"))
 
 
 def threshold(scored: DataFrame) -> int:
@@ -129,58 +117,48 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id", ur
 
     A rule fits its host and all subdomains if the path starts with the rule's; the longest wins. Elsewhere a URL is allowed
     if its score reaches the threshold. A null URL, or one without ://, has empty host and path; a null or empty one scores 0.
-    Without rules' URLs of both verdicts nothing is learned: the table is even and the threshold 0, so all is allowed.
+    Without rules' URLs of both verdicts the threshold is 0. Without any, both models are even and all is allowed. Repeated rows count as often as they are there,
+    ids may repeat or be null: rows are told apart by a number of their own.
     """
     host, path = host_and_path(F.col("_url"))
     rows = pages.select(F.col(id_col), F.col(url_col).cast("string").alias("_url"))
     rows = rows.withColumns({"host": host, "path": path})
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "_rule_verdict": verdict})
-    ruled = rows.filter("_rule_verdict is not null").select("_url", F.col("_rule_verdict").alias("verdict"), spelled(F.col("_url")).alias("spelled"))
-    learned = table(ruled.filter(~held_back(F.col("_url")))).agg(F.sort_array(F.collect_list(F.struct("code", "ratio"))).alias("m"))
-    # TABLE numbers, whatever the data; a literal that the optimizer folds once
-    ratios = learned.select(F.array_join(F.transform("m", lambda r: r["ratio"].cast("string")), ",")).first()[0]
-    model = F.split(F.lit(ratios), ",").cast("array<bigint>")
-    cut = threshold(ruled.filter(held_back(F.col("_url"))).select("verdict", score(F.col("spelled"), model).alias("score")))
-    scored = rows.withColumn("score", score(spelled(F.col("_url")), model))
+    # the numbers hold for good once they are written
+    rows = save(rows.withColumns({"rule": rule, "_rule_verdict": verdict, "_held": held_back(F.col("_url")), "uid": F.monotonically_increasing_id()}))
+    places = rows.select("uid", F.when(~F.col("_held"), F.col("_rule_verdict")).alias("verdict"), F.explode(grams(F.col("_url"))).alias("gram"))
+    found = scores(places.select("uid", "gram"), table(places.select("gram", "verdict")))
+    scored = save(rows.join(found, "uid", "left").withColumn("score", F.coalesce("score", F.lit(0).cast("bigint"))).drop("uid", "_url"))
+    cut = threshold(scored.filter("_held and _rule_verdict is not null").select(F.col("_rule_verdict").alias("verdict"), "score"))
     return scored.select(
         F.col(id_col), "host", "path", "rule",
         F.coalesce("_rule_verdict", F.when(F.col("score") >= cut, F.lit("allow")).otherwise(F.lit("block"))).alias("verdict"), "score")
 
 
 def sql(pages: str, rules: tuple[Rule, ...]) -> str:
-    """The same in SQL."""
+    """The same in SQL, for pages with an id of their own each."""
     fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in ordered(rules)]
     pick = lambda k: "CASE " + " ".join(f"WHEN {f} THEN '{k(r)}'" for f, r in zip(fits, ordered(rules))) + " END"
-    sides = {c: f"""(CASE WHEN {c}_ab > 0 THEN ({c} + {c}_t2 * {c}_p1) / ({c}_ab + {c}_t2) ELSE {c}_p1 END)""" for c in ("allow", "block")}
-    p1 = {c: f"CASE WHEN {c}_b > 0 THEN ({c}_bx + {c}_t1 * {c}_p0) / ({c}_b + {c}_t1) ELSE {c}_p0 END AS {c}_p1" for c in sides}
-    p0 = {c: f"({c}_x + ({c}_t0 + 1) / {BASE}.0::DOUBLE) / ({c}_all + {c}_t0 + 1) AS {c}_p0" for c in sides}
-    sums = ", ".join(f"sum({c}) OVER (PARTITION BY {by or 'NULL'})::DOUBLE AS {c}_{k}" for c in sides
-                     for k, by in (("ab", "code // 32"), ("bx", "code % 1024"), ("b", "code // 32 % 32"), ("x", "code % 32"), ("all", "")))
-    kinds = ", ".join(
-        f"sum(({c} > 0)::INT) OVER (PARTITION BY code // 32)::DOUBLE AS {c}_t2, sum(({c}_bx > 0)::INT) OVER (PARTITION BY code // 32 % 32)::DOUBLE / {BASE} AS {c}_t1, "
-        f"sum(({c}_x > 0)::INT) OVER ()::DOUBLE / {BASE * BASE} AS {c}_t0" for c in sides)
+    levels = []
+    for k in range(ORDER + 1):
+        lower = f"JOIN p{k - 1} q ON q.gram = substr(l.gram, 2)" if k else ""
+        mixed = ", ".join(
+            f"CASE WHEN sum(l.{s}) OVER w > 0 THEN (l.{s} + (count(*) FILTER (l.{s} > 0) OVER w) * {base})::DOUBLE / (sum(l.{s}) OVER w + count(*) FILTER (l.{s} > 0) OVER w)::DOUBLE"
+            f" ELSE {base} END AS {s}_p" for s in ("allow", "block") for base in [f"q.{s}_p" if k else "(1 / (count(*) OVER w)::DOUBLE)"])
+        levels.append(f"""p{k} AS MATERIALIZED (SELECT l.gram, {mixed} FROM (SELECT right(gram, {k + 1}) AS gram, sum(allow) AS allow, sum(block) AS block FROM c GROUP BY 1) l {lower}
+    WINDOW w AS (PARTITION BY left(l.gram, {k})))""")
     return f"""
 WITH u AS (SELECT page_id, coalesce(url, '') AS url,
     CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {pages}),
 h AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
     regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
 r AS (SELECT *, {pick(lambda r: r[0] + r[1])} AS rule, {pick(lambda r: r[2])} AS rv, substr(md5(url), 1, 1) IN ('0', '1', '2') AS held,
-    '**' || regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(url, '{UPPER}', '{LOWER}'), '[0-9]', '0', 'g'),
-    '[?&=#%+:;]', '?', 'g'), '[_~-]', '-', 'g'), '[^a-z0/.?-]', '*', 'g') AS s FROM h),
-g AS (SELECT page_id, rv, held, length(s) - 2 AS n, unnest(list_transform(range(1, length(s) - 1), lambda i:
-    (instr('{SYMBOLS}', substr(s, i, 1)) - 1) * 1024 + (instr('{SYMBOLS}', substr(s, i + 1, 1)) - 1) * 32 + instr('{SYMBOLS}', substr(s, i + 2, 1)) - 1)) AS code
-    FROM r),
-c AS (SELECT code, count(*) FILTER (rv = 'allow') AS allow, count(*) FILTER (rv = 'block') AS block FROM g
-    WHERE rv IS NOT NULL AND NOT held GROUP BY code),
-w AS (SELECT code, coalesce(allow, 0)::DOUBLE AS allow, coalesce(block, 0)::DOUBLE AS block FROM range({TABLE}) t(code) LEFT JOIN c USING (code)),
-w1 AS (SELECT *, {sums} FROM w),
-w2 AS (SELECT *, {kinds} FROM w1),
-w3 AS (SELECT *, {p0['allow']}, {p0['block']} FROM w2),
-w4 AS (SELECT *, {p1['allow']}, {p1['block']} FROM w3),
-m AS (SELECT code, round((ln({sides['allow']}) - ln({sides['block']})) * {UNIT})::BIGINT AS ratio FROM w4),
-f AS (SELECT page_id, any_value(rv) AS rv, any_value(held) AS held, floor(sum(ratio) / any_value(n)::DOUBLE)::BIGINT AS score
-    FROM g JOIN m USING (code) GROUP BY page_id),
+    repeat(chr(2), {ORDER}) || url AS s FROM h),
+g AS MATERIALIZED (SELECT page_id, CASE WHEN NOT held THEN rv END AS verdict, unnest(list_transform(range(1, length(url) + 1), lambda i: substr(s, i, {ORDER + 1}))) AS gram FROM r),
+c AS MATERIALIZED (SELECT gram, count(*) FILTER (verdict = 'allow') AS allow, count(*) FILTER (verdict = 'block') AS block FROM g GROUP BY gram),
+{", ".join(levels)},
+m AS (SELECT gram, round((ln(allow_p) - ln(block_p)) * {UNIT})::BIGINT AS ratio FROM p{ORDER}),
+f AS (SELECT page_id, floor(sum(ratio)::DOUBLE / count(*))::BIGINT AS score FROM g JOIN m USING (gram) GROUP BY page_id),
 z AS (SELECT r.*, coalesce(f.score, 0) AS score FROM r LEFT JOIN f USING (page_id)),
 b AS (SELECT greatest(least(score, {WIDEST}), -{WIDEST}) AS score, count(*) FILTER (rv = 'allow') AS a, count(*) FILTER (rv = 'block') AS b
     FROM z WHERE held AND rv IS NOT NULL GROUP BY 1),
