@@ -68,6 +68,26 @@ def stream_token_bucket(spark, sf_dir):
     return _finish(spark, buckets.token_bucket_stream(requests, rpm=10))
 
 
+_RATES = "CASE event_type WHEN 'view' THEN 20 WHEN 'click' THEN 50 WHEN 'error' THEN NULL ELSE 40 END"
+
+
+@query(
+    "stream_token_bucket_settled",
+    f"""
+SELECT request_id, api_key, ms, {_RATES.replace('event_type', 'api_key')} AS rpm, allowed, remaining, retry_after_ms
+FROM ({_BUCKET_SQL.format(rpm=_RATES, squeeze=1000)})
+WHERE api_key <> 'error' AND (ms // 60000 + 1) * 60000 <= (SELECT max((epoch_us(ts) // 1000) // 1000) FROM events WHERE event_type <> 'error') - 60000
+UNION ALL
+SELECT event_id, event_type, (epoch_us(ts) // 1000) // 1000, NULL, TRUE, NULL, NULL FROM events WHERE event_type = 'error'""",
+)
+def stream_token_bucket_settled(spark, sf_dir):
+    """A rate per key, one without a limit; what the watermark has not passed is still open."""
+    requests = _stream(spark, sf_dir, "events").select(
+        F.col("event_type").alias("api_key"), F.col("event_id").alias("request_id"),
+        F.expr("unix_millis(ts) div 1000").alias("ms"), F.expr(_RATES).alias("rpm"))
+    return _finish(spark, buckets.settled_bucket_stream(requests, rpm=F.col("rpm")))
+
+
 @query(
     "stream_session_risk",
     f"""

@@ -1,16 +1,19 @@
-"""Token buckets over a stream of requests."""
+"""Token buckets over a stream of requests: answered on arrival, or in time order behind the watermark."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from contentgate.operators.metering import DEFAULT_RPM, TOKEN
+from contentgate.operators.metering import DEFAULT_RPM, REFILL_MS, TOKEN
+from contentgate.streaming.ordered import InOrder
 
 
 class Bucket(StatefulProcessor):
@@ -75,3 +78,75 @@ def token_bucket_stream(requests: DataFrame, rpm: int = DEFAULT_RPM) -> DataFram
     return requests.groupBy("api_key").transformWithStateInPandas(
         statefulProcessor=Bucket(rpm), outputStructType=output, outputMode="Append", timeMode="None"
     )
+
+
+ANSWER = "allowed boolean, remaining bigint, retry_after_ms bigint"
+
+
+class SettledBucket(InOrder):
+    """State per key: units in the bucket and the time they were counted, while it may be less than full.
+
+    A minute after its last request a bucket is full at any rate, so then its state is removed: a key without a
+    bucket has a full one. A request that comes after later ones were charged is charged without a refill.
+    """
+
+    def __init__(self, width_ms: int, id_type: str):
+        super().__init__(width_ms)
+        self.fields = [("ms", "bigint"), ("request_id", id_type), ("rpm", "bigint")]
+
+    def begin(self, handle: StatefulProcessorHandle) -> None:
+        self.bucket = handle.getValueState("bucket", "units bigint, last bigint")
+
+    def settle(self, key: Any, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        units, last = (int(v) for v in self.bucket.get()) if self.bucket.exists() else (None, None)
+        answers = []
+        for ms, group in groupby(rows, key=lambda row: row[0]):
+            group = list(group)
+            rate = max(rpm for _, _, rpm in group)
+            units = rate * TOKEN if units is None else min(rate * TOKEN, units + max(0, ms - last) * rate)
+            last = ms if last is None else max(last, ms)
+            granted = units // TOKEN
+            short = TOKEN - (units - min(granted, len(group)) * TOKEN)
+            for place, (_, request, rpm) in enumerate(group, 1):
+                yes = place <= granted
+                answers.append((key[0], request, ms, rpm, yes, (units - place * TOKEN) // TOKEN if yes else 0, None if yes else -(-short // rpm)))
+            units -= min(granted, len(group)) * TOKEN
+        self.bucket.update((units, last))
+        out = pd.DataFrame(answers, columns=["api_key", "request_id", "ms", "rpm", "allowed", "remaining", "retry_after_ms"], dtype=object)
+        yield out.astype({"ms": "int64", "rpm": "int64", "allowed": "bool", "remaining": "int64", "retry_after_ms": "Int64"})
+
+    def quiet(self, key: Any, settled: int) -> Iterator[pd.DataFrame]:
+        if self.bucket.exists():
+            last = int(self.bucket.get()[1])
+            if last + REFILL_MS < settled:
+                self.bucket.clear()
+            else:
+                self.wake(last + REFILL_MS, self.watermark_ms)
+        yield from ()
+
+
+def settled_bucket_stream(requests: DataFrame, rpm: int | Column = DEFAULT_RPM, delay: str = "1 minute", width_ms: int = REFILL_MS) -> DataFrame:
+    """Requests (api_key, request_id, ms) with rpm, allowed, remaining and retry_after_ms, as the batch replay gives them.
+
+    Answers are final: a request is charged in the order of (ms, request_id) once the watermark, `delay` behind the newest
+    ms, has passed the end of its slot of `width_ms`. So the result is that of `token_bucket` however the rows
+    are dealt to micro-batches, as long as none is later than `delay`; later ones are charged on arrival, without refill,
+    and no row is lost. The rate is a column: NULL is no limit, 0 or less bars the key. Both, and requests without a time, are
+    answered at once and need no state.
+    """
+    kinds = {name: requests.schema[name].dataType.simpleString() for name in ("api_key", "request_id")}
+    rate = F.lit(rpm) if isinstance(rpm, int) else rpm
+    rows = requests.select("api_key", "request_id", F.col("ms").cast("bigint").alias("ms"), rate.cast("bigint").alias("rpm"))
+    charged = F.col("ms").isNotNull() & F.coalesce(F.col("rpm") > 0, F.lit(False))
+    limited = rows.filter(charged).withColumn("ts", F.timestamp_millis("ms")).withWatermark("ts", delay)
+    # without the event time among the columns Spark advances the watermark but drops no late row
+    settled = limited.select("api_key", "request_id", "ms", "rpm").groupBy("api_key").transformWithStateInPandas(
+        statefulProcessor=SettledBucket(width_ms, kinds["request_id"]),
+        outputStructType=f"api_key {kinds['api_key']}, request_id {kinds['request_id']}, ms bigint, rpm bigint, {ANSWER}",
+        outputMode="Append", timeMode="EventTime")
+    timed = F.col("ms").isNotNull()
+    others = rows.filter(~charged).select(
+        "*", F.when(timed, F.col("rpm").isNull()).alias("allowed"),
+        F.when(timed & F.col("rpm").isNotNull(), F.lit(0)).cast("bigint").alias("remaining"),
+        F.lit(None).cast("bigint").alias("retry_after_ms"))
+    return settled.unionByName(others)

@@ -74,6 +74,48 @@ def test_a_late_request_is_charged_without_refill(spark, tmp_path):
     assert got == {1: True, 2: True, 3: False, 4: True}
 
 
+def _settled(spark, tmp_path, chunks, name, schema="ms bigint, api_key string, request_id bigint, rate int", per_run=False):
+    """Answers over one micro-batch per chunk (and one run per chunk, if asked)."""
+    source, empty = str(tmp_path / f"{name}-in"), spark.createDataFrame([], schema).schema
+    for chunk in chunks:
+        spark.createDataFrame(chunk, schema).coalesce(1).write.mode("append").parquet(source)
+        if per_run:
+            run(buckets.settled_bucket_stream(read_stream(spark, source, empty), F.col("rate"), "60 seconds"), str(tmp_path), name)
+    if not per_run:
+        run(buckets.settled_bucket_stream(read_stream(spark, source, empty, files_per_trigger=1), F.col("rate"), "60 seconds"), str(tmp_path), name)
+    return spark.read.parquet(str(tmp_path / name))
+
+
+def test_settled_buckets_equal_the_replay_for_any_split(spark, tmp_path):
+    rng = random.Random(12)
+    rates = {"hot": 30, "b": 200, "free": None, "barred": 0}
+    rows = [(ms, k, i, rates[k]) for i in range(1_500) for ms, k in [(rng.randrange(300_000), rng.choice(["hot", "hot", "hot", *rates]))]]
+    rows += [(ms, "pause", 5_000 + i, 1) for i, ms in enumerate([0, 0, 59_999, 60_000, 185_000, 185_001])]
+    rows += [(70_000, "hot", i, 30) for i in range(6_000, 6_100)] + [(None, "hot", 7_000, 30), (5, None, 7_001, 3), (5, None, 7_002, 3)]
+    rows.append((10**7, "end", 9_999, 1))  # moves the watermark past the others
+    # dealt out of order, but none later than the delay
+    timed = sorted([(r[0] or 0) + rng.randrange(40_000), r] for r in rows)
+    ordered = [r for _, r in timed]
+    schema = "ms bigint, api_key string, request_id bigint, rate int"
+    batch = metering.token_bucket(spark.createDataFrame(rows, schema), rpm=F.col("rate"))
+    want = sorted((tuple(r) for r in batch.select("request_id", "allowed", "remaining", "retry_after_ms").collect() if r[0] != 9_999))
+    assert any(r[1] is False and r[3] for r in want)
+    for name, size, per_run in (("one", 10_000, False), ("few", 400, False), ("runs", 600, True)):
+        got = _settled(spark, tmp_path, [ordered[k:k + size] for k in range(0, len(ordered), size)], name, per_run=per_run)
+        assert sorted(tuple(r) for r in got.select("request_id", "allowed", "remaining", "retry_after_ms").collect() if r[0] != 9_999) == want
+
+
+def test_settled_buckets_forget_full_ones_and_charge_late_rows(spark, tmp_path):
+    chunks = [[(1_000, "k", 1, 1), (1_000, "k", 2, 1), (500_000, "other", 3, 1)], [(2_000, "k", 4, 1), (3_000, "other", 5, 1), (800_000, "x", 6, 1)], [(905_000, "x", 7, 1)]]
+    got = {r.request_id: r.allowed for r in _settled(spark, tmp_path, chunks, "late", per_run=True).collect()}
+    # 2 is over the limit; 4 comes when k's bucket is full and forgotten; 5 is charged before 3, which is not settled by then
+    assert got == {1: True, 2: False, 4: True, 5: True, 3: True, 6: True}
+    left = spark.read.format("statestore").option("stateVarName", "bucket").load(str(tmp_path / "late-checkpoint"))
+    assert [r.key.api_key for r in left.select("key").collect()] == ["x"]  # k and other are full again
+    pending = spark.read.format("statestore").option("stateVarName", "slots").load(str(tmp_path / "late-checkpoint"))
+    assert pending.count() == 1
+
+
 def _timed(spark, rows, names):
     df = spark.createDataFrame(rows, "k bigint, s bigint, n bigint")
     return df.select(F.col("k").alias(names[0]), F.timestamp_seconds(F.col("s") + START).alias("ts"), F.col("n").alias(names[1]))
