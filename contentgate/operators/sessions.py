@@ -85,6 +85,28 @@ def text_digest(text: Column) -> Column:
     return F.sha2(F.lower(F.regexp_replace(text, "[ \\t\\n\\r]+", " ")), 256)
 
 
+def matches(n_blocked: Column, type_lo: Column, type_hi: Column, replayed: Column) -> Column:
+    """The patterns that a session's numbers match, as an array of structs."""
+    tests = {"repeat_offender": n_blocked >= 3, "probing": type_lo != type_hi, "replay": replayed}
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    tests[pid],
+                    F.struct(
+                        F.lit(pid).alias("pattern_id"),
+                        F.lit(name).alias("pattern_name"),
+                        F.lit(category).alias("category"),
+                        F.lit(confidence).alias("confidence"),
+                        F.lit(text).alias("description"),
+                    ),
+                )
+                for pid, name, category, confidence, text in PATTERNS
+            ]
+        )
+    )
+
+
 def session_patterns(verdicts: DataFrame) -> DataFrame:
     """Multi-turn patterns per session, one row per match.
 
@@ -106,26 +128,4 @@ def session_patterns(verdicts: DataFrame) -> DataFrame:
         F.max(F.array_max("types")).alias("type_hi"),
         F.min(F.array_min("types")).alias("type_lo"),
     )
-    tests = {
-        "repeat_offender": F.col("n_blocked") >= 3,
-        "probing": F.col("type_lo") != F.col("type_hi"),
-        "replay": F.col("replayed"),
-    }
-    found = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    tests[pid],
-                    F.struct(
-                        F.lit(pid).alias("pattern_id"),
-                        F.lit(name).alias("pattern_name"),
-                        F.lit(category).alias("category"),
-                        F.lit(confidence).alias("confidence"),
-                        F.lit(text).alias("description"),
-                    ),
-                )
-                for pid, name, category, confidence, text in PATTERNS
-            ]
-        )
-    )
-    return per_session.select("session_id", F.inline(found))
+    return per_session.select("session_id", F.inline(matches(F.col("n_blocked"), F.col("type_lo"), F.col("type_hi"), F.col("replayed"))))

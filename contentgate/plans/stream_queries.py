@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contentgate.functions import rules as R
+from contentgate.operators.sessions import PATTERNS
 from contentgate.plans.record_queries import _BUCKET_SQL, _SESSIONS, US
-from contentgate.plans.registered import ORACLES, query
+from contentgate.plans.registered import ORACLES, query, values_rows
 from contentgate.plans.text_queries import PROMPT
 from contentgate.session import configure, shared_dir
 from contentgate.sources import items as I
@@ -104,6 +105,29 @@ def stream_session_risk(spark, sf_dir):
     return _finish(spark, risk.session_risk_stream(verdicts))
 
 
+@query(
+    "stream_session_patterns",
+    f"""
+WITH e AS (SELECT user_id, event_id, {US} // 100 AS us, (event_id % 5)::VARCHAR AS digest,
+    CASE WHEN event_type = 'error' THEN 'prompt_injection' WHEN event_id % 11 = 0 THEN 'data_leak' END AS tt FROM events),
+n AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY user_id ORDER BY us, event_id) <= 600000000 THEN 0 ELSE 1 END AS starts FROM e),
+v AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS no FROM n),
+d AS (SELECT user_id, no, digest, min(us) AS first_us, max(us) AS last_us, count(tt) AS blocked, min(tt) AS lo, max(tt) AS hi,
+    coalesce(max(us) > min(us) FILTER (tt IS NOT NULL), FALSE) AS again FROM v GROUP BY ALL),
+s AS (SELECT user_id, min(first_us) AS first_us, sum(blocked) AS blocked, min(lo) AS lo, max(hi) AS hi, bool_or(again) AS again FROM d GROUP BY user_id, no
+    HAVING ((max(last_us) + 600000000) // 300000000 + 1) * 300000000 <= ((SELECT max(us) FROM e) // 1000 - 600000) * 1000)
+SELECT user_id, first_us, pattern_id, pattern_name, category, confidence::DOUBLE AS confidence, description
+FROM s JOIN (VALUES {values_rows(PATTERNS)}) p(pattern_id, pattern_name, category, confidence, description)
+  ON CASE pattern_id WHEN 'repeat_offender' THEN blocked >= 3 WHEN 'probing' THEN lo <> hi ELSE again END""",
+)
+def stream_session_patterns(spark, sf_dir):
+    """A clock a hundred times as fast, so that sessions have several turns."""
+    verdicts = _stream(spark, sf_dir, "events").select(
+        "user_id", F.expr("timestamp_micros(unix_micros(ts) div 100)").alias("ts"), (F.col("event_id") % 5).cast("string").alias("digest"),
+        F.when(F.col("event_type") == "error", "prompt_injection").when(F.col("event_id") % 11 == 0, "data_leak").alias("threat_type"))
+    return _finish(spark, risk.session_patterns_stream(verdicts.withColumn("safe", F.col("threat_type").isNull()), gap_us=600_000_000))
+
+
 @query(
     "stream_liveness",
     f"""

@@ -1,11 +1,17 @@
-"""Session risk over a stream of verdicts."""
+"""Session risk and multi-turn patterns over a stream of verdicts."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
-from contentgate.operators.sessions import RISK_WEIGHTS
+from contentgate.operators.sessions import RISK_WEIGHTS, SESSION_GAP_US, matches
+from contentgate.streaming.ordered import InOrder
 
 
 def session_risk_stream(verdicts: DataFrame, key: str = "user_id", clock: str = "ts", gap: str = "30 minutes",
@@ -29,3 +35,80 @@ def session_risk_stream(verdicts: DataFrame, key: str = "user_id", clock: str =
         "n_requests",
         F.round(1.0 - quiet, 6).alias("session_risk_score"),
     )
+
+
+SESSION = ["first_us", "last_us", "n_blocked", "type_lo", "type_hi", "replayed"]
+
+
+class OpenSession(InOrder):
+    """State per key: the numbers of its open session, and when each blocked text was first blocked in it.
+
+    Texts are kept as digests, and only those that were blocked, in a map state that is cleared with the session. A row
+    that comes after later ones were taken joins the session then open, or begins one.
+    """
+
+    fields = [("us", "bigint"), ("digest", "string"), ("unsafe", "boolean"), ("threat_type", "string")]
+    per_ms = 1000
+
+    def __init__(self, width_ms: int, gap_us: int):
+        super().__init__(width_ms)
+        self.gap_us = gap_us
+
+    def begin(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getValueState("open", "first_us bigint, last_us bigint, n_blocked bigint, type_lo string, type_hi string, replayed boolean")
+        self.blocks = handle.getMapState("blocks", "digest string", "us bigint")
+
+    def finished(self, key: Any, session: tuple) -> pd.DataFrame:
+        self.open.clear()
+        self.blocks.clear()
+        out = pd.DataFrame([(key[0], *session)], columns=["key", *SESSION], dtype=object)
+        return out.astype({"first_us": "int64", "last_us": "int64", "n_blocked": "int64", "replayed": "bool"})
+
+    def settle(self, key: Any, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        session = tuple(self.open.get()) if self.open.exists() else None
+        for us, digest, unsafe, threat in rows:
+            if session is not None and us - session[1] > self.gap_us:
+                yield self.finished(key, session)
+                session = None
+            first, last, blocked, lo, hi, replayed = session or (us, us, 0, None, None, False)
+            begun = int(self.blocks.getValue((digest,))[0]) if self.blocks.containsKey((digest,)) else None
+            if unsafe:
+                blocked += 1
+                if threat is not None:
+                    lo, hi = min(threat, lo or threat), max(threat, hi or threat)
+                if begun is None or us < begun:
+                    self.blocks.updateValue((digest,), (us,))
+            # a text is replayed if it is there later than its first block
+            session = (min(first, us), max(last, us), blocked, lo, hi, replayed or (begun is not None and us > begun))
+        if session is not None:
+            self.open.update(session)
+
+    def quiet(self, key: Any, settled: int) -> Iterator[pd.DataFrame]:
+        if self.open.exists():
+            session = tuple(self.open.get())
+            if session[1] + self.gap_us < settled:
+                yield self.finished(key, session)
+            else:
+                self.wake(session[1] + self.gap_us, self.watermark_ms)
+
+
+def session_patterns_stream(verdicts: DataFrame, key: str = "user_id", clock: str = "ts", gap_us: int = SESSION_GAP_US,
+                            delay: str = "10 minutes", width_ms: int = 300_000) -> DataFrame:
+    """What `session_patterns` finds, per session of activity, once the watermark says that it is over.
+
+    Reads the key, a timestamp, safe, threat_type and digest; gives the key, first_us and the columns of a pattern. Rows are taken
+    in time order, so a replay is judged as in the batch form however rows arrive within `delay`. Two events exactly a gap apart
+    share a session. Rows without a time belong to no session; a null digest is a text like any other; null `safe` is not unsafe.
+    """
+    kind = verdicts.schema[key].dataType.simpleString()
+    timed = verdicts.filter(F.col(clock).isNotNull()).withWatermark(clock, delay)
+    # without the event time among the columns Spark advances the watermark but drops no late row
+    rows = timed.select(
+        F.col(key).alias("key"), F.unix_micros(clock).alias("us"), F.coalesce(F.concat(F.lit("="), "digest"), F.lit("")).alias("digest"),
+        F.coalesce(~F.col("safe"), F.lit(False)).alias("unsafe"), "threat_type")
+    sessions = rows.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=OpenSession(width_ms, gap_us),
+        outputStructType=f"key {kind}, first_us bigint, last_us bigint, n_blocked bigint, type_lo string, type_hi string, replayed boolean",
+        outputMode="Append", timeMode="EventTime")
+    return sessions.select(
+        F.col("key").alias(key), "first_us", F.inline(matches(F.col("n_blocked"), F.col("type_lo"), F.col("type_hi"), F.col("replayed"))))

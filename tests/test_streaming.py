@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from contentgate.functions import rules as R
-from contentgate.operators import metering
+from contentgate.operators import metering, sessions
 from contentgate.sources import items as I
 from contentgate.sources.results import read_gated
 from contentgate.streaming import buckets, gate, risk, timers
@@ -116,6 +116,38 @@ def test_settled_buckets_forget_full_ones_and_charge_late_rows(spark, tmp_path):
     assert pending.count() == 1
 
 
+def test_session_patterns_equal_the_batch_for_any_split(spark, tmp_path):
+    rng = random.Random(13)
+    gap, schema = 60, "k string, s bigint, n bigint, safe boolean, threat_type string, digest string"
+    rows = []
+    for n in range(900):  # a hot key; ties; texts that come again before, with and after their block
+        safe = rng.random() < 0.7
+        rows.append((rng.choice(["hot", "hot", "hot", "b", "c", None]), rng.choice([rng.randrange(9_000), 30 * rng.randrange(300)]), n,
+                     rng.choice([safe, safe, None]), None if safe else rng.choice(["x", "x", "y", None]), rng.choice([None, *"abcdefghij"])))
+    rows += [("never", s, 1_000 + s, False, "x", "a") for s in (0, 60, 121, 182, 242, 302)]  # 60 joins, 61 parts
+    dealt = [r for _, _, r in sorted((r[1] + rng.randrange(500), i, r) for i, r in enumerate(rows))] + [("end", 10**6, 9_999, True, None, "a")]
+
+    def timed(df):
+        return df.select("*", F.timestamp_seconds(F.col("s") + START).alias("ts"))
+
+    batch = timed(spark.createDataFrame(rows, schema)).withColumns({"us": F.unix_micros("ts"), "_k": F.coalesce("k", F.lit("-"))})
+    placed = sessions.assign_sessions(batch, "_k", "us", gap * 1_000_000)
+    named = placed.select(F.concat_ws("|", "_k", "session_no").alias("session_id"), "_k", "us", F.col("us").alias("clock"), "safe", "threat_type", "digest")
+    firsts = named.groupBy("session_id").agg(F.min("_k").alias("k"), F.min("us").alias("first_us"))
+    want = sorted(tuple(r) for r in sessions.session_patterns(named).join(firsts, "session_id").select("k", "first_us", "pattern_id", "confidence").collect())
+    assert {w[2] for w in want} == {"repeat_offender", "probing", "replay"}
+    for name, size in (("one", 2_000), ("few", 230)):
+        source, empty = str(tmp_path / f"{name}-in"), spark.createDataFrame([], schema).schema
+        for at in range(0, len(dealt), size):
+            spark.createDataFrame(dealt[at:at + size], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = timed(read_stream(spark, source, empty, files_per_trigger=1))
+        run(risk.session_patterns_stream(stream, "k", gap_us=gap * 1_000_000, width_ms=20_000), str(tmp_path), name)
+        got = spark.read.parquet(str(tmp_path / name)).withColumn("k", F.coalesce("k", F.lit("-")))
+        assert sorted(tuple(r) for r in got.select("k", "first_us", "pattern_id", "confidence").collect()) == want
+        kept = spark.read.format("statestore").option("stateVarName", "blocks").load(str(tmp_path / f"{name}-checkpoint"))
+        assert kept.count() == 0
+
+
 def _timed(spark, rows, names):
     df = spark.createDataFrame(rows, "k bigint, s bigint, n bigint")
     return df.select(F.col("k").alias(names[0]), F.timestamp_seconds(F.col("s") + START).alias("ts"), F.col("n").alias(names[1]))
