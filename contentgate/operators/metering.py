@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from contentgate.functions.taxonomy import literal_map
 from contentgate.operators.keyed import floor_div
+from contentgate.session import shared_dir
 
 # Limits per tier, and the default client limit.
 TIER_QUOTAS = {"community": 1_000, "pro": 25_000, "enterprise": 1_000_000}
@@ -49,30 +50,50 @@ def monthly_usage(requests: DataFrame, tiers: DataFrame, clock: str = "ts") -> D
     )
 
 
+def _carried(rows: DataFrame, group: list[str], part: str) -> DataFrame:
+    """Per (group, part): how many rows of the group come before it (from ``_base``), and whether a quota may end inside it."""
+    counts = rows.groupBy(*group, part).agg(
+        F.min("_base").alias("_base"), F.count(F.lit(1)).alias("_n"), F.min("quota").alias("_least"), F.max("quota").alias("_most"))
+    earlier = W.partitionBy(*group).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    before = F.col("_base") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    inside = (F.col("_most") > F.col("_before")) & (F.col("_least") < F.col("_before") + F.col("_n"))
+    return counts.withColumn("_before", before).select(*group, part, "_before", F.coalesce(inside, F.lit(False)).alias("_inside"))
+
+
 def quota_rows(requests: DataFrame, quota: Column, clock: str = "ts") -> DataFrame:
     """Mark the production requests of a key past its monthly quota, in (time, id) order.
 
-    Two levels: counts per (key, month, minute) and their running sum settle every minute
-    that lies wholly within or past the quota; only positions inside a minute need a sort,
-    and the sort is by (key, month, minute), so one busy key is many small groups.
-    ``quota`` is evaluated on the request row and must be the same for a key.
+    The request that exhausts a quota is looked for in ever smaller parts. Counts per (key, month, minute) and their running
+    sum settle every minute that lies wholly within or past the quota. The minutes in which a quota ends, one per key and month
+    if the quota is the same for all rows of a key, are cut at sampled splitters of (key, month, time, id) into pieces
+    of like size, whatever a minute holds, and saved in the shared folder; counts per piece settle all pieces but those
+    in which a quota ends. Only these are sorted. ``quota`` is evaluated on the request row. A request without a time has no
+    month and is past no quota.
     """
     live = requests.filter(F.coalesce(F.col("mode"), F.lit("production")) != "sandbox").select(
         "request_id", "api_key", F.coalesce("api_key", F.lit("")).alias("_key"), F.col(clock).alias("_ts"), quota.cast("bigint").alias("quota"),
         month_of(F.col(clock)).alias("month"),
         F.date_trunc("minute", F.col(clock)).alias("_minute"),
     )
-    group = ["_key", "month", "_minute"]
-    counts = live.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = W.partitionBy("_key", "month").orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
-    carry = counts.select(*group, "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    placed = live.join(carry, group, "left").withColumn(
-        "_rank", F.row_number().over(W.partitionBy(*group).orderBy("_ts", "request_id"))
-    )
-    return placed.select(
-        "request_id", "api_key", "month",
-        F.coalesce(F.col("_before") + F.col("_rank") > F.col("quota"), F.lit(False)).alias("over_quota"),
-    )
+    past = F.coalesce(F.col("_before") >= F.col("quota"), F.lit(False)).alias("over_quota")
+    minutes = ["_key", "month", "_minute"]
+    placed = live.join(_carried(live.withColumn("_base", F.lit(0).cast("bigint")), minutes[:2], "_minute"), minutes, "left")
+    settled = placed.filter(~F.coalesce("_inside", F.lit(False))).select("request_id", "api_key", "month", past)
+
+    order = ["_ts", "request_id", "_tie"]  # rows alike in all of these are apart by their number
+    split = (
+        placed.filter("_inside").select(*live.columns, F.col("_before").alias("_base"), F.monotonically_increasing_id().alias("_tie"))
+        .repartitionByRange(*minutes, *order).withColumn("_piece", F.spark_partition_id()))
+    path = shared_dir(requests.sparkSession)  # counted and read again with the same pieces
+    split.write.parquet(path)
+    pieces = requests.sparkSession.read.schema(split.schema).parquet(path)
+    cut = [*minutes, "_piece"]
+    placed = pieces.join(_carried(pieces, minutes, "_piece"), cut)
+    whole = placed.filter(~F.col("_inside")).select("request_id", "api_key", "month", past)
+    rank = F.row_number().over(W.partitionBy(*cut).orderBy(*order))
+    ends = placed.filter("_inside").withColumn("_rank", rank).select(
+        "request_id", "api_key", "month", F.coalesce(F.col("_before") + F.col("_rank") > F.col("quota"), F.lit(False)).alias("over_quota"))
+    return settled.unionByName(whole).unionByName(ends)
 
 
 def fold_runs(groups: DataFrame) -> DataFrame:

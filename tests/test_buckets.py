@@ -169,3 +169,22 @@ def test_sandbox_requests_are_not_metered(spark):
     row = metering.monthly_usage(df, tiers).first()
     assert (row.n_scans, row.quota, row.over_quota) == (1, 1000, False)
     assert metering.quota_rows(df, F.lit(0)).count() == 1
+
+
+def test_quota_that_ends_in_a_hot_minute(spark):
+    """One minute holds most rows, at distinct and at equal times; the quota's end is looked for in a piece of it."""
+    rng = random.Random(8)
+    rows = [("hot", "2024-01-05 10:00:%02d.%03d" % (rng.randrange(60), rng.randrange(40)), i) for i in range(4_000)]
+    rows += [("hot", "2024-01-05 10:00:30.500", i) for i in range(5_000, 9_000)] + [("hot", "2024-01-05 10:00:30.500", 42)] * 500
+    rows += [("hot", f"2024-01-{d:02d} 09:00:00", 10_000 + d) for d in range(1, 30)] + [("b", "2024-01-05 10:00:01", i) for i in range(20)]
+    rows += [(None, "2024-01-05 10:00:01", i) for i in range(9)] + [("hot", "2024-02-01 00:00:00", 1), ("hot", None, 2)]
+    df = spark.createDataFrame([(k, t, i, None) for k, t, i in rows], "api_key string, t string, request_id bigint, mode string").withColumn("ts", F.to_timestamp("t"))
+    for quotas in ({"hot": 5_000, "b": 7}, {"hot": 3}, {"hot": 10**6, "b": 0}, {"hot": 8_517, "b": 20}):
+        limit = F.when(F.col("api_key") == "hot", quotas["hot"]).when(F.col("api_key") == "b", quotas.get("b"))
+        got = sorted(((r.api_key or "", r.request_id, r.over_quota) for r in metering.quota_rows(df, limit).collect()))
+        want, used = [], {}
+        for k, t, i in sorted(rows, key=lambda r: (r[1] or "", r[2])):
+            month = (k, t and t[:7])
+            used[month] = used.get(month, 0) + 1
+            want.append((k or "", i, t is not None and quotas.get(k) is not None and used[month] > quotas[k]))
+        assert got == sorted(want)
