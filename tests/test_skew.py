@@ -100,6 +100,29 @@ def test_approvals_of_one_busy_agent(spark):
     assert got == want
 
 
+def test_approvals_within_one_minute(spark):
+    """All rows of one agent in one minute, many at the same time; and coarse, fine and equal slots."""
+    rng = random.Random(6)
+    base = 1_700_000_000_000_000 // (60 * 10**6) * 60 * 10**6
+    times = [base + rng.randrange(60 * 10**6) for _ in range(200)] + [base, base + 60 * 10**6 - 1]
+    grants = [(f"a{i:03d}", "hot", rng.choice(times), rng.choice([0, 1, 1, 5, None])) for i in range(120)] + [("none", "hot", None, 5)]
+    asks = [(i, rng.choice(["hot"] * 9 + ["b"]), rng.choice(times)) for i in range(1_500)] + [(1_500, "hot", None), (1_501, None, base)]
+    want = []
+    for rid, agent, at in asks:
+        ends = [(c + s * 10**6, a) for a, g, c, s in grants if None not in (at, c, s) and g == agent and c <= at]
+        best = max(ends, default=(0, None))
+        covered = at is not None and best[0] > at
+        want.append((rid, covered, best[1] if covered else None))
+    assert {w[1] for w in want} == {True, False}
+    tables = (spark.createDataFrame(asks, "request_id bigint, agent_id string, at_us bigint"),
+              spark.createDataFrame(grants, "approval_id string, agent_id string, created_us bigint, expires_in_seconds bigint"))
+    for widths in ({}, {"slot_us": 10**6, "fine_us": 10}, {"slot_us": 1_000, "fine_us": 1_000}, {"slot_us": 10**12, "fine_us": 10**7}):
+        got = approvals.covering_approval(*tables, **widths)
+        assert sorted((r.request_id, r.covered, r.approval_id) for r in got.collect()) == want
+    plan = approvals.covering_approval(*tables)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_copies_of_one_result_do_not_multiply_items(spark):
     items = spark.createDataFrame([("1", "prompt"), ("1", "prompt"), ("2", "sql")], "request_id string, content_kind string")
     raw = spark.createDataFrame([("1", True, True, "ok", None), ("1", True, False, "bad", None), ("1", False, None, None, "x")] * 20,
