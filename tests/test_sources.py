@@ -28,6 +28,19 @@ def test_chat_from_json_lines(spark, tmp_path):
     assert sorted(r.value for r in unread) == ['{"conv_id": 2, "messages": "none"}', "{broken"]
 
 
+def test_unreadable_lines_stay_in_one_reading(spark, tmp_path):
+    lines = [{"conv_id": 1, "messages": [{"role": "user", "content": "a"}]}, "{broken", {"conv_id": 2, "messages": "none"}, {"conv_id": 3, "messages": []}, "null", ""]
+    rows = read_chat(spark, write_lines(tmp_path / "chat.jsonl", lines + [{"conv_id": 4}]), "json", keep_unreadable=True).collect()
+    assert [(r.conv_id, r.turn, r.role) for r in rows if r.unreadable is None] == [("1", 0, "user")]
+    assert sorted(r.unreadable for r in rows if r.unreadable is not None) == sorted(["", "null", "{broken", json.dumps(lines[2]), json.dumps({"conv_id": 4})])
+    assert all(r.conv_id is None and r.turn is None for r in rows if r.unreadable is not None)
+    agents = read_agents(spark, write_lines(tmp_path / "a.jsonl", [{"agent_id": "1", "api_key": "clear"}, '{"agent_id": "2", "api_key": "clear']), keep_unreadable=True).collect()
+    assert [r.unreadable is None for r in sorted(agents, key=lambda r: r.agent_id or "~")] == [True, False]
+    assert "clear" not in str(agents)
+    policies = read_policies(spark, write_lines(tmp_path / "p.jsonl", [{"policy_id": "a"}, "nonsense"]), keep_unreadable=True)
+    assert sorted((r.policy_id or "", r.unreadable or "") for r in policies.collect()) == [("", "nonsense"), ("a", "")]
+
+
 def test_raw_results_from_lines(spark, tmp_path):
     path = write_lines(tmp_path / "raw.jsonl", [{"request_id": "1", "safe": False, "threat_type": "pii"}, "null", "{x"])
     rows = read_raw_verdicts(spark, path).select("request_id", "usable", "safe", "threat_type").collect()
