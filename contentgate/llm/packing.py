@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,8 @@ from contentgate.llm.common import save, small_batches
 from contentgate.llm.tokens import word_encoder
 
 PER_SHARD = 4096
+ROUNDS = 8
+WORTH = 100
 
 
 def cut_pieces(docs: DataFrame, file: str, size: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,21 +86,38 @@ def pack(pieces: DataFrame, size: int, per_shard: int = PER_SHARD) -> DataFrame:
     """Give every row of `pieces` (column length, 1 to `size`) a sequence_id and an offset in it.
 
     Rows are dealt into shards of about `per_shard` pieces by a saved number, whatever their ids, and each shard is
-    packed by one task: memory is bounded, repeated ids do not matter, and only a shard's last few bins stay open.
+    packed by one task: memory is bounded and repeated ids do not matter. Sequences with room left are then opened again:
+    whole sequences are dealt anew into shards, so that open ones of different shards meet, and a shard that can hold its pieces
+    in fewer sequences does. Rounds go on until one shard has seen all open sequences, a round saves less than one in
+    `WORTH` of those that it opened, or `ROUNDS` are over. No round makes more sequences than there were.
     """
     pieces = save(pieces)
-    shards = max(1, -(-pieces.count() // per_shard))
-
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_deal", ignore_index=True)
-        bins, offsets, _ = sum_of_squares(frame["length"].to_numpy(), size)
-        return frame.assign(sequence_id=frame["_shard"].astype("int64") * (1 << 32) + bins, offset=offsets).drop(columns=["_shard", "_deal"])
-
-    fields = [f"`{c}` {t}" for c, t in pieces.dtypes if c != "_deal"]
-    return (
-        pieces.withColumn("_shard", F.pmod(F.xxhash64("_deal"), F.lit(shards)))
-        .groupBy("_shard").applyInPandas(one, ", ".join([*fields, "sequence_id bigint", "offset bigint"]))
-    )
+    columns = pieces.columns
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in pieces.dtypes), "sequence_id bigint, offset bigint, _fill bigint"])
+    rest = pieces.withColumns({"sequence_id": F.lit(None).cast("bigint"), "offset": F.lit(None).cast("bigint"), "_fill": F.lit(None).cast("bigint")})
+    done: list[DataFrame] = []
+    count, opened = pieces.count(), 0
+    while True:
+        number, shards = len(done), max(1, -(-count // per_shard))
+
+        def one(frame: pd.DataFrame) -> pd.DataFrame:
+            frame = frame.sort_values("_deal", ignore_index=True)
+            shard = int(frame["_shard"].iloc[0])
+            frame = frame.drop(columns="_shard")
+            bins, offsets, fill = sum_of_squares(frame["length"].to_numpy(), size)
+            if number and len(fill) >= frame["sequence_id"].nunique():
+                return frame
+            return frame.assign(sequence_id=(number << 56) + (shard << 24) + bins, offset=offsets, _fill=fill[bins])
+
+        dealt = rest.withColumn("_shard", F.pmod(F.xxhash64("sequence_id" if number else "_deal", F.lit(number)), F.lit(shards)))
+        packed = save(dealt.groupBy("_shard").applyInPandas(one, schema))
+        open_, first = F.col("_fill") < size, F.col("offset") == 0
+        count, left, now = packed.agg(F.count_if(open_), F.count_if(open_ & first), F.count_if(first)).first()
+        if shards == 1 or not count or number == ROUNDS or number and (opened - now) * WORTH < opened:
+            break
+        done.append(packed.filter(~open_))
+        rest, opened = packed.filter(open_), left
+    return reduce(DataFrame.unionByName, [*done, packed]).select(*[c for c in columns if c != "_deal"], "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, file: str, size: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

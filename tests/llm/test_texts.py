@@ -77,6 +77,22 @@ def test_packing_holds_every_piece_once(spark):
     assert len(bins) <= 1.1 * sum(r["length"] for r in got) / 256 + 4
 
 
+def test_open_sequences_of_shards_meet(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    lengths = [int(x) for x in np.concatenate([rng.integers(1, 101, 3000), np.full(1500, 34), [100, 1]])]
+    table = spark.createDataFrame([(k % 700, k, n) for k, n in enumerate(lengths)], "doc_id bigint, _deal bigint, length bigint")
+    got = packing.pack(table, 100, per_shard=100)
+    assert got.columns == ["doc_id", "length", "sequence_id", "offset"]
+    frame = got.toPandas().sort_values(["sequence_id", "offset"])
+    assert sorted(frame["length"]) == sorted(lengths)
+    starts = frame.groupby("sequence_id")["length"].cumsum() - frame["length"]
+    assert (starts == frame["offset"]).all() and frame.groupby("sequence_id")["length"].sum().max() <= 100
+    _, _, whole = packing.sum_of_squares(np.array(lengths), 100)
+    monkeypatch.setattr(packing, "ROUNDS", 0)
+    apart = packing.pack(table, 100, per_shard=100).select("sequence_id").distinct().count()
+    assert sum(lengths) / 100 <= frame["sequence_id"].nunique() < min(apart, len(whole))
+
+
 def test_sum_of_squares_takes_the_smallest_sum():
     rng = np.random.default_rng(0)
     lengths = rng.integers(1, 21, 200)
@@ -387,6 +403,47 @@ def test_quality_on_held_out_documents(spark):
     assert got["score"].between(0, 1).all()
 
 
+def test_quality_equals_a_plain_fit(spark):
+    """The summed normal equations, the ridge weights and the calibrated scores against one dense least-squares fit."""
+    table = docs(spark, [(k, words(20 + k % 50, k) if k % 3 else "!! ## 7 " * (3 + k % 9) + words(k % 30, k)) for k in range(400)]).repartition(5)
+    marks = {k: int(k % 3 > 0) if k % 17 else int(k % 3 == 0) for k in range(0, 400) if k % 10}
+    labels = spark.createDataFrame([(k, q, 0) for k, q in marks.items()], "doc_id bigint, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.classify(table, labels).collect()}
+    texts = {r["doc_id"]: r["text"] for r in table.collect()}
+    folds = {k: zlib.crc32(str(k).encode()) % 5 for k in texts}
+    stats = {k: np.array(quality.statistics(t)) for k, t in texts.items()}
+    train = sorted(k for k in marks if folds[k] not in (0, 1))
+    x, y = np.array([stats[k] for k in train]), np.array([marks[k] for k in train], dtype=float)
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale <= 1e-9] = 1
+    d, rng = x.shape[1], np.random.default_rng(0)
+    omega, phase = rng.normal(size=(d, quality.FEATURES)) / (2 * d) ** 0.5, rng.uniform(0, 2 * np.pi, quality.FEATURES)
+
+    def features(rows):
+        z = (rows - mean) / scale
+        return np.hstack([np.sqrt(2 / quality.FEATURES) * np.cos(z @ omega + phase), np.clip(z, -5, 5), np.ones((len(rows), 1))])
+
+    # ridge as least squares over rows that pull every weight to zero, all but the last
+    phi = features(x)
+    pull = np.sqrt(quality.RIDGE * len(x) * np.array([1.0] * (phi.shape[1] - 1) + [1e-9]))
+    weights, *_ = np.linalg.lstsq(np.vstack([phi, np.diag(pull)]), np.concatenate([y, np.zeros(phi.shape[1])]), rcond=None)
+    raw = {k: (features(s[None]) @ weights).item() for k, s in stats.items()}
+    calibration = sorted((int((np.clip(raw[k], -0.5, 1.5) + 0.5) / 2 * quality.BINS), marks[k]) for k in marks if folds[k] == 1)
+    edges = sorted({b for b, _ in calibration})
+    # isotonic regression by its minimax formula over the bins that hold rows
+    share = lambda i, j: np.mean([m for b, m in calibration if edges[i] <= b <= edges[j]])
+    level = [max(min(share(i, j) for j in range(k, len(edges))) for i in range(k + 1)) for k in range(len(edges))]
+    centre = [(b + 0.5) / quality.BINS * 2 - 0.5 for b in edges]
+    knots = []
+    for v in sorted(set(np.round(level, 12))):
+        rows_in = [c for c, w in zip(centre, level) if abs(w - v) < 1e-9 for _ in range(sum(b == edges[centre.index(c)] for b, _ in calibration))]
+        knots.append((np.mean(rows_in), v))
+    want = {k: float(np.interp(r, *zip(*knots))) for k, r in raw.items()}
+    off = [k for k in texts if abs(got[k]["score"] - want[k]) > 1e-6]
+    assert not off
+    assert all(got[k]["held_out"] == (folds[k] == 0) and got[k]["predicted"] == int(got[k]["score"] >= 0.3) for k in texts)
+
+
 def test_quality_of_odd_rows(spark):
     table = docs(spark, [*varied(), *((1000 + k, words(40, k) if k % 2 else "!!! ### $$$ " * 9) for k in range(200))])
     labels = spark.createDataFrame([(1000 + k, k % 2, 0) for k in range(200)] + [(1001, None, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
