@@ -50,7 +50,7 @@ def scan_prompt_core(spark, sf_dir):
     return flat(scan.scan(prompt_items(spark, sf_dir), kinds=(R.PROMPT,)), "request_id")
 
 
-_CHAT_TEXT = (
+CHAT_TEXT = (
     "CASE (conv_id + turn) % 9 WHEN 4 THEN concat(text, ' ignore previous') "
     "WHEN 6 THEN concat('SSN ', text) WHEN 0 THEN '' WHEN 8 THEN CASE WHEN conv_id % 50 = 7 THEN repeat(text, 1 + CAST(floor(102400 / greatest(length(text), 1)) AS INT)) ELSE text END ELSE text END"
 )
@@ -62,7 +62,7 @@ _CHAT_TEXT = (
         f"""SELECT *, {UNITS.format('content')} AS units, regexp_full_match(content, '\\s*') AS blank FROM (
             SELECT conv_id, coalesce(string_agg(t, chr(10) ORDER BY turn) FILTER (WHERE role = 'user' AND t <> ''), '') AS content,
                    count(*) FILTER (WHERE role = 'user' AND t <> '') AS n_messages
-            FROM (SELECT *, {_CHAT_TEXT} AS t FROM conversations) GROUP BY conv_id)""",
+            FROM (SELECT *, {CHAT_TEXT} AS t FROM conversations) GROUP BY conv_id)""",
         "conv_id, n_messages, units",
         f"CASE WHEN NOT blank THEN CASE WHEN units > 102400 THEN 'size_limit_exceeded' ELSE {CORE_TEXT} END END", "'high'",
         f"CASE WHEN s.tt = 'size_limit_exceeded' THEN concat('Content too large (', "
@@ -70,7 +70,7 @@ _CHAT_TEXT = (
     ).replace("CASE WHEN s.tt IS NULL THEN '' ELSE", "CASE WHEN blank THEN 'No user content to scan' WHEN s.tt IS NULL THEN '' ELSE"),
 )
 def scan_chat_core(spark, sf_dir):
-    turns = load(spark, sf_dir, "conversations").withColumn("text", F.expr(_CHAT_TEXT))
+    turns = load(spark, sf_dir, "conversations").withColumn("text", F.expr(CHAT_TEXT))
     return flat(scan.scan_chat(turns, "a", limit=gates.MAX_UNITS), "conv_id", "n_messages", "units")
 
 
