@@ -46,8 +46,9 @@ PATTERNS = {
     "secret_key": '(token|secret|api[_-]?key|password)"?[ \\t]*[=:][ \\t]*["\']?[0-9a-z_/+=-]{16,}',
     "aws_key": START + "(AKIA|ASIA)[0-9A-Z]{16}" + END,
     "private_key": "-----BEGIN ([A-Z]+ ){0,3}PRIVATE KEY-----",
-    "tautology_or": "(^|[^0-9a-z_])or" + BLANKS + "('[^'\\n]*'|[0-9]+)[ \\t]*=[ \\t]*('[^'\\n]*'|[0-9]+)",
-    "tautology_and": "(^|[^0-9a-z_])and" + BLANKS + "('[^'\\n]*'|[0-9]+)[ \\t]*=[ \\t]*('[^'\\n]*'|[0-9]+)",
+    # the last literal may be open: its closing quote is often the attacked statement's own
+    "tautology_or": "(^|[^0-9a-z_])or" + BLANKS + "('[^'\\n]*'|[0-9]+)[ \\t]*=[ \\t]*('[^'\\n]*|[0-9]+)",
+    "tautology_and": "(^|[^0-9a-z_])and" + BLANKS + "('[^'\\n]*'|[0-9]+)[ \\t]*=[ \\t]*('[^'\\n]*|[0-9]+)",
     "union_injection": "(^|[^0-9a-z_])union" + BLANKS + "(all" + BLANKS + ")?select([^0-9a-z_]|$)",
     "stacked_query": ";[ \\t]*(drop|delete|insert|update|alter|truncate|exec|shutdown)([^0-9a-z_]|$)",
     "destructive_operation": (
