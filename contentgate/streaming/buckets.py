@@ -97,9 +97,13 @@ class SettledBucket(InOrder):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.bucket = handle.getValueState("bucket", "units bigint, last bigint")
 
-    def settle(self, key: Any, rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        units, last = (int(v) for v in self.bucket.get()) if self.bucket.exists() else (None, None)
-        answers = []
+    def load(self) -> None:
+        known = self.bucket.get()
+        self.level = (int(known[0]), int(known[1])) if known is not None else None
+        self.was_known = known is not None
+
+    def settle(self, key: Any, rows: list[tuple]) -> Iterator[tuple]:
+        units, last = self.level or (None, None)
         for ms, group in groupby(rows, key=lambda row: row[0]):
             group = list(group)
             rate = max(rpm for _, _, rpm in group)
@@ -109,21 +113,29 @@ class SettledBucket(InOrder):
             short = TOKEN - (units - min(granted, len(group)) * TOKEN)
             for place, (_, request, rpm) in enumerate(group, 1):
                 yes = place <= granted
-                answers.append((key[0], request, ms, rpm, yes, (units - place * TOKEN) // TOKEN if yes else 0, None if yes else -(-short // rpm)))
+                yield key[0], request, ms, rpm, yes, (units - place * TOKEN) // TOKEN if yes else 0, None if yes else -(-short // rpm)
             units -= min(granted, len(group)) * TOKEN
-        self.bucket.update((units, last))
-        out = pd.DataFrame(answers, columns=["api_key", "request_id", "ms", "rpm", "allowed", "remaining", "retry_after_ms"], dtype=object)
-        yield out.astype({"ms": "int64", "rpm": "int64", "allowed": "bool", "remaining": "int64", "retry_after_ms": "Int64"})
+            self.level = (units, last)
 
-    def quiet(self, key: Any, settled: int) -> Iterator[pd.DataFrame]:
-        if self.bucket.exists():
-            last = int(self.bucket.get()[1])
+    def quiet(self, key: Any, settled: int) -> Iterator[tuple]:
+        if self.level is not None:
+            last = self.level[1]
             if last + REFILL_MS < settled:
-                self.bucket.clear()
+                self.level = None
             else:
                 self.wake(last + REFILL_MS, self.watermark_ms)
         yield from ()
 
+    def store(self) -> None:
+        if self.level is not None:
+            self.bucket.update(self.level)
+        elif self.was_known:
+            self.bucket.clear()
+
+    def frame(self, rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["api_key", "request_id", "ms", "rpm", "allowed", "remaining", "retry_after_ms"], dtype=object)
+        return out.astype({"ms": "int64", "rpm": "int64", "allowed": "bool", "remaining": "int64", "retry_after_ms": "Int64"})
+
 
 def settled_bucket_stream(requests: DataFrame, rpm: int | Column = DEFAULT_RPM, delay: str = "1 minute", width_ms: int = REFILL_MS) -> DataFrame:
     """Requests (api_key, request_id, ms) with rpm, allowed, remaining and retry_after_ms, as the batch replay gives them.

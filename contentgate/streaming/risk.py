@@ -38,6 +38,7 @@ def session_risk_stream(verdicts: DataFrame, key: str = "user_id", clock: str =
 
 
 SESSION = ["first_us", "last_us", "n_blocked", "type_lo", "type_hi", "replayed"]
+HELD_TEXTS = 100_000
 
 
 class OpenSession(InOrder):
@@ -58,38 +59,65 @@ class OpenSession(InOrder):
         self.open = handle.getValueState("open", "first_us bigint, last_us bigint, n_blocked bigint, type_lo string, type_hi string, replayed boolean")
         self.blocks = handle.getMapState("blocks", "digest string", "us bigint")
 
-    def finished(self, key: Any, session: tuple) -> pd.DataFrame:
-        self.open.clear()
-        self.blocks.clear()
-        out = pd.DataFrame([(key[0], *session)], columns=["key", *SESSION], dtype=object)
-        return out.astype({"first_us": "int64", "last_us": "int64", "n_blocked": "int64", "replayed": "bool"})
-
-    def settle(self, key: Any, rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        session = tuple(self.open.get()) if self.open.exists() else None
+    def load(self) -> None:
+        self.session = self.open.get()
+        # blocked texts of the open session: those looked up or changed since, whether the map state holds any, and whether it is to be cleared
+        self.begun, self.changed, self.kept, self.stale, self.was_open = {}, set(), self.session is not None, False, self.session is not None
+
+    def first_block(self, digest: str) -> int | None:
+        if self.kept and digest not in self.begun:
+            self.begun[digest] = int(self.blocks.getValue((digest,))[0]) if self.blocks.containsKey((digest,)) else None
+        return self.begun.get(digest)
+
+    def spill(self) -> None:
+        if self.stale:
+            self.blocks.clear()
+            self.stale = False
+        for digest in self.changed:
+            self.blocks.updateValue((digest,), (self.begun[digest],))
+        self.kept = self.kept or bool(self.changed)
+        self.begun, self.changed = {}, set()
+
+    def finished(self, key: Any, session: tuple) -> tuple:
+        self.stale = self.stale or self.kept
+        self.session, self.begun, self.changed, self.kept = None, {}, set(), False
+        return (key[0], *session)
+
+    def settle(self, key: Any, rows: list[tuple]) -> Iterator[tuple]:
         for us, digest, unsafe, threat in rows:
-            if session is not None and us - session[1] > self.gap_us:
-                yield self.finished(key, session)
-                session = None
-            first, last, blocked, lo, hi, replayed = session or (us, us, 0, None, None, False)
-            begun = int(self.blocks.getValue((digest,))[0]) if self.blocks.containsKey((digest,)) else None
+            if self.session is not None and us - self.session[1] > self.gap_us:
+                yield self.finished(key, self.session)
+            first, last, blocked, lo, hi, replayed = self.session or (us, us, 0, None, None, False)
+            begun = self.first_block(digest)
             if unsafe:
                 blocked += 1
                 if threat is not None:
                     lo, hi = min(threat, lo or threat), max(threat, hi or threat)
                 if begun is None or us < begun:
-                    self.blocks.updateValue((digest,), (us,))
+                    self.begun[digest] = us
+                    self.changed.add(digest)
             # a text is replayed if it is there later than its first block
-            session = (min(first, us), max(last, us), blocked, lo, hi, replayed or (begun is not None and us > begun))
-        if session is not None:
-            self.open.update(session)
-
-    def quiet(self, key: Any, settled: int) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            session = tuple(self.open.get())
-            if session[1] + self.gap_us < settled:
-                yield self.finished(key, session)
+            self.session = (min(first, us), max(last, us), blocked, lo, hi, replayed or (begun is not None and us > begun))
+            if len(self.begun) >= HELD_TEXTS:
+                self.spill()
+
+    def quiet(self, key: Any, settled: int) -> Iterator[tuple]:
+        if self.session is not None:
+            if self.session[1] + self.gap_us < settled:
+                yield self.finished(key, self.session)
             else:
-                self.wake(session[1] + self.gap_us, self.watermark_ms)
+                self.wake(self.session[1] + self.gap_us, self.watermark_ms)
+
+    def store(self) -> None:
+        self.spill()
+        if self.session is not None:
+            self.open.update(self.session)
+        elif self.was_open:
+            self.open.clear()
+
+    def frame(self, rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["key", *SESSION], dtype=object)
+        return out.astype({"first_us": "int64", "last_us": "int64", "n_blocked": "int64", "replayed": "bool"})
 
 
 def session_patterns_stream(verdicts: DataFrame, key: str = "user_id", clock: str = "ts", gap_us: int = SESSION_GAP_US,
