@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from contentgate.streaming.ordered import plain
+
+PAGES = 4096
+
 
 class Heartbeats(StatefulProcessor):
     """Emits a row when an agent becomes active and when it has been silent too long.
@@ -66,39 +70,74 @@ def liveness_stream(beats: DataFrame, after_ms: int, delay: str = "10 minutes",
 
 
 class Expiry(StatefulProcessor):
-    """Emits an approval once, when the watermark passes its end. The longest grant counts."""
+    """Emits an approval once, when the watermark passes its end. The longest grant counts.
+
+    The key is a page of approvals. Its state is their ids and ends in one value and a timer at the first end, so what
+    Spark asks of Python per key is shared by the approvals of a page, and a micro-batch rewrites the pages it brings
+    something for.
+    """
+
+    def __init__(self, id_type: str):
+        self.id_type = id_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.end = handle.getValueState("end", "at_ms bigint")
+        self.open = handle.getValueState("open", f"ids array<{self.id_type}>, ends array<bigint>")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        end = max(int(batch["end_ms"].max()) for batch in rows)
-        if self.end.exists():
-            known = int(self.end.get()[0])
-            self.handle.deleteTimer(known)
-            end = max(end, known)
-        self.end.update((end,))
-        self.handle.registerTimer(end)
-        yield pd.DataFrame({"approval_id": pd.Series([], dtype="object"), "expired_ms": pd.Series([], dtype="int64")})
+        known = self.open.get()
+        ends = dict(zip(*known)) if known is not None else {}
+        first = min(ends.values(), default=None)
+        for batch in rows:
+            batch = batch[batch["end_ms"].notna()]
+            for approval, end in zip(plain(batch["approval_id"]), batch["end_ms"].astype("int64").tolist()):
+                ends[approval] = max(end, ends.get(approval, end))
+        if ends:
+            self.keep(ends, first)
+        yield from ()
+
+    def keep(self, ends: dict, timer: int | None) -> None:
+        """Write the open approvals of the page at hand; its timer goes to their first end."""
+        self.open.update((list(ends), list(ends.values())))
+        first = min(ends.values())
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(first)
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end = int(self.end.get()[0])
-        self.end.clear()
-        yield pd.DataFrame({"approval_id": [key[0]], "expired_ms": [end]})
+        watermark = int(timerValues.getCurrentWatermarkInMs())
+        ends = dict(zip(*self.open.get()))
+        over = {approval: end for approval, end in ends.items() if end <= watermark}
+        if len(over) < len(ends):
+            self.keep({approval: end for approval, end in ends.items() if end > watermark}, None)
+        else:
+            self.open.clear()
+        if over:
+            yield pd.DataFrame({"approval_id": pd.Series(list(over), dtype=object), "expired_ms": pd.Series(list(over.values()), dtype="int64")})
 
     def close(self) -> None:
         pass
 
 
-def expiry_stream(approvals: DataFrame, delay: str = "10 minutes", clock: str = "ts") -> DataFrame:
-    """Approvals (approval_id, a timestamp, expires_in_seconds) that have run out."""
+def expiry_stream(approvals: DataFrame, delay: str = "10 minutes", clock: str = "ts", pages: int = PAGES) -> DataFrame:
+    """Approvals (approval_id, a timestamp, expires_in_seconds) that have run out.
+
+    Approvals are dealt into `pages` by their ids; a stream keeps the number it began with. Those without a time or a term
+    never run out and are left out.
+    """
+    kind = approvals.schema["approval_id"].dataType.simpleString()
+    # as text: among integers pandas would turn a null, and them, into floats
+    kept = kind if kind == "binary" or kind.startswith("string") else "string"
     timed = approvals.withWatermark(clock, delay).select(
-        "approval_id", clock, (F.unix_millis(F.col(clock)) + F.col("expires_in_seconds") * 1000).alias("end_ms")
+        F.col("approval_id").cast(kept).alias("approval_id"), clock,
+        (F.unix_millis(F.col(clock)) + F.col("expires_in_seconds") * 1000).alias("end_ms"),
+        F.pmod(F.xxhash64("approval_id"), F.lit(pages)).alias("page")
     )
-    return timed.groupBy("approval_id").transformWithStateInPandas(
-        statefulProcessor=Expiry(),
-        outputStructType=f"approval_id {approvals.schema['approval_id'].dataType.simpleString()}, expired_ms bigint",
+    expired = timed.groupBy("page").transformWithStateInPandas(
+        statefulProcessor=Expiry(kept),
+        outputStructType=f"approval_id {kept}, expired_ms bigint",
         outputMode="Append",
         timeMode="EventTime",
     )
+    return expired.select(F.col("approval_id").cast(kind).alias("approval_id"), "expired_ms")

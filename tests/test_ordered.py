@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from contentgate.streaming import ordered, risk
+from contentgate.streaming import ordered, risk, timers
 
 
 class Store:
@@ -18,6 +18,10 @@ class Store:
         self.calls += 1
         self.timers.add(at)
 
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
     def getMapState(self, name, *schemas):
         return self.maps.setdefault(name, State(self))
 
@@ -113,3 +117,21 @@ def test_chunks_of_any_size_give_the_same_sessions(monkeypatch, chunk_rows, held
     got, store = follow([*zip([0, *marks], parts), (10**9, [])])
     assert got == want
     assert not any(dict.__len__(state) for state in store.maps.values())
+
+
+def test_calls_of_the_state_follow_the_pages_not_the_approvals():
+    store, processor = Store(), timers.Expiry("string")
+    processor.init(store)
+    for start in (0, 50):  # half of the second batch are longer grants of the first
+        ids = [f"a{k}" for k in range(start, start + 100)]
+        frame = pd.DataFrame({"approval_id": ids, "end_ms": [1_000 + start + k for k in range(100)]})
+        assert not [*processor.handleInputRows((0,), iter([frame[:70], frame[70:]]), Now(0))]
+    out = []
+    for watermark in (1_010, 1_100, 10_000):
+        while due := [t for t in store.timers if t <= watermark]:
+            store.timers.remove(min(due))
+            out += processor.handleExpiredTimer((0,), Now(watermark), None)
+    got = pd.concat(out)
+    assert dict(zip(got["approval_id"], got["expired_ms"])) == {f"a{k}": 1_000 + k for k in range(150)} and len(got) == 150
+    assert [len(frame) for frame in out] == [11, 90, 49]
+    assert store.calls < 20 and not dict.__len__(store.maps["open"])  # four or five an approval when each had a state of its own

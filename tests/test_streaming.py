@@ -186,6 +186,17 @@ def test_approvals_expire_once(spark, tmp_path):
     assert got == [("1", 310_000), ("2", 5_000_000), ("3", 1_010_000)]
 
 
+def test_approvals_without_an_id_a_time_or_a_term(spark, tmp_path):
+    source, big = str(tmp_path / "in"), 2**53 + 1
+    schema = "approval_id bigint, s bigint, expires_in_seconds bigint"
+    for chunk in ([(None, 0, 100), (None, 0, 300), (big, 0, 200), (2, None, 5), (3, 0, None)], [(big, 10, None), (4, 9_000, 1)], [(5, 9_900, 1)]):
+        df = spark.createDataFrame(chunk, schema).select("approval_id", F.timestamp_seconds(F.col("s") + START).alias("ts"), "expires_in_seconds")
+        df.coalesce(1).write.mode("append").parquet(source)
+        run(timers.expiry_stream(read_stream(spark, source, df.schema, files_per_trigger=1), "0 seconds", pages=2), str(tmp_path))
+    got = [(r.approval_id, r.expired_ms - START * 1000) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got, key=lambda r: r[1]) == [(big, 200_000), (None, 300_000), (4, 9_001_000)]
+
+
 def test_repeated_requests_are_dropped_across_batches(spark, tmp_path):
     source = str(tmp_path / "in")
     for chunk in ([(1, 0, 0), (2, 1, 0)], [(1, 5, 0), (3, 6, 0)]):
