@@ -35,6 +35,7 @@ UNSETTLED = regex.compile(
 CHUNKS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 WORDS = re.compile(r"\S+")
 REMEMBERED = 250_000
+SEEN = 1 << 22
 LONG_TEXT = 2_000_000
 
 
@@ -72,22 +73,37 @@ def whole_tokens(file: str) -> list[str]:
     return found
 
 
-class Merged(dict):
+class Remembered(dict):
+    """Values of strings, up to a bound. Only a string that comes again takes a place: half of all distinct ones never do."""
+
+    def __init__(self, known=()):
+        super().__init__(known)
+        self.seen = bytearray(SEEN)
+
+    def remember(self, text: str, made):
+        if len(text) < 64:
+            place = hash(text) % SEEN
+            if self.seen[place] and len(self) < REMEMBERED:
+                self[text] = made
+            self.seen[place] = 1
+        return made
+
+
+class Merged(Remembered):
     """Value of a pre-token; what is not known is merged by the library's model."""
 
     def __init__(self, known, model, value):
         super().__init__(known)
         letters = byte_letters()
-        self.letters, self.model, self.value = [letters[b] for b in range(256)], model, value
+        self.letters, self.merge, self.value = {b: letters[b] for b in range(256)}, model.tokenize, value
 
     def __missing__(self, piece: str):
-        made = self.value(self.model.tokenize("".join([self.letters[b] for b in piece.encode()])))
-        if len(self) < REMEMBERED and len(piece) < 64:
-            self[piece] = made
-        return made
+        # read as Latin-1, a byte is the character of its number
+        plain = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.letters)
+        return self.remember(piece, self.value(self.merge(plain)))
 
 
-class Chunks(dict):
+class Chunks(Remembered):
     """Value of a chunk without inner white space: the total of its pre-tokens."""
 
     def __init__(self, pattern: str, pieces: Merged, total):
@@ -95,10 +111,8 @@ class Chunks(dict):
         self.cut, self.piece, self.total = regex.compile(pattern).findall, pieces.__getitem__, total
 
     def __missing__(self, chunk: str):
-        made = self.total(map(self.piece, self.cut(chunk)))
-        if len(self) < REMEMBERED and len(chunk) < 64:
-            self[chunk] = made
-        return made
+        # letters alone are one pre-token by either pattern
+        return self.remember(chunk, self.total((self.piece(chunk),) if chunk.isalpha() else map(self.piece, self.cut(chunk))))
 
 
 def splitter(file: str) -> regex.Pattern | None:

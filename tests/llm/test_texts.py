@@ -473,3 +473,29 @@ def test_empty_tables(spark):
     assert quality.classify(none, labels).count() == 0 and quality.keep_good(none, labels).count() == 0
     one = docs(spark, [(1, "a b c")])
     assert quality.classify(one, labels).first()["score"] == 0.5
+
+
+def test_words_that_come_again_are_remembered_among_many_that_do_not(monkeypatch):
+    class Model:
+        calls = []
+
+        def tokenize(self, text):
+            self.calls.append(text)
+            return [text]
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    pieces = tokens.Merged({}, Model(), len)
+    count = tokens.Chunks(tokens.WORD_PATTERN, pieces, sum)
+    for k in range(300):  # first come, first served would have filled both memories with these
+        assert count["".join(chr(97 + int(d)) for d in f"{k:05d}")] == 1
+    assert [count["often"] for _ in range(20)] == [1] * 20 and [count["often,"] for _ in range(20)] == [2] * 20
+    assert Model.calls.count("often") <= 2 and Model.calls.count(",") <= 2
+
+
+def test_word_ids_of_odd_letters_equal_the_library():
+    file = vocabulary(WORD_FILE)
+    encode, library = tokens.word_encoder(file), Tokenizer.from_str(file)
+    words = ["straße", "ǅ", "ªº", "i\u0307", "e\u0301tude", "İstanbul", "ΣΑΣ", "日本語", "пример", "x2y", "³", "½", "don't", "a_b", "ﬁn", "Ⅷ", "na\u00adive", "\u200bz"]
+    for text in [*words, " ".join(words * 3), "".join(words)]:
+        for _ in range(3):  # merged, remembered, looked up
+            assert encode(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
