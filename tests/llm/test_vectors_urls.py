@@ -4,11 +4,14 @@ import hashlib
 import math
 import os
 import random
+import tracemalloc
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from check import TABLES, rows_of
@@ -82,6 +85,33 @@ def test_recall_on_vectors_at_known_angles(spark, d):
     assert all(got[i]["kept"] == (got[i]["component_id"] == i) for i in got)
 
 
+def test_wide_vectors_do_not_fill_the_driver(spark):
+    """800 vectors of 1,024 numbers: 6.5 MB in double precision, more than 30 MB as Python's lists."""
+    wide = spark.range(800).select(F.col("id").alias("vec_id"), F.transform(F.sequence(F.lit(1), F.lit(1024)), lambda x: (F.xxhash64("id", x) % 1000).cast("float")).alias("embedding"))
+    wide = wide.union(wide.filter("vec_id < 5").withColumn("vec_id", F.col("vec_id") + 1000))
+    tracemalloc.start()
+    got = {r["vec_id"]: r for r in itq.near_duplicates(wide).collect()}
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6e6
+    assert len(got) == 805 and all(got[1000 + k]["n_links"] == 1 and got[1000 + k]["component_id"] == k for k in range(5))
+
+
+@pytest.mark.parametrize("kind", [pa.float32(), pa.float64()])
+def test_matrix_of_lists(kind):
+    rng = np.random.default_rng(2)
+    rows = [rng.normal(size=rng.integers(1, 6)).tolist() for _ in range(2 * itq.ROWS + 7)]
+    column = pa.array([[9.0], *rows], pa.list_(kind)).slice(1)
+    x = np.zeros((len(rows), 5))
+    for i, row in enumerate(column.to_pylist()):
+        x[i, :len(row)] = row
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for given in (column, pa.chunked_array([column.slice(0, 100), column.slice(100, 0), column.slice(100)])):
+        assert (itq.matrix(given, 5) == x).all()
+    assert itq.matrix(column.slice(0, 0), 5).shape == (0, 5)
+
+
 @pytest.mark.parametrize("block", [16, 4096])
 def test_top_k_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(vafile, "BLOCK", block)
